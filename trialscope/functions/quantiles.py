@@ -10,6 +10,10 @@ value buckets, and only the few buckets that hold a wanted rank are looked at va
   values up to 10^18 resolutions).  That bounds the window over the buckets of a group.
 * Values that are multiples of ``resolution`` leave at most about value / (1024 * resolution)
   distinct values in a bucket, which bounds the window inside a bucket.
+
+The histogram is partitioned by (group, bucket) once; the bucket sums and the look inside the
+buckets both read that exchange.  Its counters travel in one array column, because columns of
+their own would be pruned differently in the two branches and the exchange not be shared.
 """
 
 from __future__ import annotations
@@ -33,31 +37,46 @@ def values_at_ranks(
     weight: str,
     ranks: Mapping[str, Column],
     resolution: float = 1.0,
+    totals: Sequence[str] = (),
 ) -> DataFrame:
     """One row per group: ``n`` (total weight) and, per entry of ``ranks``, the value there.
 
     ``hist`` has one row per (group, value).  A rank is a Column over ``n`` giving a 0-based
-    position in the ascending multiset in which every value is repeated ``weight`` times.
+    position in the ascending multiset in which every value is repeated ``weight`` times; rows
+    with a NULL value have no rank.  ``totals`` names integer columns of ``hist`` whose sums per
+    group are wanted too; these include the rows with a NULL value.
     """
     groups = list(groups)
-    cells = hist.where(F.col(value).isNotNull()).select(
+    known = F.col(value).isNotNull()
+    counters = [F.when(known, F.col(weight)).otherwise(0), *[F.col(c) for c in totals]]
+    cells = hist.select(
         *groups,
         F.col(value).alias("_v"),
-        F.col(weight).cast("bigint").alias("_w"),
         _bucket(F.col(value), resolution).alias("_b"),
-    )
+        F.array(*[c.cast("bigint") for c in counters]).alias("_counters"),
+    ).repartition(*groups, "_b")
 
     in_group = Window.partitionBy(*groups)
-    earlier_buckets = in_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    upto_bucket = in_group.orderBy("_b").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    hit = F.filter(
+        F.col("_ranks"),
+        lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_bw")),
+    )
     wanted = (
         cells.groupBy(*groups, "_b")
-        .agg(F.sum("_w").alias("_bw"))
+        .agg(
+            F.sum(F.col("_counters")[0]).alias("_bw"),
+            *[F.sum(F.col("_counters")[i]).alias(c) for i, c in enumerate(totals, 1)],
+        )
         .select(
             *groups,
             "_b",
             "_bw",
-            F.coalesce(F.sum("_bw").over(earlier_buckets), F.lit(0)).alias("_before"),
+            (F.sum("_bw").over(upto_bucket) - F.col("_bw")).alias("_before"),
             F.sum("_bw").over(in_group).alias("n"),
+            *[F.sum(c).over(in_group).alias(c) for c in totals],
         )
         .withColumn(
             "_ranks",
@@ -68,48 +87,40 @@ def values_at_ranks(
                 ]
             ),
         )
-        .withColumn(
+        .withColumn("_ranks", hit)
+        .where(F.size("_ranks") > 0)
+        .select(
+            *[F.col(g).alias(f"_{g}") for g in groups],
+            F.col("_b").alias("_wb"),
+            "_before",
+            "n",
             "_ranks",
-            F.filter(
-                "_ranks",
-                lambda r: (r["rank"] >= F.col("_before"))
-                & (r["rank"] < F.col("_before") + F.col("_bw")),
-            ),
+            *totals,
         )
-        .where(F.size("_ranks") > 0)
-        .select(*[F.col(g).alias(f"_{g}") for g in groups], F.col("_b").alias("_wb"),
-                "_before", "n", "_ranks")
     )
 
-    same_bucket = F.col("_b") == F.col("_wb")
+    # Null-safe on all keys: a plain equality would add a filter to one branch only.
+    same_bucket = F.col("_b").eqNullSafe(F.col("_wb"))
     for g in groups:
         same_bucket = same_bucket & F.col(g).eqNullSafe(F.col(f"_{g}"))
-    earlier_values = (
+    upto_value = (
         Window.partitionBy(*groups, "_b")
         .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    found = F.filter(
+        F.col("_ranks"),
+        lambda r: (r["rank"] < F.col("_end")) & (r["rank"] >= F.col("_end") - F.col("_w")),
     )
     hits = (
         cells.join(wanted, same_bucket)
-        .withColumn(
-            "_start",
-            F.col("_before") + F.coalesce(F.sum("_w").over(earlier_values), F.lit(0)),
-        )
-        .select(
-            *groups,
-            "n",
-            "_v",
-            F.explode(
-                F.filter(
-                    "_ranks",
-                    lambda r: (r["rank"] >= F.col("_start"))
-                    & (r["rank"] < F.col("_start") + F.col("_w")),
-                )
-            ).alias("_hit"),
-        )
+        .withColumn("_w", F.col("_counters")[0])
+        .withColumn("_end", F.col("_before") + F.sum("_w").over(upto_value))
+        .select(*groups, "n", "_v", *totals, F.explode(found).alias("_hit"))
     )
     return hits.groupBy(*groups).agg(
         F.max("n").alias("n"),
+        *[F.max(c).alias(c) for c in totals],
         *[F.max(F.when(F.col("_hit.name") == name, F.col("_v"))).alias(name) for name in ranks],
     )
 
@@ -121,18 +132,21 @@ def percentiles(
     weight: str,
     probabilities: Mapping[str, float],
     resolution: float = 1.0,
+    totals: Sequence[str] = (),
 ) -> DataFrame:
     """Continuous percentiles (linear interpolation) per group, as doubles, plus ``n``."""
+
+    def position(p: float) -> Column:
+        return F.lit(float(p)) * (F.col("n") - 1)
+
     ranks: dict[str, Column] = {}
     for name, p in probabilities.items():
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        ranks[f"{name}__lo"] = F.floor(position)
-        ranks[f"{name}__hi"] = F.ceil(position)
-    found = values_at_ranks(hist, groups, value, weight, ranks, resolution)
+        ranks[f"{name}__lo"] = F.floor(position(p))
+        ranks[f"{name}__hi"] = F.ceil(position(p))
+    found = values_at_ranks(hist, groups, value, weight, ranks, resolution, totals)
     columns = []
     for name, p in probabilities.items():
-        position = F.lit(float(p)) * (F.col("n") - 1)
         lo = F.col(f"{name}__lo").cast("double")
         hi = F.col(f"{name}__hi").cast("double")
-        columns.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
-    return found.select(*groups, "n", *columns)
+        columns.append((lo + (hi - lo) * (position(p) - F.floor(position(p)))).alias(name))
+    return found.select(*groups, "n", *totals, *columns)

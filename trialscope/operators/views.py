@@ -245,35 +245,26 @@ def session_metrics_view(t: TableMap) -> DataFrame:
             F.sum("user_mark").alias("users"),
         )
     )
-    timed = F.col("duration_seconds").isNotNull()
-    totals = hist.groupBy(*ARM).agg(
-        F.sum("sessions").alias("total_sessions"),
-        F.sum("users").alias("unique_users"),
-        F.sum(F.col("duration_seconds").cast("bigint") * F.col("w")).alias("seconds"),
-        F.sum(F.when(timed, F.col("w"))).alias("seconds_n"),
-        F.sum("pages").alias("pages"),
-        F.sum("pages_n").alias("pages_n"),
-        F.sum("bounces").alias("bounced_sessions"),
-    )
     marks = percentiles(
-        hist.select(*ARM, "duration_seconds", "w"),
+        hist.withColumn("seconds", F.col("duration_seconds").cast("bigint") * F.col("w")),
         ARM,
         "duration_seconds",
         "w",
         {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95},
+        totals=("sessions", "users", "seconds", "pages", "pages_n", "bounces"),
     )
-    sessions, users = F.col("total_sessions"), F.col("unique_users")
-    return totals.join(marks, list(ARM), "left").select(
+    sessions, users = F.col("sessions"), F.col("users")
+    return marks.select(
         *ARM,
-        "total_sessions",
-        "unique_users",
-        rounded_quotient(F.col("seconds"), F.col("seconds_n"), 2).alias(
+        sessions.alias("total_sessions"),
+        users.alias("unique_users"),
+        rounded_quotient(F.col("seconds"), F.col("n"), 2).alias(
             "avg_session_duration_seconds"
         ),
         F.round("p50", 2).alias("median_session_duration_seconds"),
         rounded_quotient(F.col("pages"), F.col("pages_n"), 2).alias("avg_pages_per_session"),
-        rounded_quotient(F.col("bounced_sessions"), sessions, 4).alias("bounce_rate"),
-        "bounced_sessions",
+        rounded_quotient(F.col("bounces"), sessions, 4).alias("bounce_rate"),
+        F.col("bounces").alias("bounced_sessions"),
         rounded_quotient(users, sessions, 3).alias("sessions_per_user"),
         rounded_quotient(sessions, users, 3).alias("avg_sessions_per_user"),
         F.col("p25").alias("p25_duration_seconds"),

@@ -1,7 +1,8 @@
 """Canonical experiment tables derived from a sales warehouse (customers, orders, events).
 
 All rules are per-row integer arithmetic, so the derivation is deterministic and needs no
-shuffle except for sessions, which are computed from the events.
+shuffle except for sessions, which are computed from the events.  The files' schemas are
+declared, so loading runs no job.
 """
 
 from __future__ import annotations
@@ -15,6 +16,22 @@ from trialscope.sources.tables import Tables
 
 GAP_MINUTES = 240
 
+SOURCE_DDL = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
+
 # Market segments in channel-id order, and payment method by order priority.
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 PAYMENT_BY_PRIORITY = (
@@ -34,151 +51,126 @@ EVENT_NAMES = {
 }
 
 
-def _literal_rows(spark: SparkSession, rows, ddl: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), ddl)
+def _case(subject: str, pairs) -> str:
+    branches = " ".join(f"WHEN '{key}' THEN {result}" for key, result in pairs)
+    return f"CASE {subject} {branches} END"
 
 
-def _numbered(spark: SparkSession, table: str, names) -> DataFrame:
-    return _literal_rows(spark, list(enumerate(names, start=1)), S.TABLE_DDL[table])
+def _by_event(result) -> str:
+    """A CASE over raw type and k; nested, so that few branches look at k."""
+    branches = []
+    for kind, steps in EVENT_NAMES.items():
+        *early, (_, rest) = steps
+        inner = " ".join(f"WHEN k < {below} THEN {result(name)}" for below, name in early)
+        branches.append(
+            (kind, f"CASE {inner} ELSE {result(rest)} END" if early else result(rest))
+        )
+    return _case("event_type", branches)
 
 
-def _one_of(column, pairs):
-    chosen = None
-    for key, result in pairs:
-        chosen = (
-            F.when(column == key, result) if chosen is None else chosen.when(column == key, result)
-        )
-    return chosen
+def source(spark: SparkSession, path: str, table: str) -> DataFrame:
+    return spark.read.schema(SOURCE_DDL[table]).parquet(f"{path}/{table}.parquet")
 
 
-def _event_name():
-    kind, k = F.col("event_type"), F.col("k")
-    name = None
-    for raw, steps in EVENT_NAMES.items():
-        for below, label in steps:
-            matches = (kind == raw) & (k < below)
-            name = F.when(matches, label) if name is None else name.when(matches, label)
-    return name
+def _literal_rows(spark: SparkSession, table: str, rows) -> DataFrame:
+    return spark.createDataFrame(list(rows), S.TABLE_DDL[table])
 
 
 def raw_events(spark: SparkSession, path: str) -> DataFrame:
     """Events in canonical columns, before sessions are attached."""
-    named = (
-        spark.read.parquet(f"{path}/events.parquet")
-        .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-        .withColumn("event_name", _event_name())
-    )
-    type_id = _one_of(
-        F.col("event_name"),
-        [(row[0], F.lit(i)) for i, row in enumerate(S.EVENT_TYPE_ROWS, start=1)],
-    )
-    return named.select(
-        "event_id",
-        "user_id",
-        F.when(F.col("event_id") % 10 != 0, F.col("user_id") * 2).alias("experiment_id"),
-        type_id.alias("event_type_id"),
-        F.col("ts").alias("event_timestamp"),
-        F.when(F.col("event_type") != "error", F.concat(F.lit("/"), "event_name")).alias(
-            "page_url"
-        ),
-        F.when(F.col("event_type") == "purchase", F.col("value"))
-        .cast("decimal(12,4)")
-        .alias("revenue"),
-        (F.col("user_id") % 3 == 1).alias("is_mobile"),
+    return (
+        source(spark, path, "events")
+        .selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+        .selectExpr(
+            "event_id",
+            "user_id",
+            "IF(event_id % 10 <> 0, user_id * 2, NULL) AS experiment_id",
+            _by_event(lambda name: str(S.event_type_id(name))) + " AS event_type_id",
+            "ts AS event_timestamp",
+            _by_event(lambda name: "NULL" if name == "purchase_failed" else f"'/{name}'")
+            + " AS page_url",
+            "CAST(IF(event_type = 'purchase', value, NULL) AS DECIMAL(12,4)) AS revenue",
+            "user_id % 3 = 1 AS is_mobile",
+        )
     )
 
 
 def _users(spark: SparkSession, path: str) -> DataFrame:
-    uid, balance = F.col("c_custkey"), F.col("c_acctbal")
-    kind = (
-        F.when(balance < 4000, "new").when(balance < 8000, "returning").otherwise("high_value")
-    )
-    system = _one_of(uid % 4, enumerate(("Windows", "macOS", "iOS", "Android")))
-    channel = _one_of(F.col("c_mktsegment"), [(s, F.lit(i)) for i, s in enumerate(SEGMENTS, 1)])
-    return spark.read.parquet(f"{path}/customer.parquet").select(
-        uid.alias("user_id"),
-        F.date_add(F.lit("2023-07-05").cast("date"), (uid % 180).cast("int")).alias("signup_date"),
-        F.col("c_nationkey").alias("country_id"),
-        (uid % 3 + 1).cast("int").alias("device_id"),
-        (uid % 6 + 1).cast("int").alias("browser_id"),
-        channel.alias("channel_id"),
-        kind.alias("customer_type"),
-        system.alias("operating_system"),
-        (kind != "new").alias("is_returning"),
+    channel = _case("c_mktsegment", [(s, i) for i, s in enumerate(SEGMENTS, 1)])
+    return source(spark, path, "customer").selectExpr(
+        "c_custkey AS user_id",
+        "date_add(date'2023-07-05', CAST(c_custkey % 180 AS INT)) AS signup_date",
+        "c_nationkey AS country_id",
+        "CAST(c_custkey % 3 + 1 AS INT) AS device_id",
+        "CAST(c_custkey % 6 + 1 AS INT) AS browser_id",
+        f"{channel} AS channel_id",
+        "CASE WHEN c_acctbal < 4000 THEN 'new' WHEN c_acctbal < 8000 THEN 'returning' "
+        "ELSE 'high_value' END AS customer_type",
+        "elt(CAST(c_custkey % 4 + 1 AS INT), 'Windows', 'macOS', 'iOS', 'Android') "
+        "AS operating_system",
+        "c_acctbal >= 4000 AS is_returning",
     )
 
 
 def experiments_of(customers: DataFrame) -> DataFrame:
     """Assignments of customers to two experiments; per row, so it also runs on a stream."""
-    uid = F.col("c_custkey")
-    plan = F.array(
-        F.struct(F.lit(0).alias("n"), F.lit("checkout_redesign").alias("name"), F.lit(500).alias("cut")),
-        F.struct(F.lit(1).alias("n"), F.lit("pricing_test").alias("name"), F.lit(420).alias("cut")),
-    )
     return (
-        customers.select(uid, F.explode(plan).alias("e"))
-        .where((F.col("e.n") == 0) | (uid % 3 != 0))
-        .select(
-            (uid * 2 + F.col("e.n")).alias("experiment_id"),
-            F.col("e.name").alias("experiment_name"),
-            F.when((uid * 7919 + F.col("e.n") * 104729) % 1000 < F.col("e.cut"), S.VARIANT)
-            .otherwise(S.CONTROL)
-            .alias("variant"),
-            uid.alias("user_id"),
-            F.expr(
-                "timestamp_ntz'2024-01-01 00:00:00'"
-                " + make_dt_interval(cast(c_custkey % 14 as int), cast(c_custkey % 24 as int))"
-            ).alias("assignment_timestamp"),
-            ((uid * 31 + 7) % 50 == 0).alias("is_holdout"),
+        customers.selectExpr(
+            "c_custkey",
+            "inline(array(struct(0 AS n, 'checkout_redesign' AS name, 500 AS cut), "
+            "struct(1 AS n, 'pricing_test' AS name, 420 AS cut)))",
+        )
+        .where("n = 0 OR c_custkey % 3 <> 0")
+        .selectExpr(
+            "c_custkey * 2 + n AS experiment_id",
+            "name AS experiment_name",
+            "IF((c_custkey * 7919 + n * 104729) % 1000 < cut, 'variant', 'control') AS variant",
+            "c_custkey AS user_id",
+            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval("
+            "CAST(c_custkey % 14 AS INT), CAST(c_custkey % 24 AS INT)) AS assignment_timestamp",
+            "(c_custkey * 31 + 7) % 50 = 0 AS is_holdout",
         )
     )
 
 
 def _sessions(t: Tables) -> DataFrame:
-    return sessionize(t["raw_events"], GAP_MINUTES).select(
+    return sessionize(t["raw_events"], GAP_MINUTES).selectExpr(
         "session_id",
         "user_id",
         "session_start",
         "session_end",
         "duration_seconds",
-        (F.col("user_id") % 3 + 1).cast("int").alias("device_id"),
-        (F.col("user_id") % 6 + 1).cast("int").alias("browser_id"),
+        "CAST(user_id % 3 + 1 AS INT) AS device_id",
+        "CAST(user_id % 6 + 1 AS INT) AS browser_id",
         "page_count",
         "is_bounce",
     )
 
 
 def _orders(spark: SparkSession, path: str, t: Tables) -> DataFrame:
-    key = F.col("o_orderkey")
-    code = key * 7 % 20
-    cents = F.round(F.col("o_totalprice") * 100).cast("bigint") % 120000 + 100
-    day = "cast(datediff(o_orderdate, date'1995-01-01') % 30 as int)"
     first_session = (
         t["sessions"]
         .groupBy(F.col("user_id").alias("_user"))
         .agg(F.min_by("session_id", "session_start").alias("session_id"))
     )
+    method = _case("o_orderpriority", [(p, f"'{m}'") for p, m in PAYMENT_BY_PRIORITY])
     return (
-        spark.read.parquet(f"{path}/orders.parquet")
-        .join(first_session, F.col("o_custkey") == F.col("_user"), "left")
-        .select(
-            key.alias("order_id"),
-            F.col("o_custkey").alias("user_id"),
+        source(spark, path, "orders")
+        .join(first_session, F.expr("o_custkey = _user"), "left")
+        .selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS user_id",
             "session_id",
-            F.lit(None).cast("bigint").alias("event_id"),
-            F.expr(
-                f"timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval({day}, cast(o_orderkey % 24 as int))"
-            ).alias("order_timestamp"),
-            (cents.cast("decimal(10,0)") * F.lit("0.01").cast("decimal(3,2)"))
-            .cast("decimal(12,2)")
-            .alias("order_value"),
-            _one_of(F.col("o_orderpriority"), PAYMENT_BY_PRIORITY).alias("payment_method"),
-            (code == 1).alias("is_refund"),
-            F.when(code == 0, "completed")
-            .when(code == 1, "refunded")
-            .when(code == 2, "failed")
-            .otherwise("pending")
-            .alias("payment_status"),
+            "CAST(NULL AS BIGINT) AS event_id",
+            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval("
+            "CAST(datediff(o_orderdate, date'1995-01-01') % 30 AS INT), "
+            "CAST(o_orderkey % 24 AS INT)) AS order_timestamp",
+            "CAST(CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 120000 + 100 "
+            "AS DECIMAL(10,0)) * 0.01BD AS DECIMAL(12,2)) AS order_value",
+            f"{method} AS payment_method",
+            "o_orderkey * 7 % 20 = 1 AS is_refund",
+            "CASE o_orderkey * 7 % 20 WHEN 0 THEN 'completed' WHEN 1 THEN 'refunded' "
+            "WHEN 2 THEN 'failed' ELSE 'pending' END AS payment_status",
         )
     )
 
@@ -187,25 +179,25 @@ def load(spark: SparkSession, path: str) -> Tables:
     """The eleven canonical tables over a folder of warehouse Parquet files."""
     return Tables(
         {
-            "regions": lambda t: spark.read.parquet(f"{path}/region.parquet").select(
-                F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name")
+            "regions": lambda t: source(spark, path, "region").selectExpr(
+                "r_regionkey AS region_id", "r_name AS region_name"
+            ),
+            "countries": lambda t: source(spark, path, "nation").selectExpr(
+                "n_nationkey AS country_id",
+                "lpad(CAST(n_nationkey AS STRING), 2, '0') AS country_code",
+                "n_name AS country_name",
+                "n_regionkey AS region_id",
             ),
-            "countries": lambda t: spark.read.parquet(f"{path}/nation.parquet").select(
-                F.col("n_nationkey").alias("country_id"),
-                F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("country_code"),
-                F.col("n_name").alias("country_name"),
-                F.col("n_regionkey").alias("region_id"),
+            "devices": lambda t: _literal_rows(spark, "devices", enumerate(S.DEVICE_TYPES, 1)),
+            "browsers": lambda t: _literal_rows(spark, "browsers", enumerate(S.BROWSER_NAMES, 1)),
+            "acquisition_channels": lambda t: _literal_rows(
+                spark, "acquisition_channels", enumerate(SEGMENTS, 1)
             ),
-            "devices": lambda t: _numbered(spark, "devices", S.DEVICE_TYPES),
-            "browsers": lambda t: _numbered(spark, "browsers", S.BROWSER_NAMES),
-            "acquisition_channels": lambda t: _numbered(spark, "acquisition_channels", SEGMENTS),
             "event_types": lambda t: _literal_rows(
-                spark,
-                [(i, *row) for i, row in enumerate(S.EVENT_TYPE_ROWS, start=1)],
-                S.TABLE_DDL["event_types"],
+                spark, "event_types", [(i, *row) for i, row in enumerate(S.EVENT_TYPE_ROWS, 1)]
             ),
             "users": lambda t: _users(spark, path),
-            "experiments": lambda t: experiments_of(spark.read.parquet(f"{path}/customer.parquet")),
+            "experiments": lambda t: experiments_of(source(spark, path, "customer")),
             "raw_events": lambda t: raw_events(spark, path),
             "sessions": _sessions,
             "events": lambda t: with_session_id(t["raw_events"], GAP_MINUTES).select(
