@@ -178,7 +178,7 @@ def mean_ci(
 
 def _angle(rate: Column) -> Column:
     inside = F.greatest(F.lit(0.0), F.least(F.lit(1.0), rate))
-    return F.lit(2.0) * F.asin(F.sqrt(inside))
+    return F.when(rate.isNotNull(), F.lit(2.0) * F.asin(F.sqrt(inside)))
 
 
 def cohens_h(
@@ -349,7 +349,10 @@ def bonferroni(
 ) -> DataFrame:
     """p times the number of tests of the family, at most 1; NULL p-values are not counted."""
     tests = F.count("p_value").over(Window.partitionBy(*family))
-    corrected = F.least(F.col("p_value") * tests, F.lit(1.0))
+    # least() skips NULLs, so a missing p-value is kept out of it.
+    corrected = F.when(
+        F.col("p_value").isNotNull(), F.least(F.col("p_value") * tests, F.lit(1.0))
+    )
     return _corrected(p_values, corrected, "bonferroni", alpha)
 
 
