@@ -80,6 +80,19 @@ def test_sessions(spark):
     assert found["duration_distribution"] == ("WARN", 1)
 
 
+@pytest.mark.parametrize("durations", [
+    [7200] * 100, [7201] * 100, [10] * 99 + [720_000], [10] * 99 + [720_000_000], [10] * 98 + [9000] * 2,
+    [7201], [7199, 7300], [7100, 7201], [1] * 1000 + [10**6] * 11,
+])
+def test_percentile_limit_equals_the_sorted_percentile(spark, durations):
+    rows = [(f"s{i}", "u1", at(1), at(1), d, 1, 1, 1, False) for i, d in enumerate(durations)]
+    found = status(quality.dq_sessions(tables(spark, sessions=rows)["sessions"]))
+    ordered, at_rank = sorted(durations), 0.99 * (len(durations) - 1)
+    low, high = int(at_rank), -int(-at_rank // 1)
+    p99 = ordered[low] + (ordered[high] - ordered[low]) * (at_rank - low)
+    assert found["duration_distribution"][0] == ("WARN" if p99 > 7200 else "PASS")
+
+
 def test_events(spark):
     t = tables(spark)
     clean = status(quality.dq_events(t["events"], t["sessions"], t["event_types"]))

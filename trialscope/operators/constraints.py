@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -78,29 +79,65 @@ def unique_check(t) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def fk_check(t) -> DataFrame:
-    """Child rows without a parent for each foreign key; a NULL key passes.
+def _lookup_orphans(t, child: str, keys: Sequence[tuple[str, str]]) -> DataFrame:
+    """All lookup references of a child in one pass.
 
-    Children are folded to one row per key before the anti-join, so a key that many rows share
-    is looked up once.
+    The child is folded to its combinations of lookup keys, which are few, and these meet the
+    lookup tables.
     """
-    parts = []
-    for child, column, parent in S.FOREIGN_KEYS:
-        keys = (
-            t[child]
-            .where(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("_k"))
-            .agg(F.count(F.lit(1)).alias("c"))
+    columns = [column for column, _ in keys]
+    folded = t[child].groupBy(*columns).agg(F.count(F.lit(1)).alias("c"))
+    sums = []
+    for column, parent in keys:
+        known = t[parent].select(
+            F.col(S.PRIMARY_KEYS[parent]).alias(f"_{column}"), F.lit(True).alias(f"_{column}_known")
         )
-        parents = t[parent].select(F.col(S.PRIMARY_KEYS[parent]).alias("_p"))
-        parts.append(
-            keys.join(parents, F.col("_k") == F.col("_p"), "left_anti").agg(
+        folded = folded.join(known, F.col(column) == F.col(f"_{column}"), "left")
+        lost = F.col(column).isNotNull() & F.col(f"_{column}_known").isNull()
+        sums.append(F.sum(F.when(lost, F.col("c")).otherwise(0)).alias(f"_{column}_lost"))
+    counted = folded.agg(*sums)
+    rows = F.array(
+        *[
+            F.struct(
                 F.lit(child).alias("child_table"),
                 F.lit(column).alias("child_column"),
                 F.lit(parent).alias("parent_table"),
-                F.coalesce(F.sum("c"), F.lit(0)).alias("orphan_rows"),
+                F.coalesce(f"_{column}_lost", F.lit(0)).alias("orphan_rows"),
             )
-        )
+            for column, parent in keys
+        ]
+    )
+    return counted.select(F.inline(rows))
+
+
+def _entity_orphans(t, child: str, column: str, parent: str) -> DataFrame:
+    """One reference to a large table: the child is folded to one row per key first, so a key
+    that many rows share is looked up once."""
+    keys = (
+        t[child]
+        .where(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("_k"))
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    parents = t[parent].select(F.col(S.PRIMARY_KEYS[parent]).alias("_p"))
+    return keys.join(parents, F.col("_k") == F.col("_p"), "left_anti").agg(
+        F.lit(child).alias("child_table"),
+        F.lit(column).alias("child_column"),
+        F.lit(parent).alias("parent_table"),
+        F.coalesce(F.sum("c"), F.lit(0)).alias("orphan_rows"),
+    )
+
+
+def fk_check(t) -> DataFrame:
+    """Child rows without a parent for each foreign key; a NULL key passes."""
+    lookups: dict[str, list[tuple[str, str]]] = {}
+    parts = []
+    for child, column, parent in S.FOREIGN_KEYS:
+        if parent in S.LOOKUP_TABLES:
+            lookups.setdefault(child, []).append((column, parent))
+        else:
+            parts.append(_entity_orphans(t, child, column, parent))
+    parts += [_lookup_orphans(t, child, keys) for child, keys in lookups.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trialscope import schemas as S
-from trialscope.functions.quantiles import percentiles
 from trialscope.functions.ratios import ratio
 
 # Thresholds of the gate.
@@ -260,6 +259,31 @@ def dq_experiments(
     )
 
 
+def _percentile_counters(column: str, limit: float) -> list[Column]:
+    within = F.col(column) <= limit
+    return [
+        F.count(column).alias("measured"),
+        F.count_if(within).alias("within"),
+        F.max(F.when(within, F.col(column))).alias("last_within"),
+        F.min(F.when(~within, F.col(column))).alias("first_beyond"),
+    ]
+
+
+def _percentile_exceeds(p: float, limit: float) -> Column:
+    """Whether the interpolated percentile is above a limit, from plain counters.
+
+    The two ranks around the percentile are both within the limit, both beyond it, or they are
+    the last value within and the first beyond it; no sorting is needed to tell.
+    """
+    position = F.lit(p) * (F.col("measured") - 1)
+    low, high = F.floor(position), F.ceil(position)
+    between = F.col("last_within") + (F.col("first_beyond") - F.col("last_within")) * (
+        position - low
+    )
+    exceeds = (low >= F.col("within")) | ((high >= F.col("within")) & (between > limit))
+    return F.coalesce((F.col("measured") > 0) & exceeds, F.lit(False))
+
+
 def dq_sessions(sessions: DataFrame) -> DataFrame:
     bad = _missing_columns(sessions, "sessions")
     if bad is not None:
@@ -282,21 +306,13 @@ def dq_sessions(sessions: DataFrame) -> DataFrame:
             F.count_if(F.col("is_bounce") & (F.col("page_count") > 1)).alias("odd_bounce")
         )
         checks.append(Check("bounce_page_count_consistency", F.col("odd_bounce"), "WARN"))
-    hist = sessions.groupBy(F.lit("sessions").alias("g"), "duration_seconds").agg(
-        F.count(F.lit(1)).alias("w")
-    )
-    p99 = percentiles(hist, ["g"], "duration_seconds", "w", {"p99": 0.99})
-    long_tail = F.col("p99") > MAX_P99_DURATION
+    counters += _percentile_counters("duration_seconds", MAX_P99_DURATION)
+    long_tail = _percentile_exceeds(0.99, MAX_P99_DURATION)
+    checks.append(Check("duration_distribution", long_tail.cast("bigint"), "WARN"))
     return _all(
         [
             _emit(sessions.agg(*counters), "sessions", checks, "n"),
             _duplicates(sessions, "sessions", ["session_id"], "unique_session_id"),
-            _emit(
-                p99,
-                "sessions",
-                [Check("duration_distribution", long_tail.cast("bigint"), "WARN")],
-                None,
-            ),
         ]
     )
 

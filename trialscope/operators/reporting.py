@@ -20,6 +20,7 @@ from trialscope.operators.views import (
     mv_user_experiment_summary,
     revenue_summary,
     segment_conversion,
+    session_averages,
     session_metrics_view,
 )
 
@@ -143,7 +144,7 @@ def decision_inputs(tests: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def decision_inputs_of(t: TableMap) -> DataFrame:
-    return decision_inputs(inference_results(experiment_summary(t)), session_metrics_view(t))
+    return decision_inputs(inference_results(experiment_summary(t)), session_averages(t))
 
 
 def recommendations(

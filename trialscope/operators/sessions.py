@@ -49,10 +49,11 @@ def session_slots(
         )
     )
     by_user = Window.partitionBy("user_id").orderBy("slot")
+    so_far = by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     idle = _micros(F.col("first_ts")) - F.lag(_micros(F.col("last_ts"))).over(by_user)
     opens = F.when(idle <= gap_minutes * 60_000_000, 0).otherwise(1)
     numbered = slots.withColumn("opens", opens).withColumn(
-        "session_no", F.sum("opens").over(by_user)
+        "session_no", F.sum("opens").over(so_far)
     )
     in_session = Window.partitionBy("user_id", "session_no")
     return numbered.withColumn(

@@ -273,6 +273,49 @@ def session_metrics_view(t: TableMap) -> DataFrame:
     )
 
 
+def session_averages(t: TableMap) -> DataFrame:
+    """The columns of ``session_metrics_view`` that need no percentiles.
+
+    Sessions are folded to users, so this costs one aggregation and one join.
+    """
+    weight = F.col("n_rows")
+    per_user = (
+        t["sessions"]
+        .groupBy("user_id")
+        .agg(
+            F.count(F.lit(1)).alias("sessions"),
+            F.sum("duration_seconds").alias("seconds"),
+            F.count("duration_seconds").alias("seconds_n"),
+            F.sum("page_count").alias("pages"),
+            F.count("page_count").alias("pages_n"),
+            F.count_if("is_bounce").alias("bounces"),
+        )
+    )
+    weighted = ("seconds", "seconds_n", "pages", "pages_n")
+    totals = (
+        per_user.join(arm_users(t).select(*ARM, "user_id", "n_rows"), "user_id")
+        .groupBy(*ARM)
+        .agg(
+            F.sum("sessions").alias("total_sessions"),
+            F.count("user_id").alias("unique_users"),
+            *[F.sum(F.col(c) * weight).alias(c) for c in weighted],
+            F.sum("bounces").alias("bounced_sessions"),
+        )
+    )
+    sessions = F.col("total_sessions")
+    return totals.select(
+        *ARM,
+        "total_sessions",
+        "unique_users",
+        rounded_quotient(F.col("seconds"), F.col("seconds_n"), 2).alias(
+            "avg_session_duration_seconds"
+        ),
+        rounded_quotient(F.col("pages"), F.col("pages_n"), 2).alias("avg_pages_per_session"),
+        rounded_quotient(F.col("bounced_sessions"), sessions, 4).alias("bounce_rate"),
+        "bounced_sessions",
+    )
+
+
 SEGMENT = (
     "device_type",
     "country_name",

@@ -376,13 +376,13 @@ _OVER_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     },
     "primary_metric": lambda s, t: metrics.primary_metric(views.experiment_summary(t)),
     "secondary_metrics": lambda s, t: metrics.secondary_metrics(
-        views.revenue_summary(t), views.session_metrics_view(t)
+        views.revenue_summary(t), views.session_averages(t)
     ),
     "guardrail_metrics": lambda s, t: metrics.guardrail_metrics(
-        views.session_metrics_view(t), views.funnel_steps_view(t)
+        views.session_averages(t), views.funnel_steps_view(t)
     ),
     "all_metrics": lambda s, t: metrics.all_metrics(
-        views.experiment_summary(t), views.revenue_summary(t), views.session_metrics_view(t)
+        views.experiment_summary(t), views.revenue_summary(t), views.session_averages(t)
     ),
     "funnel_analyzer_steps": lambda s, t: funnel.analyzer_steps(reports.funnel_steps(t)),
     "funnel_lift": lambda s, t: funnel.funnel_lift(reports.funnel_steps(t)),
@@ -455,8 +455,23 @@ _OVER_FILES: dict[str, Query] = {
 }
 
 
-def _over_tables(build) -> Query:
-    return lambda spark, path: published(build(spark, warehouse.load(spark, path)))
+# Queries that read the session of an order.
+_READ_ORDER_SESSIONS = {
+    "scan_tables",
+    "sink_raw",
+    "bulk_load",
+    "row_count_reconcile",
+    "null_profile",
+    "dq_orders",
+    "dq_overall",
+    "schema_check",
+    "fk_check",
+}
+
+
+def _over_tables(name: str, build) -> Query:
+    linked = name in _READ_ORDER_SESSIONS
+    return lambda spark, path: published(build(spark, warehouse.load(spark, path, linked)))
 
 
 def _over_files(build: Query) -> Query:
@@ -464,6 +479,6 @@ def _over_files(build: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    **{name: _over_tables(build) for name, build in _OVER_TABLES.items()},
+    **{name: _over_tables(name, build) for name, build in _OVER_TABLES.items()},
     **{name: _over_files(build) for name, build in _OVER_FILES.items()},
 }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialscope import schemas as S
@@ -13,18 +13,27 @@ from trialscope import schemas as S
 def insert_missing(existing: DataFrame, seeds: DataFrame, key: str, identity: str) -> DataFrame:
     """Append the seeds whose key is not there yet, numbered after the highest id.
 
-    ``seeds`` has the key (and further columns) but no id; rows are numbered by ``seed_order``.
-    The window runs over the seed rows only, which are a fixed list of a few rows.
+    ``seeds`` has ``seed_order`` and all columns but the id.  The missing seeds are gathered in
+    one array to be numbered; they are a fixed list of a few rows.
     """
-    fresh = seeds.join(existing.select(key), key, "left_anti")
-    top = existing.agg(F.coalesce(F.max(identity), F.lit(0)).alias("_top"))
-    numbered = fresh.withColumn("_one", F.lit(1)).withColumn(
-        "_n", F.row_number().over(Window.partitionBy("_one").orderBy("seed_order"))
+    columns = [c for c in existing.columns if c != identity]
+    seed = F.struct("seed_order", *columns)
+    fresh = seeds.join(existing.select(key), key, "left_anti").select(
+        seed.alias("seed"), F.lit(None).cast("int").alias("top")
     )
-    added = numbered.join(top.withColumn("_one", F.lit(1)), "_one").withColumn(
-        identity, (F.col("_top") + F.col("_n")).cast(existing.schema[identity].dataType)
+    highest = existing.agg(F.coalesce(F.max(identity), F.lit(0)).cast("int").alias("top"))
+    added = (
+        fresh.unionByName(highest, allowMissingColumns=True)
+        .agg(F.array_sort(F.collect_list("seed")).alias("seeds"), F.max("top").alias("top"))
+        .select("top", F.posexplode("seeds").alias("pos", "seed"))
+        .select(
+            (F.col("top") + F.col("pos") + 1)
+            .cast(existing.schema[identity].dataType)
+            .alias(identity),
+            *[F.col(f"seed.{c}").alias(c) for c in columns],
+        )
     )
-    return existing.unionByName(added.select(*existing.columns))
+    return existing.unionByName(added)
 
 
 def with_parent_id(
@@ -34,10 +43,28 @@ def with_parent_id(
     return child.join(parent.select(name, identity), name).drop(name)
 
 
+def literal_rows(spark: SparkSession, ddl: str, rows: Iterable[tuple]) -> DataFrame:
+    """A few constant rows as a local relation.
+
+    Its exact size is known to the planner, so joins with it are broadcast because it is small;
+    a frame made of Python rows has no size and would make the large side move instead.
+    """
+    columns = [column.split() for column in ddl.split(", ")]
+
+    def literal(value) -> str:
+        if value is None:
+            return "NULL"
+        return str(value) if isinstance(value, int) else "'" + value.replace("'", "\\'") + "'"
+
+    body = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    names = ", ".join(name for name, _ in columns)
+    typed = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in columns)
+    return spark.sql(f"SELECT {typed} FROM VALUES {body} AS v({names})")
+
+
 def _ordered(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
-    return spark.createDataFrame(
-        [(i, *row) for i, row in enumerate(rows, start=1)], f"seed_order int, {ddl}"
-    )
+    numbered = [(i, *row) for i, row in enumerate(rows, start=1)]
+    return literal_rows(spark, f"seed_order int, {ddl}", numbered)
 
 
 def seed_lookups(spark: SparkSession, t) -> dict[str, DataFrame]:

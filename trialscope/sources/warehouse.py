@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from trialscope import schemas as S
 from trialscope.operators.sessions import sessionize, with_session_id
+from trialscope.sources.lookups import literal_rows
 from trialscope.sources.tables import Tables
 
 GAP_MINUTES = 240
@@ -72,10 +73,6 @@ def source(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(SOURCE_DDL[table]).parquet(f"{path}/{table}.parquet")
 
 
-def _literal_rows(spark: SparkSession, table: str, rows) -> DataFrame:
-    return spark.createDataFrame(list(rows), S.TABLE_DDL[table])
-
-
 def raw_events(spark: SparkSession, path: str) -> DataFrame:
     """Events in canonical columns, before sessions are attached."""
     return (
@@ -147,36 +144,40 @@ def _sessions(t: Tables) -> DataFrame:
     )
 
 
-def _orders(spark: SparkSession, path: str, t: Tables) -> DataFrame:
-    first_session = (
-        t["sessions"]
-        .groupBy(F.col("user_id").alias("_user"))
-        .agg(F.min_by("session_id", "session_start").alias("session_id"))
-    )
-    method = _case("o_orderpriority", [(p, f"'{m}'") for p, m in PAYMENT_BY_PRIORITY])
-    return (
-        source(spark, path, "orders")
-        .join(first_session, F.expr("o_custkey = _user"), "left")
-        .selectExpr(
-            "o_orderkey AS order_id",
-            "o_custkey AS user_id",
-            "session_id",
-            "CAST(NULL AS BIGINT) AS event_id",
-            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval("
-            "CAST(datediff(o_orderdate, date'1995-01-01') % 30 AS INT), "
-            "CAST(o_orderkey % 24 AS INT)) AS order_timestamp",
-            "CAST(CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 120000 + 100 "
-            "AS DECIMAL(10,0)) * 0.01BD AS DECIMAL(12,2)) AS order_value",
-            f"{method} AS payment_method",
-            "o_orderkey * 7 % 20 = 1 AS is_refund",
-            "CASE o_orderkey * 7 % 20 WHEN 0 THEN 'completed' WHEN 1 THEN 'refunded' "
-            "WHEN 2 THEN 'failed' ELSE 'pending' END AS payment_status",
+def _orders(spark: SparkSession, path: str, t: Tables, link_sessions: bool) -> DataFrame:
+    orders = source(spark, path, "orders")
+    if link_sessions:
+        first_session = (
+            t["sessions"]
+            .groupBy(F.col("user_id").alias("_user"))
+            .agg(F.min_by("session_id", "session_start").alias("session_id"))
         )
+        orders = orders.join(first_session, F.expr("o_custkey = _user"), "left")
+    session = "session_id" if link_sessions else "CAST(NULL AS BIGINT) AS session_id"
+    method = _case("o_orderpriority", [(p, f"'{m}'") for p, m in PAYMENT_BY_PRIORITY])
+    return orders.selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS user_id",
+        session,
+        "CAST(NULL AS BIGINT) AS event_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval("
+        "CAST(datediff(o_orderdate, date'1995-01-01') % 30 AS INT), "
+        "CAST(o_orderkey % 24 AS INT)) AS order_timestamp",
+        "CAST(CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 120000 + 100 "
+        "AS DECIMAL(10,0)) * 0.01BD AS DECIMAL(12,2)) AS order_value",
+        f"{method} AS payment_method",
+        "o_orderkey * 7 % 20 = 1 AS is_refund",
+        "CASE o_orderkey * 7 % 20 WHEN 0 THEN 'completed' WHEN 1 THEN 'refunded' "
+        "WHEN 2 THEN 'failed' ELSE 'pending' END AS payment_status",
     )
 
 
-def load(spark: SparkSession, path: str) -> Tables:
-    """The eleven canonical tables over a folder of warehouse Parquet files."""
+def load(spark: SparkSession, path: str, link_sessions: bool = True) -> Tables:
+    """The eleven canonical tables over a folder of warehouse Parquet files.
+
+    ``orders.session_id`` costs a join with the sessions; without ``link_sessions`` it is NULL,
+    for queries that do not read it.
+    """
     return Tables(
         {
             "regions": lambda t: source(spark, path, "region").selectExpr(
@@ -188,13 +189,19 @@ def load(spark: SparkSession, path: str) -> Tables:
                 "n_name AS country_name",
                 "n_regionkey AS region_id",
             ),
-            "devices": lambda t: _literal_rows(spark, "devices", enumerate(S.DEVICE_TYPES, 1)),
-            "browsers": lambda t: _literal_rows(spark, "browsers", enumerate(S.BROWSER_NAMES, 1)),
-            "acquisition_channels": lambda t: _literal_rows(
-                spark, "acquisition_channels", enumerate(SEGMENTS, 1)
+            "devices": lambda t: literal_rows(
+                spark, S.TABLE_DDL["devices"], enumerate(S.DEVICE_TYPES, 1)
+            ),
+            "browsers": lambda t: literal_rows(
+                spark, S.TABLE_DDL["browsers"], enumerate(S.BROWSER_NAMES, 1)
+            ),
+            "acquisition_channels": lambda t: literal_rows(
+                spark, S.TABLE_DDL["acquisition_channels"], enumerate(SEGMENTS, 1)
             ),
-            "event_types": lambda t: _literal_rows(
-                spark, "event_types", [(i, *row) for i, row in enumerate(S.EVENT_TYPE_ROWS, 1)]
+            "event_types": lambda t: literal_rows(
+                spark,
+                S.TABLE_DDL["event_types"],
+                [(i, *row) for i, row in enumerate(S.EVENT_TYPE_ROWS, 1)],
             ),
             "users": lambda t: _users(spark, path),
             "experiments": lambda t: experiments_of(source(spark, path, "customer")),
@@ -204,6 +211,6 @@ def load(spark: SparkSession, path: str) -> Tables:
                 "event_id", "session_id", "user_id", "experiment_id", "event_type_id",
                 "event_timestamp", "page_url", "revenue", "is_mobile",
             ),
-            "orders": lambda t: _orders(spark, path, t),
+            "orders": lambda t: _orders(spark, path, t, link_sessions),
         }
     )
