@@ -24,12 +24,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Bucket of rows without a value; below every other bucket.
+NO_VALUE = -(2**62)
+
+
 def _bucket(value: Column, resolution: float) -> Column:
     v = value.cast("double") / F.lit(float(resolution))
     magnitude = F.floor(F.lit(1024.0) * F.log1p(F.abs(v)))
     return F.when(v < 0, -magnitude).otherwise(magnitude)
 
 
+def with_known_groups(hist: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The rows whose group columns are all known.
+
+    Joins on the group would add this filter to the one branch they are in, and branches over
+    the same histogram would no longer share their exchanges.
+    """
+    for g in groups:
+        hist = hist.where(F.col(g).isNotNull())
+    return hist
+
+
 def values_at_ranks(
     hist: DataFrame,
     groups: Sequence[str],
@@ -44,20 +59,24 @@ def values_at_ranks(
     ``hist`` has one row per (group, value).  A rank is a Column over ``n`` giving a 0-based
     position in the ascending multiset in which every value is repeated ``weight`` times; rows
     with a NULL value have no rank.  ``totals`` names integer columns of ``hist`` whose sums per
-    group are wanted too; these include the rows with a NULL value.
+    group are wanted too; these include the rows with a NULL value.  Groups with a NULL key or
+    without any value are left out.
     """
     groups = list(groups)
     known = F.col(value).isNotNull()
     counters = [F.when(known, F.col(weight)).otherwise(0), *[F.col(c) for c in totals]]
-    cells = hist.select(
+    bucket = F.coalesce(_bucket(F.col(value), resolution), F.lit(NO_VALUE))
+    cells = with_known_groups(hist, groups).select(
         *groups,
         F.col(value).alias("_v"),
-        _bucket(F.col(value), resolution).alias("_b"),
+        bucket.alias("_b"),
         F.array(*[c.cast("bigint") for c in counters]).alias("_counters"),
     ).repartition(*groups, "_b")
 
     in_group = Window.partitionBy(*groups)
-    upto_bucket = in_group.orderBy("_b").rowsBetween(
+    # Ordered by value, which keeps the value in the shared exchange; buckets order the same way,
+    # and the bucket of rows without a value has no weight.
+    upto_bucket = in_group.orderBy("_first").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     hit = F.filter(
@@ -68,6 +87,7 @@ def values_at_ranks(
         cells.groupBy(*groups, "_b")
         .agg(
             F.sum(F.col("_counters")[0]).alias("_bw"),
+            F.min("_v").alias("_first"),
             *[F.sum(F.col("_counters")[i]).alias(c) for i, c in enumerate(totals, 1)],
         )
         .select(
@@ -99,10 +119,9 @@ def values_at_ranks(
         )
     )
 
-    # Null-safe on all keys: a plain equality would add a filter to one branch only.
-    same_bucket = F.col("_b").eqNullSafe(F.col("_wb"))
+    same_bucket = F.col("_b") == F.col("_wb")
     for g in groups:
-        same_bucket = same_bucket & F.col(g).eqNullSafe(F.col(f"_{g}"))
+        same_bucket = same_bucket & (F.col(g) == F.col(f"_{g}"))
     upto_value = (
         Window.partitionBy(*groups, "_b")
         .orderBy("_v")

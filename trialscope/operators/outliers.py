@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialscope.functions.quantiles import percentiles, values_at_ranks
+from trialscope.functions.quantiles import percentiles, values_at_ranks, with_known_groups
 from trialscope.functions.ratios import ratio
 
 GROUP = ("experiment_name", "variant")
@@ -76,12 +76,13 @@ def outlier_impact(
     fences = iqr_bounds(hist, groups, value, weight, multiplier, resolution)
     outside = _is_outside(F.col(value))
     w, v = F.col(weight), F.col(value)
+    known = v.isNotNull()
     sums = (
-        hist.where(v.isNotNull())
-        .join(fences.withColumnRenamed("n", "_n"), list(groups))
+        with_known_groups(hist, groups)
+        .join(fences.drop("n"), list(groups))
         .groupBy(*groups)
         .agg(
-            F.sum(w).alias("total_records"),
+            F.sum(F.when(known, w)).alias("total_records"),
             F.sum(F.when(outside, w).otherwise(0)).alias("outlier_count"),
             F.sum(v * w).alias("_all"),
             F.sum(F.when(~outside, v * w)).alias("_kept"),
@@ -136,15 +137,17 @@ def winsorized_mean(
         resolution,
     ).drop("n")
     v = F.col(value)
+    # greatest() and least() skip NULLs, so rows without a value are given no weight.
+    w = F.when(v.isNotNull(), F.col(weight))
     clamped = F.least(F.greatest(v, F.col("lowest_kept")), F.col("highest_kept"))
     return (
-        hist.where(v.isNotNull())
+        with_known_groups(hist, groups)
         .join(kept, list(groups))
         .groupBy(*groups)
         .agg(
-            F.sum(weight).alias("n"),
+            F.sum(w).alias("n"),
             F.max("lowest_kept").cast("double").alias("lowest_kept"),
             F.max("highest_kept").cast("double").alias("highest_kept"),
-            ratio(F.sum(clamped * F.col(weight)), F.sum(weight)).alias("winsorized_mean"),
+            ratio(F.sum(clamped * w), F.sum(w)).alias("winsorized_mean"),
         )
     )
