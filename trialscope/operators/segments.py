@@ -103,26 +103,31 @@ def top_segments(
     ).limit(top_n)
 
 
-def segment_grouping_sets(segments: DataFrame) -> DataFrame:
-    """Conversion per device, channel, customer type and country in one pass.
-
-    The dimensions are unrolled to (dimension, value) rows of the segment summary and grouped
-    once, which is the GROUPING SETS result with a readable label.
-    """
-    labels = F.array(
-        *[
-            F.struct(F.lit(d).alias("dimension"), F.col(d).alias("segment"))
-            for d in DIMENSIONS
-        ]
+def segment_grouping_sets(
+    segments: DataFrame, dimensions: Sequence[str] = DIMENSIONS
+) -> DataFrame:
+    """Conversion per value of each dimension, in one pass with grouping sets."""
+    base = ["experiment_name", "variant"]
+    label, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for d in dimensions:
+        grouped = F.grouping(d) == 0
+        label = F.when(grouped, F.lit(d)).otherwise(label)
+        value = F.when(grouped, F.col(d)).otherwise(value)
+    summed = segments.groupingSets(
+        [[F.col(c) for c in (*base, d)] for d in dimensions], *base, *dimensions
+    ).agg(
+        label.alias("dimension"),
+        value.alias("segment"),
+        F.sum("total_users").alias("total_users"),
+        F.sum("purchasers").alias("purchasers"),
     )
-    summed = (
-        segments.select(
-            "experiment_name", "variant", "total_users", "purchasers", F.inline(labels)
-        )
-        .groupBy("experiment_name", "dimension", "segment", "variant")
-        .agg(F.sum("total_users").alias("total_users"), F.sum("purchasers").alias("purchasers"))
+    return with_conversion_rate(
+        summed.select(
+            "experiment_name", "dimension", "segment", "variant", "total_users", "purchasers"
+        ),
+        "purchasers",
+        "total_users",
     )
-    return with_conversion_rate(summed, "purchasers", "total_users")
 
 
 def segment_report(segments: DataFrame, top_countries: int = 10) -> DataFrame:

@@ -652,6 +652,12 @@ BLOCKS["x_by_dimension"] = " UNION ALL ".join(
     for d in REPORT_NAMES
 )
 expect("segment_grouping_sets", _round_all("x_by_dimension", "conversion_rate"))
+expect(
+    "conversion_by_dimension",
+    _round_all(
+        "(SELECT * FROM x_by_dimension WHERE dimension <> 'country_name')", "conversion_rate"
+    ),
+)
 BLOCKS["x_lifts"] = """
 SELECT a.experiment_name, a.dimension, a.segment, a.total_users AS total_users_variant,
        a.purchasers AS purchasers_variant, a.conversion_rate AS conversion_rate_variant,

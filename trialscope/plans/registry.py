@@ -388,6 +388,9 @@ _OVER_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "funnel_lift": lambda s, t: funnel.funnel_lift(reports.funnel_steps(t)),
     "biggest_drop_off": lambda s, t: funnel.biggest_drop_off(reports.funnel_steps(t)),
     "funnel_report": _funnel_report,
+    "conversion_by_dimension": lambda s, t: segments.segment_grouping_sets(
+        views.segment_conversion(t), ("device_type", "channel_name", "customer_type")
+    ),
     "conversion_by_device": _conversion_by("device_type"),
     "conversion_by_channel": _conversion_by("channel_name"),
     "conversion_by_customer_type": _conversion_by("customer_type"),
