@@ -23,21 +23,21 @@ def time_slot(ts: Column, gap_minutes: int) -> Column:
     return micros - F.pmod(micros, F.lit(gap_minutes * 60_000_000))
 
 
-def session_slots(
+def numbered_slots(
     events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     user: str = "user_id",
     ts: str = "event_timestamp",
     event_id: str = "event_id",
 ) -> DataFrame:
-    """One row per (user, slot) with the session the slot belongs to.
+    """One row per (user, slot) with the number of its session among the user's sessions.
 
     Two events of a user in the same gap-wide slot are less than one gap apart, so a slot is
     never divided between sessions.  Events are therefore folded to slots first, with map-side
     combining: the window per user then sees at most (time span / gap) rows however many events
-    the user has.  A session is named after its smallest event id.
+    the user has.
     """
-    assert_columns_exist(events, [user, ts, event_id], "session_slots")
+    assert_columns_exist(events, [user, ts, event_id], "numbered_slots")
     slots = (
         events.where(F.col(ts).isNotNull())
         .groupBy(F.col(user).alias("user_id"), time_slot(F.col(ts), gap_minutes).alias("slot"))
@@ -52,13 +52,11 @@ def session_slots(
     so_far = by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     idle = _micros(F.col("first_ts")) - F.lag(_micros(F.col("last_ts"))).over(by_user)
     opens = F.when(idle <= gap_minutes * 60_000_000, 0).otherwise(1)
-    numbered = slots.withColumn("opens", opens).withColumn(
-        "session_no", F.sum("opens").over(so_far)
+    return (
+        slots.withColumn("opens", opens)
+        .withColumn("session_no", F.sum("opens").over(so_far))
+        .drop("opens")
     )
-    in_session = Window.partitionBy("user_id", "session_no")
-    return numbered.withColumn(
-        "session_id", F.min("first_event_id").over(in_session)
-    ).drop("opens", "first_event_id", "session_no")
 
 
 def sessionize(
@@ -68,14 +66,18 @@ def sessionize(
     ts: str = "event_timestamp",
     event_id: str = "event_id",
 ) -> DataFrame:
-    """Gap-based sessions: a new one starts when a user was idle for longer than the gap."""
-    slots = session_slots(events, gap_minutes, user, ts, event_id)
+    """Gap-based sessions: a new one starts when a user was idle for longer than the gap.
+
+    A session is named after its smallest event id.
+    """
     seconds = F.floor(
         (_micros(F.col("session_end")) - _micros(F.col("session_start"))) / F.lit(1_000_000)
     )
     return (
-        slots.groupBy("user_id", "session_id")
+        numbered_slots(events, gap_minutes, user, ts, event_id)
+        .groupBy("user_id", "session_no")
         .agg(
+            F.min("first_event_id").alias("session_id"),
             F.min("first_ts").alias("session_start"),
             F.max("last_ts").alias("session_end"),
             F.sum("n_events").alias("page_count"),
@@ -104,8 +106,11 @@ def with_session_id(
     The slot is part of the join key, so a user with very many events is spread over as many
     keys as the user has active slots.
     """
-    slots = session_slots(events, gap_minutes, user, ts, event_id).select(
-        F.col("user_id").alias("_user"), F.col("slot").alias("_slot"), "session_id"
+    in_session = Window.partitionBy("user_id", "session_no")
+    slots = numbered_slots(events, gap_minutes, user, ts, event_id).select(
+        F.col("user_id").alias("_user"),
+        F.col("slot").alias("_slot"),
+        F.min("first_event_id").over(in_session).alias("session_id"),
     )
     same_slot = (F.col(user) == F.col("_user")) & (
         time_slot(F.col(ts), gap_minutes) == F.col("_slot")

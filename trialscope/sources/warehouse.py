@@ -52,12 +52,12 @@ EVENT_NAMES = {
 }
 
 
-def _case(subject: str, pairs) -> str:
+def _case(subject: str, pairs, otherwise: str = "NULL") -> str:
     branches = " ".join(f"WHEN '{key}' THEN {result}" for key, result in pairs)
-    return f"CASE {subject} {branches} END"
+    return f"CASE {subject} {branches} ELSE {otherwise} END"
 
 
-def _by_event(result) -> str:
+def _by_event(result, otherwise: str) -> str:
     """A CASE over raw type and k; nested, so that few branches look at k."""
     branches = []
     for kind, steps in EVENT_NAMES.items():
@@ -66,7 +66,7 @@ def _by_event(result) -> str:
         branches.append(
             (kind, f"CASE {inner} ELSE {result(rest)} END" if early else result(rest))
         )
-    return _case("event_type", branches)
+    return _case("event_type", branches, otherwise)
 
 
 def source(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -82,9 +82,11 @@ def raw_events(spark: SparkSession, path: str) -> DataFrame:
             "event_id",
             "user_id",
             "IF(event_id % 10 <> 0, user_id * 2, NULL) AS experiment_id",
-            _by_event(lambda name: str(S.event_type_id(name))) + " AS event_type_id",
+            # A raw type without a name gets 0, which no event type has; as the id is never NULL,
+            # joins on it need no filter that would look into props once more.
+            _by_event(lambda name: str(S.event_type_id(name)), "0") + " AS event_type_id",
             "ts AS event_timestamp",
-            _by_event(lambda name: "NULL" if name == "purchase_failed" else f"'/{name}'")
+            _by_event(lambda name: "NULL" if name == "purchase_failed" else f"'/{name}'", "NULL")
             + " AS page_url",
             "CAST(IF(event_type = 'purchase', value, NULL) AS DECIMAL(12,4)) AS revenue",
             "user_id % 3 = 1 AS is_mobile",
