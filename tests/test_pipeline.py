@@ -37,6 +37,19 @@ def test_run_exports_everything(spark, root):
     assert {r.generated_at for r in advice.collect()} == {"2024-02-01T00:00:00"}
 
 
+def test_command_line(spark, root, capsys):
+    from trialscope.__main__ import main
+    from trialscope.sources import storage
+
+    storage.sink_raw(tables(spark), f"{root}/raw")
+    assert main(["--csv", f"{root}/raw", "--dry-run"]) == 1
+    assert "sessions.positive_duration: 1" in capsys.readouterr().err
+    assert main(["--csv", f"{root}/raw", "--out", f"{root}/out", "--no-gate"]) == 0
+    assert "user_level_data: 5 rows" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["--csv", f"{root}/raw"])
+
+
 def test_clean_tables_pass_the_gate(spark):
     # Bounces of no duration are a violation, so the clean input has none.
     t = tables(spark)

@@ -54,3 +54,11 @@ def test_orders_are_folded_before_they_move(spark):
     scan = plan.index("orders.parquet")
     moved = plan.rindex("Exchange hashpartitioning(user_id", 0, scan)
     assert "partial_sum" in plan[moved:scan] and plan[moved:scan].count("Exchange") == 1
+
+
+def test_histogram_branches_share_their_exchanges(spark):
+    df = QUERIES["winsorized_mean"](spark, PATH)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 2
+    assert plan.count("orders.parquet") == plan.count("customer.parquet") == 1

@@ -35,6 +35,20 @@ def test_csv_round_trip(spark, root):
     assert views.experiment_summary(t).collect() and views.experiment_summary(back).collect()
 
 
+def test_csv_columns_are_found_by_name(spark, root):
+    with open(f"{root}/orders.csv", "w") as f:
+        f.write("payment_status,order_id,user_id,session_id,event_id,order_timestamp,order_value,"
+                "is_refund,payment_method,extra\n"
+                "completed,o1,u1,s1,,2024-01-01 10:00:00+00:00,12.5,False,paypal,x\n"
+                "refunded,o2,u1,s1,e1,2024-01-02T10:00:00,oops,True,paypal,y\n")
+    orders = storage.scan_tables(spark, root)["orders"]
+    assert orders.columns == [c.split()[0] for c in S.TABLE_DDL["orders"].split(", ")]
+    first, second = one(orders, order_id="o1"), one(orders, order_id="o2")
+    assert float(first["order_value"]) == 12.5 and first["is_refund"] is False
+    assert first["event_id"] is None and first["order_timestamp"].hour == 10
+    assert second["order_value"] is None and second["is_refund"] is True
+
+
 def test_absent_files_are_left_out(spark, root):
     t = tables(spark)
     storage.sink_raw({"users": t["users"], "orders": t["orders"]}, root, "parquet")
@@ -93,6 +107,16 @@ def test_lookups_keep_existing_rows(spark):
     assert countries["JP"].region_id == regions["Asia Pacific"]
 
 
+def test_standard_lookups(spark):
+    standard = lookups.standard_lookups(spark)
+    assert {n: df.count() for n, df in standard.items()} == {
+        "regions": 5, "countries": 20, "devices": 3, "browsers": 6, "acquisition_channels": 9,
+        "event_types": 18,
+    }
+    assert one(standard["event_types"], event_name="purchase")["event_type_id"] == 9
+    assert one(standard["countries"], country_code="BR")["region_id"] == 4
+
+
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.conf.get(storage.CHECKPOINT_KEY, None)
     assert named is None or storage.shared_folder(spark) == named.rstrip("/")

@@ -211,13 +211,10 @@ def order_analysis(t: TableMap) -> DataFrame:
     so the refund columns stay 0 unless a completed order is flagged as refunded.
     """
     value = F.col("order_value")
-    bucket = (
-        F.when(value < 20, "1. Under $20")
-        .when(value < 50, "2. $20 - $49.99")
-        .when(value < 100, "3. $50 - $99.99")
-        .when(value < 200, "4. $100 - $199.99")
-        .otherwise("5. $200+")
-    )
+    *bounded, (_, rest) = S.VALUE_BUCKETS
+    bucket = F.lit(rest)
+    for upper, label in reversed(bounded):
+        bucket = F.when(value < upper, label).otherwise(bucket)
     per_user = (
         t["orders"]
         .where(F.col("payment_status") == "completed")

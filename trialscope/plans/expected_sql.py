@@ -438,9 +438,8 @@ expect(
     "order_analysis",
     f"""SELECT experiment_name, variant, CAST(order_timestamp AS DATE) AS order_date,
        payment_method,
-       CASE WHEN order_value >= 200 THEN '5. $200+' WHEN order_value >= 100 THEN '4. $100 - $199.99'
-            WHEN order_value >= 50 THEN '3. $50 - $99.99' WHEN order_value >= 20
-            THEN '2. $20 - $49.99' ELSE '1. Under $20' END AS order_value_bucket,
+       CASE {" ".join(f"WHEN order_value < {u} THEN '{n}'" for u, n in S.VALUE_BUCKETS if u)}
+            ELSE '{S.VALUE_BUCKETS[-1][1]}' END AS order_value_bucket,
        count(*) AS total_orders, {money("sum(order_value)")} AS total_revenue,
        count(*) FILTER (is_refund) AS refunded_orders,
        {money("coalesce(sum(order_value) FILTER (is_refund), 0)")} AS refunded_revenue

@@ -107,6 +107,16 @@ FUNNEL_STEPS = (
 )
 
 
+# Order value buckets, as (upper bound, label); the last takes the rest.
+VALUE_BUCKETS = (
+    (20, "1. Under $20"),
+    (50, "2. $20 - $49.99"),
+    (100, "3. $50 - $99.99"),
+    (200, "4. $100 - $199.99"),
+    (None, "5. $200+"),
+)
+
+
 def event_type_id(name: str) -> int:
     return [row[0] for row in EVENT_TYPE_ROWS].index(name) + 1
 

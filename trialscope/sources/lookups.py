@@ -101,3 +101,22 @@ def seed_lookups(spark: SparkSession, t) -> dict[str, DataFrame]:
         seeds = _ordered(spark, [(v,) for v in values], f"{name} string")
         seeded[table] = insert_missing(t[table], seeds, name, identity)
     return seeded
+
+
+def standard_lookups(spark: SparkSession) -> dict[str, DataFrame]:
+    """The six lookup tables with their standard rows, ids by position."""
+    region_ids = {name: i for i, name in enumerate(S.REGION_NAMES, start=1)}
+    rows = {
+        "regions": [(r,) for r in S.REGION_NAMES],
+        "countries": [(code, name, region_ids[region]) for code, name, region in S.COUNTRY_ROWS],
+        "devices": [(d,) for d in S.DEVICE_TYPES],
+        "browsers": [(b,) for b in S.BROWSER_NAMES],
+        "acquisition_channels": [(c,) for c in S.CHANNEL_NAMES],
+        "event_types": S.EVENT_TYPE_ROWS,
+    }
+    return {
+        table: literal_rows(
+            spark, S.TABLE_DDL[table], [(i, *row) for i, row in enumerate(values, start=1)]
+        )
+        for table, values in rows.items()
+    }

@@ -56,19 +56,36 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return status is not None and status.isDirectory()
 
 
+def _declared(table: str) -> list[tuple[str, str]]:
+    """(column, type) pairs of a canonical table."""
+    return [tuple(column.split()) for column in S.TABLE_DDL[table].split(", ")]
+
+
+def _read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Declared columns by header name, so the order in the file does not matter.
+
+    A value that can not be read becomes NULL and is then reported by the quality gate.
+    """
+    raw = spark.read.option("header", True).csv(path)
+    return raw.select(
+        *[F.col(c).try_cast(kind).alias(c) for c, kind in _declared(table) if c in raw.columns]
+    )
+
+
 def scan_tables(
     spark: SparkSession, root: str, source: str = "csv", tables: Sequence[str] = S.CORE_TABLES
 ) -> Tables:
-    """Tables found under ``root`` with their declared schemas; absent ones are left out."""
+    """Tables under ``root`` as ``<table>`` or ``<table>.<source>``; absent ones are left out."""
     found: dict[str, DataFrame] = {}
     for table in tables:
-        path = table_path(root, table)
-        if _status(spark, path) is None:
+        paths = [table_path(root, table), f"{table_path(root, table)}.{source}"]
+        path = next((p for p in paths if _status(spark, p) is not None), None)
+        if path is None:
             continue
-        reader = spark.read.schema(S.TABLE_DDL[table])
         if source == "csv":
-            reader = reader.option("header", True)
-        found[table] = reader.format(source).load(path)
+            found[table] = _read_csv(spark, path, table)
+        else:
+            found[table] = spark.read.schema(S.TABLE_DDL[table]).format(source).load(path)
     return Tables(found)
 
 
