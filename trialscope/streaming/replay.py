@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from trialscope.sources.storage import is_folder, scratch_path
@@ -16,6 +19,27 @@ def read_files_as_stream(spark: SparkSession, path: str) -> DataFrame:
     return reader.option("pathGlobFilter", name).parquet(folder)
 
 
+# Sessions are merged within each task before they are shuffled by user, so a user with a large
+# share of the events arrives as sessions, not as events.
+STREAM_SETTINGS = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the duration of a block; a stream keeps those it was started with."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def run_available(stream: DataFrame, name: str) -> DataFrame:
     """Process everything available in append mode into Parquet files and return them.
 
@@ -24,13 +48,14 @@ def run_available(stream: DataFrame, name: str) -> DataFrame:
     """
     spark = stream.sparkSession
     root = scratch_path(spark, name)
-    query = (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", f"{root}/data")
-        .option("checkpointLocation", f"{root}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with settings(spark, STREAM_SETTINGS):
+        query = (
+            stream.writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", f"{root}/data")
+            .option("checkpointLocation", f"{root}/state")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{root}/data")
