@@ -62,3 +62,39 @@ def test_histogram_branches_share_their_exchanges(spark):
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("ReusedExchange") == 2
     assert plan.count("orders.parquet") == plan.count("customer.parquet") == 1
+
+
+def test_a_hot_session_is_split_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from trialscope.operators import quality
+    from trialscope.streaming.replay import settings
+
+    start = F.lit("2024-01-01").cast("timestamp")
+    events = spark.range(0, 200_000, 1, 16).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 1000).alias("session_id"),
+        F.lit(1).alias("user_id"),
+        F.lit(1).alias("event_type_id"),
+        F.timestamp_seconds(F.unix_timestamp(start) + F.col("id") % 3600).alias("event_timestamp"),
+    )
+    sessions = spark.range(0, 999).select(
+        F.col("id").alias("session_id"),
+        start.alias("session_start"),
+        F.timestamp_seconds(F.unix_timestamp(start) + 3000).alias("session_end"),
+    )
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    with settings(spark, small):
+        checks = quality.dq_events(events, sessions)
+        found = {r.check_name: r.violations for r in checks.collect()}
+        plan = checks._jdf.queryExecution().executedPlan().toString()
+    orphans = sum(1 for i in range(200_000) if i % 3 and i % 1000 == 999)
+    outside = sum(1 for i in range(200_000) if i % 3600 > 3000 and not (i % 3 and i % 1000 == 999))
+    assert (found["no_orphan_events"], found["event_within_session_window"]) == (orphans, outside)
+    assert "skew=true" in plan.split("== Initial Plan ==")[0]

@@ -11,6 +11,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from trialscope import schemas as S
 from trialscope.plans import pipeline
 from trialscope.sources import lookups, storage, warehouse
 from trialscope.sources.tables import Tables
@@ -34,8 +35,10 @@ def main(arguments: list[str] | None = None) -> int:
         .getOrCreate()
     )
     if options.csv:
+        # A missing file counts as an empty table, which the gate reports.
+        empty = {name: spark.createDataFrame([], S.TABLE_DDL[name]) for name in S.CORE_TABLES}
         core = storage.scan_tables(spark, options.csv)
-        t = Tables({**lookups.standard_lookups(spark), **core})
+        t = Tables({**lookups.standard_lookups(spark), **empty, **core})
     else:
         t = warehouse.load(spark, options.warehouse)
     try:

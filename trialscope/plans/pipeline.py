@@ -31,7 +31,10 @@ def gate(t: Mapping[str, DataFrame], start: str | None = None, end: str | None =
     )
     if failed:
         raise GateFailed("; ".join(f"{r.table_name}.{r.check_name}: {r.violations}" for r in failed))
-    constraints.assert_schema(t)
+    try:
+        constraints.assert_schema(t)
+    except constraints.SchemaViolation as violation:
+        raise GateFailed(str(violation)) from violation
 
 
 def export_all(
