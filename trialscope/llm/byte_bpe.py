@@ -5,16 +5,18 @@ resolved by a minimal perfect hash, many at a time; the others are merged with a
 pairs over a linked list of byte ranges, lowest rank first and leftmost among equals.
 
 Null texts count as empty.  Empty texts have no ids.  Texts are worked on in pieces of bounded size,
-cut only where the pattern always ends a match, so very long texts need no more memory than their
-ids.  All other columns, repeated rows included, pass through; a column with the name of the output
+cut only where the pattern always ends a match.  All other columns, repeated rows included, pass through; a column with the name of the output
 is replaced.
 """
 
 from __future__ import annotations
 
 import base64
+import re
+from array import array
 from collections.abc import Iterator, Sequence
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +28,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import Memo, Model, shipped, slices, texts_of, with_columns
 from .mph import MinimalPerfectHash
 
-#: A place where every match ends: before white space that follows something else.
-_SAFE = regex.compile(r"(?<=\S)(?=\s)")
+#: Where every match ends: before white space that follows something else.
+_CHUNK = regex.compile(r"\s*+\S++|\s++")
+#: White space inside which a space stands that is not the last of its run.
+_WIDE = re.compile(r"\s \s|\s \Z|\A \s")
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -35,22 +39,25 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-def pieces(text: str, size: int = 1 << 20) -> Iterator[str]:
-    """Consecutive pieces of about ``size`` characters whose matches are those of the whole."""
-    start = 0
-    while len(text) - start > size:
-        place = _SAFE.search(text, start + size)
-        if place is None:
-            break
-        yield text[start : place.start()]
-        start = place.start()
-    yield text[start:]
+def chunked(text: str) -> tuple[str, list[str]]:
+    """The text cut where every match ends: the first chunk, and the others."""
+    if _WIDE.search(text):
+        chunks = _CHUNK.findall(text)
+    else:
+        # Each space then either follows something else or ends a run of white space, and a match
+        # starts there in both cases.
+        chunks = text.replace(" ", "\0 ").split("\0") if "\0" not in text else _CHUNK.findall(text)
+    return chunks[0], chunks[1:]
 
 
 class ByteBpe:
-    """The tokenizer of one vocabulary, as the Python workers hold it."""
+    """The tokenizer of one vocabulary, as the Python workers hold it.
 
-    def __init__(self, model: tuple[bytes, str], memory: int = 250_000) -> None:
+    The pattern has to end every match before white space that follows something else; the ids of
+    what stands between two such places are remembered, up to ``memory`` of them.
+    """
+
+    def __init__(self, model: tuple[bytes, str], memory: int = 400_000) -> None:
         data, pattern = model
         self.ranks = read_ranks(data)
         self.split = regex.compile(pattern).findall
@@ -59,59 +66,94 @@ class ByteBpe:
         self.bytes_of = [b""] * (max(self.ranks.values(), default=-1) + 1)
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
-        self.memo = Memo(memory)
+        self.flat = np.frombuffer(b"".join(self.bytes_of), "u1")
+        self.length_of = np.array([len(x) for x in self.bytes_of], "i8")
+        self.start_of = np.cumsum(self.length_of) - self.length_of
+        self.byte_ids = [self.ranks[bytes([i])] for i in range(256)]
+        # right[x][y]: what x and y merge to, which is also the merge's rank.
+        self.right: list[dict[int, int]] = [{} for _ in self.bytes_of]
+        for token, rank in self.ranks.items():
+            for i in range(1, len(token)):
+                if (x := self.ranks.get(token[:i])) is not None:
+                    if (y := self.ranks.get(token[i:])) is not None:
+                        self.right[x][y] = rank
+        self.chunks, self.words = Memo(memory), Memo(memory // 2)
 
     def merged(self, word: bytes) -> list[int]:
         """Ids of a pre-token that is not in the vocabulary as a whole."""
-        n, rank = len(word), self.ranks.get
-        # end[i]: where the range that starts at i ends, -1 if none does; before[i]: the start of
-        # the range in front of it.
-        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := rank(word[i : i + 2])) is not None]
+        # Ranges of bytes are known by their first byte: ids[i] is the range's id, after[i] the start
+        # of the next one, before[i] of the one in front, joint[i] the rank of merging it with the
+        # next (-1: none).  A heap entry whose rank is no longer its range's is out of date.  Entries
+        # are rank * room + start, small integers for all but very long words.
+        n, right = len(word), self.right
+        room = 4096 if n < 4096 else 1 << 32
+        ids = [self.byte_ids[b] for b in word]
+        joint = [right[x].get(y, -1) for x, y in pairwise(ids)]
+        heap = [r * room + i for i, r in enumerate(joint) if r >= 0]
+        if not heap:
+            return ids
+        joint.append(-1)
         heapify(heap)
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
         while heap:
-            _, a, b, c = heappop(heap)
-            if end[a] != b or end[b] != c:
+            rank, a = divmod(heappop(heap), room)
+            if joint[a] != rank:
                 continue
-            end[a], end[b] = c, -1
+            b = after[a]
+            after[a] = c = after[b]
+            ids[a] = rank
+            joint[b] = -1
             if c < n:
                 before[c] = a
-                if (r := rank(word[a : end[c]])) is not None:
-                    heappush(heap, (r, a, c, end[c]))
-            if (p := before[a]) >= 0 and (r := rank(word[p:c])) is not None:
-                heappush(heap, (r, p, a, c))
-        ids, a = [], 0
+                joint[a] = r = right[rank].get(ids[c], -1)
+                if r >= 0:
+                    heappush(heap, r * room + a)
+            else:
+                joint[a] = -1
+            if a:
+                p = before[a]
+                joint[p] = r = right[ids[p]].get(rank, -1)
+                if r >= 0:
+                    heappush(heap, r * room + p)
+        out, a = [], 0
         while a < n:
-            ids.append(self.ranks[word[a : end[a]]])
-            a = end[a]
-        return ids
+            out.append(ids[a])
+            a = after[a]
+        return out
 
     def learn(self, words: Sequence[str]) -> None:
-        """Put the ids of all of ``words`` into the memo."""
+        """Remember the ids of pre-tokens."""
         coded = [w.encode() for w in words]
         places = self.whole.find(coded)
         known = np.where(places >= 0, self.whole_ids[places], 0).astype("<u4").tobytes()
-        for i, (word, place) in enumerate(zip(words, places.tolist(), strict=True)):
-            if place >= 0:
-                self.memo[word] = known[4 * i : 4 * i + 4]
-            else:
-                self.memo[word] = np.array(self.merged(coded[i]), "<u4").tobytes()
+        for i, place in enumerate(places.tolist()):
+            ids = known[4 * i : 4 * i + 4] if place >= 0 else array("I", self.merged(coded[i])).tobytes()
+            self.words[words[i]] = ids
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        parts = [[self.split(p) for p in pieces(t)] if t else [] for t in texts]
-        self.memo.make_room()
-        new = set().union(*(p for text in parts for p in text)) - self.memo.keys()
-        self.learn(list(new))
-        ids = self.memo.__getitem__
-        return [b"".join(b"".join(map(ids, p)) for p in text) for text in parts]
-
-    def decode(self, ids: bytes | None) -> bytes:
-        part = 4 << 20
-        return b"".join(
-            b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids[i : i + part], "<u4").tolist()))
-            for i in range(0, len(ids or b""), part)
-        )
+        cut = [chunked(t) if t else ("", ()) for t in texts]
+        self.chunks.make_room()
+        new = list(set().union((c[0] for c in cut), *(c[1] for c in cut)) - self.chunks.keys())
+        split = [self.split(c) for c in new]
+        self.words.make_room()
+        self.learn(list(set().union(*split) - self.words.keys()))
+        ids = self.words.__getitem__
+        for chunk, words in zip(new, split, strict=True):
+            self.chunks[chunk] = b"".join(map(ids, words))
+        ids = self.chunks.__getitem__
+        return [ids(first) + b"".join(map(ids, rest)) for first, rest in cut]
+
+    def decode(self, packed: bytes | None) -> bytes:
+        return b"".join(self._decoded(packed[i : i + (4 << 20)]) for i in range(0, len(packed or b""), 4 << 20))
+
+    def _decoded(self, packed: bytes) -> bytes:
+        ids = np.frombuffer(packed, "<u4")
+        lengths = self.length_of[ids]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1])
+        place = np.repeat(self.start_of[ids] - (ends - lengths), lengths) + np.arange(total, dtype="i8")
+        return self.flat[place].tobytes()
 
 
 def _added(df: DataFrame, *fields: T.StructField) -> T.StructType:
@@ -130,7 +172,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = model.get()
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, 4 << 20):
                 ids = tokenizer.encode(texts_of(part, text))
                 counts = pa.array([len(x) // 4 for x in ids], pa.int64())
                 yield with_columns(part, arrow, {output: pa.array(ids, pa.binary()), "n_tokens": counts})
