@@ -1,12 +1,98 @@
-"""The corpus pipeline (its stages follow as their operators are written)."""
+"""From raw documents to token ids: quality, line dedup, near-duplicates, benchmark passages, BPE.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
+again as the next stage's docs.  All stages but the last return the columns of documents.  Extra
+columns pass through, whatever their names.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trialscope.llm import byte_bpe, decontamination, line_dedup, near_duplicates, quality
+from trialscope.llm.common import held_out, read, shared_folder
+
+#: Documents whose probability of good quality is lower than this are rejected.
+LEAST_QUALITY = 0.5
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject.
+
+    It learns from the labels of three quarters of the ids, and word vectors from all documents.
+    """
+    labels = read(spark, sf_dir, "labels", "doc_id", "quality").where(~held_out("doc_id", 4, 2))
+    model = quality.fit(docs, labels)
+    scored = quality.score(docs, model, output="__quality")
+    return scored.where(F.col("__quality") >= LEAST_QUALITY).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that earlier ones hold.
+
+    A document of which no text is left goes; ``n_chars``, if it is a column, follows the text.
+    """
+    left = line_dedup.dedup_lines(docs, removed="__removed", lines="__lines")
+    left = left.where((F.col("__removed") == 0) | (F.trim(F.regexp_replace("text", r"\s", " ")) != ""))
+    return left.select(*[_column(c) for c in docs.columns])
+
+
+def _column(name: str):
+    if name == "n_chars":
+        return F.when(F.col("__removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long").alias(name)
+    return F.col(f"`{name}`")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates; the rows that repeat its id stay with it."""
+    found = near_duplicates.near_duplicates(docs)
+    going = found.where(~F.col("kept")).select(F.col("doc_id").alias("__going")).distinct()
+    return docs.join(going, F.col("doc_id") == F.col("__going"), "left_anti")
+
+
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a word of a benchmark window."""
+    found = decontamination.overlaps(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+    hit = found.where("n_hit > 0").select(F.col("key").alias("__hit"), F.col("digest").alias("__digest")).distinct()
+    key = F.col("doc_id").eqNullSafe(F.col("__hit"))
+    return docs.join(hit.select("__hit").distinct(), key, "left_anti")
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (packed, little-endian, 32 bits) and whether decoding gives the text back."""
+    model = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = byte_bpe.encode(docs.select("doc_id", "text"), *model)
+    return byte_bpe.decode(ids, *model).select(
+        "doc_id",
+        "n_tokens",
+        "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("exact"),
+    )
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_quality),
+    ("line_dedup", unrepeated_lines),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", no_benchmark),
+    ("byte_bpe", token_ids),
+]
 
-STAGES: list = []
+#: The stages are models, alignments and a tokenizer, which SQL can not express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The result of all stages; what they write goes to a new folder under the checkpoint folder."""
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs

@@ -57,7 +57,7 @@ class ByteBpe:
     what stands between two such places are remembered, up to ``memory`` of them.
     """
 
-    def __init__(self, model: tuple[bytes, str], memory: int = 400_000) -> None:
+    def __init__(self, model: tuple[bytes, str], memory: int = 280_000) -> None:
         data, pattern = model
         self.ranks = read_ranks(data)
         self.split = regex.compile(pattern).findall

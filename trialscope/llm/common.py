@@ -22,18 +22,23 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which executors and driver share.
 
-    The folder is the one the session names; only a local session without one gets a temporary
-    folder, because on a cluster such a folder is not shared.
+    Only a local session without one gets a temporary folder; on a cluster it would not be shared.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         given = context.getConf().get("spark.checkpoint.dir")
         if not given and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(given or tempfile.mkdtemp(prefix="trialscope-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

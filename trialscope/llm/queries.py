@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe
-from .common import read
+from . import ann, byte_bpe, decontamination, line_dedup, lm_scoring, near_duplicates, quality, token_counts
+from .common import held_out, read
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +23,77 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text")).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "n_lines",
+        "n_removed",
+        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars_left"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"),
+    )
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return near_duplicates.near_duplicates(docs)
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json")).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > 2048).alias("over_limit"),
+    )
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.overlaps(
+        read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text")
+    )
+    return found.select(
+        F.col("key").cast("long").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return lm_scoring.score(docs, held_out("doc_id", 5, 1))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read(spark, sf_dir, "labels", "doc_id", "quality").where(~held_out("doc_id", 4, 2))
+    return quality.score(docs, quality.fit(docs, labels)).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        held_out("doc_id", 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_ann": op2_ann,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_near_duplicates": op4_near_duplicates,
+    "op6_token_counts": op6_token_counts,
+    "op8_decontamination": op8_decontamination,
+    "op9_lm_scoring": op9_lm_scoring,
+    "op10_quality": op10_quality,
 }
 
-EXPECTED_SQL: dict[str, str] = {}
+EXPECTED_SQL: dict[str, str] = {
+    "op4_near_duplicates": near_duplicates.EXPECTED,
+    "op8_decontamination": decontamination.EXPECTED,
+}
