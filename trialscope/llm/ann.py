@@ -185,7 +185,7 @@ def search(
     key: str = "vec_id",
     vector: str = "embedding",
     k: int = 20,
-    mass: float = 0.995,
+    mass: float = 0.95,
     least: int = 4000,
     per_part: int = 1600,
     sample: int = 8192,
