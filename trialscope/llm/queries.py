@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, byte_bpe, decontamination, line_dedup, lm_scoring, near_duplicates, quality, token_counts
+from . import (
+    ann,
+    byte_bpe,
+    decontamination,
+    language_id,
+    line_dedup,
+    lm_scoring,
+    near_duplicates,
+    quality,
+    token_counts,
+    toxicity,
+)
 from .common import held_out, read
 
 
@@ -42,6 +53,17 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(docs)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = language_id.fit(docs.where(~held_out("doc_id", 4, 2)))
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        held_out("doc_id", 4, 2).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json")).select(
@@ -52,6 +74,19 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out("doc_id", 3, 1))
+    return toxicity.score(docs, toxicity.fit(docs, labels)).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        held_out("doc_id", 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "n_windows",
+        "worst_word",
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.overlaps(
         read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text")
@@ -87,7 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ann": op2_ann,
     "op3_line_dedup": op3_line_dedup,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_language_id": op5_language_id,
     "op6_token_counts": op6_token_counts,
+    "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality": op10_quality,
