@@ -36,7 +36,10 @@ def brute(rows: list[tuple]) -> dict[int, tuple[int, int]]:
     return {k: (len(sets[k]), root(k)) for k in keys}
 
 
-def test_like_all_pairs(spark):
+@pytest.mark.parametrize("crowd", [64, 1])
+def test_like_all_pairs(spark, crowd, monkeypatch):
+    # With a small crowd and small blocks most buckets are compared block by block.
+    monkeypatch.setattr(near_duplicates, "BLOCK", 4 if crowd == 1 else 256)
     rng = random.Random(4)
     rows, key = [], 0
     for _ in range(12):
@@ -49,7 +52,8 @@ def test_like_all_pairs(spark):
             rows.append((key := key + 1, " ".join(copy)))
         rows.append((key := key + 1, " ".join(base)))
     rows += [(key + 1, None), (key + 2, ""), (key + 3, "a b"), (key + 4, "A b"), (key + 5, "a b c")]
-    got = {r.doc_id: r for r in near_duplicates.near_duplicates(documents(spark, rows)).collect()}
+    found = near_duplicates.near_duplicates(documents(spark, rows), crowd=crowd)
+    got = {r.doc_id: r for r in found.collect()}
     want = brute(rows)
     assert {k: (r.n_shingles, r.component_id) for k, r in got.items()} == want
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
@@ -64,7 +68,7 @@ def test_many_copies_linked_through_one(spark):
         for at in range(i % 40, 200, 40):
             copy[at] = f"new{i}at{at}"
         rows.append((i, " ".join(copy)))
-    got = near_duplicates.near_duplicates(documents(spark, rows)).collect()
+    got = near_duplicates.near_duplicates(documents(spark, rows), crowd=8).collect()
     want = brute(rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 

@@ -22,7 +22,7 @@ from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -180,7 +180,7 @@ def _best(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
 
 def search(
     vectors: DataFrame,
-    is_query: F.Column,
+    is_query: Column,
     *,
     key: str = "vec_id",
     vector: str = "embedding",

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -215,12 +215,17 @@ def overlaps(
         )
     )
     named = hits.groupBy(*by).agg(F.sort_array(F.collect_set("item")).alias("items"))
-    found = spans.join(named, one)
-    both = [F.col(f"d.{c}").eqNullSafe(F.col(f"f.{c}")) for c in one]
+
+    def same(x: str, y: str) -> Column:
+        """Equal keys; a null id is a key like any other."""
+        parts = [F.col(f"{x}.{c}").eqNullSafe(F.col(f"{y}.{c}")) for c in one]
+        return parts[0] & parts[1]
+
+    found = spans.alias("s").join(named.alias("n"), same("s", "n")).select("s.*", "items")
     return (
         base.drop("found")
         .alias("d")
-        .join(found.alias("f"), both[0] & both[1], "left")
+        .join(found.alias("f"), same("d", "f"), "left")
         .select(
             "d.key",
             "d.digest",

@@ -33,7 +33,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -306,7 +306,7 @@ def _part_scores(docs: DataFrame, part: Model) -> DataFrame:
 
 def score(
     documents: DataFrame,
-    held_out: F.Column,
+    held_out: Column,
     *,
     key: str = "doc_id",
     text: str = "text",
