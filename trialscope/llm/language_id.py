@@ -39,15 +39,37 @@ BUCKETS, STRETCH, LAP = 1 << 15, 2000, 50
 _WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 
 
-def features(word: str) -> np.ndarray:
-    """Buckets of a lower-cased word's features."""
-    ends = f"^{word}$"
-    names = [f"w:{word}", f"n:{min(len(word), 12)}"]
-    names += [f"p:{word[:i]}" for i in range(1, min(3, len(word)) + 1)]
-    names += [f"s:{word[-i:]}" for i in range(1, min(3, len(word)) + 1)]
-    for n in (2, 3):
-        names += [ends[i : i + n] for i in range(min(len(ends), 40) - n + 1)]
-    return np.array([xxhash.xxh3_64_intdigest(x) % BUCKETS for x in names], "i4")
+def features(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the features of lower-cased words, word after word, and how many each word has."""
+    n, lengths = len(words), np.array([len(w) for w in words], "i8")
+    points = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le"), "u4").astype("u8")
+    begin = np.cumsum(lengths + 2) - (lengths + 2)
+    owner = np.repeat(np.arange(n), lengths + 2)
+    left = (begin + lengths + 2)[owner] - np.arange(len(points))
+
+    def code(kind: int, *parts: np.ndarray) -> np.ndarray:
+        h = np.full(len(parts[0]), kind, "u8")
+        for part in parts:
+            h = (h ^ part) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        return (h % np.uint64(BUCKETS)).astype("i4")
+
+    def run(kind: int, at: np.ndarray, k: int) -> np.ndarray:
+        return code(kind, *(points[at + i] for i in range(k)))
+
+    whole = np.fromiter(map(xxhash.xxh3_64_intdigest, words), "u8", n)
+    rows = [np.arange(n), np.arange(n)]
+    found = [code(1, whole), code(2, np.minimum(lengths, 12).astype("u8"))]
+    for k in (2, 3):
+        at = np.flatnonzero(left >= k)
+        rows.append(owner[at])
+        found.append(run(2 + k, at, k))
+    for k in (1, 2, 3):
+        long = np.flatnonzero(lengths >= k)
+        rows += [long, long]
+        found += [run(10 + k, begin[long] + 1, k), run(20 + k, begin[long] + 1 + lengths[long] - k, k)]
+    row = np.concatenate(rows)
+    return np.concatenate(found)[np.argsort(row, kind="stable")], np.bincount(row, minlength=n)
 
 
 class Field:
@@ -63,11 +85,9 @@ class Field:
         }
         self.memory = memory
 
-    def emissions(self, lists: Sequence[np.ndarray]) -> np.ndarray:
+    def emissions(self, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The summed weights of each word's features, scaled by the root of their number."""
-        sizes = np.array([len(x) for x in lists])
-        flat = self.w["emit"][np.concatenate(lists)]
-        sums = np.add.reduceat(flat, np.cumsum(sizes) - sizes, axis=0)
+        sums = np.add.reduceat(self.w["emit"][flat], np.cumsum(sizes) - sizes, axis=0)
         return sums / np.sqrt(sizes)[:, None].astype("f4")
 
     def marginals(self, scores: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +132,8 @@ class Field:
             spans += [(np.array(words[i : i + 20]), label) for i in range(0, len(words), 20)]
         if not spans:
             return
-        lists = [features(w) for w in vocabulary]
+        flat, count = features(list(vocabulary))
+        offset = np.cumsum(count) - count
         adam = Adam(self.w, 0.02)
         n = len(self.languages)
         for _ in range(epochs):
@@ -125,15 +146,15 @@ class Field:
                 heads = np.arange(len(chosen)) % 3 == 0
                 lengths = np.add.reduceat([len(s) for s, _ in chosen], np.flatnonzero(heads))
                 kinds, at = np.unique(words, return_inverse=True)
-                own = [lists[k] for k in kinds]
-                p, pairs = self.marginals(self.emissions(own)[at], lengths)
+                sizes = count[kinds]
+                own = flat[np.repeat(offset[kinds] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+                p, pairs = self.marginals(self.emissions(own, sizes)[at], lengths)
                 wrong = p.copy()
                 wrong[np.arange(len(truth)), truth] -= 1
-                sizes = np.array([len(x) for x in own])
                 per_kind = np.stack([np.bincount(at, wrong[:, j], len(kinds)) for j in range(n)], axis=1)
                 per_kind /= np.sqrt(sizes)[:, None]
                 slope = np.zeros((BUCKETS, n))
-                np.add.at(slope, np.concatenate(own), np.repeat(per_kind, sizes, axis=0))
+                np.add.at(slope, own, np.repeat(per_kind, sizes, axis=0))
                 start = np.zeros(len(truth), bool)
                 start[np.cumsum(lengths) - lengths] = True
                 seen = np.zeros((n, n))
@@ -165,7 +186,7 @@ class Tagger:
         new = list(set(chain.from_iterable(words)) - self.memo.keys())
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
-            for w, row in zip(part, self.field.emissions([features(w) for w in part]), strict=True):
+            for w, row in zip(part, self.field.emissions(*features(part)), strict=True):
                 self.memo[w] = row.tobytes()
         n = len(self.field.languages)
         known = self.memo.__getitem__

@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import Memo, Model, bounded_sample, slices, texts_of
 from .nets import Adam, sigmoid
 
-WINDOW, STRIDE = 24, 12
+WINDOW, STRIDE = 24, 16
 TRIGRAMS, OWN, CHARS, HIDDEN, ATTEND = 8192, 12, 12, 12, 12
 _WORDS = re.compile(r"[^\W_]+")
 
@@ -300,8 +300,8 @@ class Judge:
         inside = first - (np.cumsum(lengths) - lengths)[text]
         if self.net is None:
             return np.full(len(first), self.constant), inside, starts
-        kinds: dict[str, int] = {}
-        words = np.fromiter((kinds.setdefault(w, len(kinds)) for w in chain.from_iterable(read)), "i8", lengths.sum())
+        kinds = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(read)))}
+        words = np.fromiter(map(kinds.__getitem__, chain.from_iterable(read)), "i8", lengths.sum())
         self.memo.make_room()
         new = [w for w in kinds if w not in self.memo]
         for i in range(0, len(new), 20_000):
