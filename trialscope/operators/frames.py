@@ -16,18 +16,20 @@ def split_by_variant(
     column: str = "variant",
     control: str = S.CONTROL,
     variant: str = S.VARIANT,
+    shown: int = 50,
 ) -> tuple[DataFrame, DataFrame]:
     """(control rows, variant rows).
 
-    Raises ``ValueError`` naming the labels present when one of the two is absent; the labels
-    come from a distinct aggregate, of which at most 50 are fetched for the message.
+    Raises ``ValueError`` when one of the two is absent, with the number of labels that are present
+    and the ``shown`` first of them.
     """
     assert_columns_exist(df, [column], "split_by_variant")
     parts = df.where(F.col(column) == control), df.where(F.col(column) == variant)
     for label, part in zip((control, variant), parts):
         if part.isEmpty():
-            found = [row[0] for row in df.select(column).distinct().limit(50).collect()]
-            raise ValueError(f"no rows with {column} = {label!r}; found {found}")
+            labels = df.select(column).distinct()
+            first = [row[0] for row in labels.orderBy(column).limit(shown).collect()]
+            raise ValueError(f"no rows with {column} = {label!r}; found {labels.count()}: {first}")
     return parts
 
 

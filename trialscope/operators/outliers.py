@@ -39,6 +39,21 @@ def iqr_bounds(
     )
 
 
+# Into how many parts the rows of a group are dealt where they meet the group's marks.
+PARTS = 64
+
+
+def _with_marks(rows: DataFrame, marks: DataFrame, groups: Sequence[str], how: str) -> DataFrame:
+    """Rows joined to the one row that ``marks`` has for their group.
+
+    There are few groups, so rows are not dealt by group alone: each row goes to one of the group's
+    parts by its hash, and the marks are repeated for every part.
+    """
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(PARTS)).cast("int")
+    repeated = marks.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return rows.withColumn("_part", part).join(repeated, [*groups, "_part"], how).drop("_part")
+
+
 def _is_outside(value: Column) -> Column:
     v = value.cast("double")
     return F.coalesce(
@@ -57,7 +72,7 @@ def iqr_outliers(
     hist = values.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("w"))
     fences = iqr_bounds(hist, groups, value, "w", multiplier, resolution).drop("n")
     return (
-        values.join(fences, list(groups), "left")
+        _with_marks(values, fences, groups, "left")
         .withColumn("is_outlier", _is_outside(F.col(value)))
         .drop("lower_fence", "upper_fence")
     )
@@ -78,8 +93,7 @@ def outlier_impact(
     w, v = F.col(weight), F.col(value)
     known = v.isNotNull()
     sums = (
-        with_known_groups(hist, groups)
-        .join(fences.drop("n"), list(groups))
+        _with_marks(with_known_groups(hist, groups), fences.drop("n"), groups, "inner")
         .groupBy(*groups)
         .agg(
             F.sum(F.when(known, w)).alias("total_records"),
@@ -141,8 +155,7 @@ def winsorized_mean(
     w = F.when(v.isNotNull(), F.col(weight))
     clamped = F.least(F.greatest(v, F.col("lowest_kept")), F.col("highest_kept"))
     return (
-        with_known_groups(hist, groups)
-        .join(kept, list(groups))
+        _with_marks(with_known_groups(hist, groups), kept, groups, "inner")
         .groupBy(*groups)
         .agg(
             F.sum(w).alias("n"),

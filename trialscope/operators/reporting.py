@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trialscope.functions.guards import assert_columns_exist
+from trialscope.functions.hashing import draw
 from trialscope.functions.ratios import ratio
 from trialscope.operators import decisions, metrics, outliers, segments, statistics
 from trialscope.operators import funnel as funnels
@@ -24,48 +26,72 @@ from trialscope.operators.views import (
     session_metrics_view,
 )
 
-# Types of the published datasets; columns that a dataset lacks are ignored.
-DATASET_TYPES: dict[str, str] = {
-    "total_users": "bigint",
-    "purchasers": "bigint",
-    "total_orders": "bigint",
-    "users_assigned": "bigint",
-    "purchasing_users": "bigint",
-    "conversion_rate": "double",
-    "daily_conversion_rate": "double",
-    "total_revenue": "double",
-    "gross_revenue": "double",
-    "net_revenue": "double",
-    "daily_revenue": "double",
-    "revenue_per_visitor": "double",
-    "average_order_value": "double",
-    "bounce_rate": "double",
-    "session_count": "bigint",
-}
-
-
-def typed_read(df: DataFrame, types: Mapping[str, str] = DATASET_TYPES) -> DataFrame:
-    """Cast the named columns that exist; a value that can not be cast becomes NULL."""
-    return df.select(
-        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
-    )
+# Types of the published datasets, per dataset; columns that a dataset lacks are ignored.
+_COUNTS = {"total_users": "bigint", "purchasers": "bigint"}
+_MONEY = {"revenue_per_visitor": "double", "average_order_value": "double"}
+DATASET_TYPES: dict[str, dict[str, str]] = {
+    "experiment_summary": {
+        **_COUNTS, **_MONEY, "total_orders": "bigint", "total_revenue": "double",
+        "conversion_rate": "double",
+    },
+    "daily_metrics": {
+        "users_assigned": "bigint", "purchasing_users": "bigint", "daily_revenue": "double",
+        "daily_conversion_rate": "double",
+    },
+    "funnel_data": {"total_users": "bigint"},
+    "session_metrics": {"bounce_rate": "double"},
+    "segment_data": {**_COUNTS, "conversion_rate": "double"},
+    "revenue_summary": {
+        **_MONEY, "total_users": "bigint", "gross_revenue": "double", "net_revenue": "double",
+    },
+    "user_level_data": {
+        "total_revenue": "double", "session_count": "bigint", "bounce_rate": "double",
+    },
+}
+
+
+def typed_read(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Cast the named columns that exist; a column with a value that can not be cast stays as it is.
+
+    Only text columns can fail; if there are any among them, one aggregate looks at them.
+    """
+    named = [c for c in df.columns if c in types]
+    texts = [c for c in named if df.schema[c].dataType == T.StringType()]
+    kept: set[str] = set()
+    if texts:
+        fails = [
+            F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(types[c]).isNull()).alias(c)
+            for c in texts
+        ]
+        failed = df.agg(*fails).first()
+        kept = {c for c in texts if failed[c]}
+    cast = set(named) - kept
+    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in cast else F.col(c) for c in df.columns])
 
 
 def user_level_data(t: TableMap, fraction: float = 1.0, seed: int = 42) -> DataFrame:
-    """The per-user summary, optionally a Bernoulli sample of it."""
+    """The per-user summary, optionally of about that fraction of the users.
+
+    A user is chosen by hash of its id, so the sample is the same on every run and layout.
+    """
     if not 0 < fraction <= 1:
         raise ValueError(f"fraction must be in (0, 1], got {fraction!r}")
-    rows = typed_read(mv_user_experiment_summary(t))
-    return rows if fraction == 1 else rows.sample(False, fraction, seed)
+    rows = typed_read(mv_user_experiment_summary(t), DATASET_TYPES["user_level_data"])
+    chosen = draw(F.col("user_id"), f"sample {seed}", 1_000_000) < round(fraction * 1_000_000)
+    return rows if fraction == 1 else rows.where(chosen)
+
+
+def _dataset(name: str, build) -> Callable[[TableMap], DataFrame]:
+    return lambda t: typed_read(build(t), DATASET_TYPES[name])
 
 
 DATASETS = {
-    "experiment_summary": lambda t: typed_read(experiment_summary(t)),
-    "daily_metrics": lambda t: typed_read(mv_daily_conversion(t)),
-    "funnel_data": lambda t: typed_read(funnel_steps_view(t)),
-    "session_metrics": lambda t: typed_read(session_metrics_view(t)),
-    "segment_data": lambda t: typed_read(segment_conversion(t)),
-    "revenue_summary": lambda t: typed_read(revenue_summary(t)),
+    "experiment_summary": _dataset("experiment_summary", experiment_summary),
+    "daily_metrics": _dataset("daily_metrics", mv_daily_conversion),
+    "funnel_data": _dataset("funnel_data", funnel_steps_view),
+    "session_metrics": _dataset("session_metrics", session_metrics_view),
+    "segment_data": _dataset("segment_data", segment_conversion),
+    "revenue_summary": _dataset("revenue_summary", revenue_summary),
     "user_level_data": user_level_data,
 }
 
@@ -99,7 +125,7 @@ def stat_report(
     experiment, the outlier effect on revenue per arm, and the worst funnel step per arm.
     """
     summary = experiment_summary(t)
-    lifts = segments.segment_report(segment_conversion(t))
+    lifts = segments.all_lifts(segment_conversion(t))
     corrected = (
         statistics.correct_p_values(statistics.p_value_family(summary, lifts), method, alpha)
         .where(F.col("metric_name") == "conversion")

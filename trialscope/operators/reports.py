@@ -336,13 +336,20 @@ def daily_srm_check(
 
     The cumulative share of a day sums only the arms that have a row on that day.
     """
+    return allocation_shares(mv_daily_conversion(t), minimum_users, tolerance)
+
+
+def allocation_shares(
+    daily: DataFrame, minimum_users: int = 1000, tolerance: float = 0.05
+) -> DataFrame:
+    """``daily_srm_check`` over rows of (metric_date, experiment_name, variant, users_assigned,
+    cumulative_users)."""
 
     def of(arm: str, column: str, name: str) -> Column:
         return F.sum(F.when(F.col("variant") == arm, F.col(column)).otherwise(0)).alias(name)
 
     days = (
-        mv_daily_conversion(t)
-        .groupBy("metric_date", "experiment_name")
+        daily.groupBy("metric_date", "experiment_name")
         .agg(
             of(S.CONTROL, "users_assigned", "daily_users_control"),
             of(S.VARIANT, "users_assigned", "daily_users_variant"),

@@ -130,18 +130,26 @@ def segment_grouping_sets(
     )
 
 
-def segment_report(segments: DataFrame, top_countries: int = 10) -> DataFrame:
-    """Lift tables of all dimensions; countries limited to those with most control users."""
+def all_lifts(segments: DataFrame) -> DataFrame:
+    """Lift of every value of every dimension that both arms have."""
+    names = F.create_map(*[F.lit(x) for pair in REPORT_NAMES.items() for x in pair])
     lift = _lift(
         segment_grouping_sets(segments), ["experiment_name", "dimension", "segment"]
     )
+    return lift.withColumn("section", names[F.col("dimension")])
+
+
+def segment_report(segments: DataFrame, top_countries: int = 10) -> DataFrame:
+    """Lift tables of all dimensions; countries limited to those with most control users.
+
+    The limit is for display; tests and their corrections use ``all_lifts``.
+    """
     by_size = Window.partitionBy("experiment_name", "dimension").orderBy(
         F.col("total_users_control").desc(), "segment"
     )
-    names = F.create_map(*[F.lit(x) for pair in REPORT_NAMES.items() for x in pair])
     return (
-        lift.withColumn("_size_rank", F.row_number().over(by_size))
+        all_lifts(segments)
+        .withColumn("_size_rank", F.row_number().over(by_size))
         .where((F.col("dimension") != "country_name") | (F.col("_size_rank") <= top_countries))
         .drop("_size_rank")
-        .withColumn("section", names[F.col("dimension")])
     )

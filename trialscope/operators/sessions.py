@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trialscope import schemas as S
 from trialscope.functions.guards import assert_columns_exist
+from trialscope.functions.hashing import draw
 
 DEFAULT_GAP_MINUTES = 240
 
@@ -118,8 +119,17 @@ def with_session_id(
     return events.join(slots, same_slot, "left").drop("_user", "_slot")
 
 
-def derive_orders(events: DataFrame, default_value: float = 50.0, floor: float = 1.0) -> DataFrame:
-    """Orders from purchase events: missing revenue gets a default, small values a floor."""
+def derive_orders(
+    events: DataFrame,
+    default_value: float = 50.0,
+    floor: float = 1.0,
+    payment_method: Column | str = "credit_card",
+) -> DataFrame:
+    """Canonical orders from purchase events: missing revenue gets a default, small values a floor.
+
+    Events do not tell how was paid; ``payment_method`` is one method or a column of ``events``.
+    """
+    method = F.lit(payment_method) if isinstance(payment_method, str) else payment_method
     assert_columns_exist(
         events,
         ["event_id", "session_id", "user_id", "event_type_id", "event_timestamp", "revenue"],
@@ -139,6 +149,7 @@ def derive_orders(events: DataFrame, default_value: float = 50.0, floor: float =
         "event_id",
         F.col("event_timestamp").alias("order_timestamp"),
         value.cast("decimal(12,2)").alias("order_value"),
+        method.alias("payment_method"),
         F.lit(False).alias("is_refund"),
         F.lit("completed").alias("payment_status"),
     )
@@ -146,45 +157,40 @@ def derive_orders(events: DataFrame, default_value: float = 50.0, floor: float =
 
 def assign_variants(
     users: DataFrame,
-    experiments: Sequence[tuple[str, int, int]] = (("checkout_redesign", 0, 500),),
+    experiments: Sequence[tuple[str, int]] = (("checkout_redesign", 500),),
     holdout_permille: int = 20,
     ramp_days: int = 14,
     start: str = "2024-01-01",
 ) -> DataFrame:
-    """Deterministic assignment by integer bucketing of a numeric user id; no shuffle.
+    """Deterministic assignment by hash of the user id, which may be of any type; no shuffle.
 
-    ``experiments`` lists (name, salt, variant share in permille).  The salt moves users between
-    buckets, so different experiments split the same users independently of each other.  Held-out
-    users keep the control label, as they see the control experience.
+    ``experiments`` lists (name, variant share in permille).  The name is the salt of the draw, so
+    experiments split the same users independently of each other, and the holdout, which is the
+    same for all of them, has a salt of its own.  Held-out users keep the control label, as they
+    see the control experience.  Users without id are not assigned.
     """
     assert_columns_exist(users, ["user_id"], "assign_variants")
-    uid = F.col("user_id").cast("bigint")
+    if len({name for name, _ in experiments}) < len(experiments):
+        raise ValueError("two experiments have the same name")
+    uid, name = F.col("user_id"), F.col("experiment_name")
     plan = F.array(
         *[
-            F.struct(
-                F.lit(name).alias("experiment_name"),
-                F.lit(salt).cast("bigint").alias("salt"),
-                F.lit(share).alias("share"),
-            )
-            for name, salt, share in experiments
+            F.struct(F.lit(name).alias("experiment_name"), F.lit(share).alias("share"))
+            for name, share in experiments
         ]
     )
-    holdout = F.pmod(uid * 31 + 7, F.lit(1000)) < holdout_permille
-    bucket = F.pmod(uid * 7919 + F.col("salt") * 104729, F.lit(1000))
-    first_day = F.lit(start).cast("date")
+    ramp = draw(uid, F.concat(name, F.lit(" ramp")), ramp_days)
     return (
-        users.select("user_id", F.explode(plan).alias("e"))
-        .select("user_id", "e.*")
+        users.where(uid.isNotNull())
+        .select("user_id", F.explode(plan).alias("e"))
+        .select("user_id", "e.*", (draw(uid, "holdout", 1000) < holdout_permille).alias("is_holdout"))
         .select(
             "user_id",
             "experiment_name",
-            F.when(holdout, S.CONTROL)
-            .when(bucket < F.col("share"), S.VARIANT)
+            F.when(~F.col("is_holdout") & (draw(uid, name, 1000) < F.col("share")), S.VARIANT)
             .otherwise(S.CONTROL)
             .alias("variant"),
-            F.date_add(first_day, F.pmod(uid, F.lit(ramp_days)).cast("int")).alias(
-                "assignment_date"
-            ),
-            holdout.alias("is_holdout"),
+            F.date_add(F.lit(start).cast("date"), ramp.cast("int")).alias("assignment_date"),
+            "is_holdout",
         )
     )

@@ -147,21 +147,28 @@ def mean_ci(
     value: str = "revenue",
     weight: str = "w",
     confidence: float = 0.95,
+    resolution: float = 0.01,
 ) -> DataFrame:
-    """Student-t interval of a mean, from (group, value, weight) rows of money values.
+    """Student-t interval of a mean, from (group, value, weight) rows.
 
-    Sums run over whole cents in decimals, so they do not depend on the order of rows.
+    Values are multiples of ``resolution`` (cents by default); a finer one raises.  Sums run over
+    whole multiples in decimals, so they do not depend on the order of rows.
     """
-    cents = (F.col(value) * 100).cast("decimal(18,0)")
+    per_unit = round(1 / resolution)
+    scaled = F.col(value) * per_unit
+    whole = F.round(scaled).cast("decimal(18,0)")
+    finer = F.abs(scaled - whole) > 1e-6
+    message = F.concat(F.lit(f"finer than {resolution}: "), F.col(value).cast("string"))
+    cents = F.when(finer, F.raise_error(message).cast("decimal(18,0)")).otherwise(whole)
     sums = hist.groupBy(*groups).agg(
         F.sum(weight).alias("n"),
         F.sum(cents * F.col(weight)).cast("double").alias("_s1"),
         F.sum((cents * cents).cast("decimal(38,0)") * F.col(weight)).cast("double").alias("_s2"),
     )
     n = F.col("n").cast("double")
-    mean = F.col("_s1") / n / 100
+    mean = F.col("_s1") / n / per_unit
     spread = (F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / null_if_zero(n - 1)
-    error = F.sqrt(F.greatest(spread, F.lit(0.0)) / n) / 100
+    error = F.sqrt(F.greatest(spread, F.lit(0.0)) / n) / per_unit
     margin = F.when(F.col("n") < 2, F.lit(0.0)).otherwise(
         error * t_quantile((1 + confidence) / 2, F.col("n") - 1)
     )
@@ -411,7 +418,7 @@ def correct_p_values(
 def comparisons(summary: DataFrame, lifts: DataFrame) -> DataFrame:
     """Counts of both arms per experiment overall and per user segment.
 
-    ``lifts`` are rows of ``segments.segment_report``; the overall row is named ``conversion``.
+    ``lifts`` are rows of ``segments.all_lifts``; the overall row is named ``conversion``.
     """
     overall = arms(summary).select(
         "experiment_name", F.lit("conversion").alias("metric_name"), *COUNTS

@@ -245,16 +245,16 @@ def session_metrics_view(t: TableMap) -> DataFrame:
             F.sum("user_mark").alias("users"),
         )
     )
+    totals = hist.groupBy(*ARM).agg(
+        *[F.sum(c).alias(c) for c in ("sessions", "users", "pages", "pages_n", "bounces")],
+        F.sum(F.col("duration_seconds").cast("bigint") * F.col("w")).alias("seconds"),
+    )
     marks = percentiles(
-        hist.withColumn("seconds", F.col("duration_seconds").cast("bigint") * F.col("w")),
-        ARM,
-        "duration_seconds",
-        "w",
-        {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95},
-        totals=("sessions", "users", "seconds", "pages", "pages_n", "bounces"),
+        hist, ARM, "duration_seconds", "w", {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
     )
     sessions, users = F.col("sessions"), F.col("users")
-    return marks.select(
+    # An arm none of whose durations is known has no percentiles, but it has sessions.
+    return totals.join(marks, list(ARM), "left").select(
         *ARM,
         sessions.alias("total_sessions"),
         users.alias("unique_users"),

@@ -470,8 +470,7 @@ LEFT JOIN (SELECT experiment_name, channel_name, variant, sum(order_value) AS re
            FROM x_arm_sales JOIN c_users USING (user_id) JOIN c_channels USING (channel_id)
            GROUP BY ALL) USING (experiment_name, channel_name, variant)""",
 )
-expect(
-    "daily_srm_check",
+_DAILY_SRM = (
     f"""SELECT metric_date, experiment_name, CAST(0.5 AS DOUBLE) AS expected_variant_fraction,
        {r9(div0("dv", "dc + dv"), "actual_daily_variant_fraction")},
        {r9(div0("cv", "cc + cv"), "actual_cumulative_variant_fraction")},
@@ -483,8 +482,9 @@ FROM (SELECT metric_date, experiment_name,
              {big("coalesce(sum(users_assigned) FILTER (variant = 'variant'), 0)")} AS dv,
              {big("coalesce(sum(cumulative_users) FILTER (variant = 'control'), 0)")} AS cc,
              {big("coalesce(sum(cumulative_users) FILTER (variant = 'variant'), 0)")} AS cv
-      FROM v_daily GROUP BY ALL)""",
+      FROM v_daily GROUP BY ALL)"""
 )
+expect("daily_srm_check", _DAILY_SRM)
 expect(
     "data_quality_monitor",
     f"""SELECT (SELECT count(*) FROM c_events WHERE experiment_id IS NULL) AS events_without_experiment,
@@ -687,8 +687,10 @@ expect(
     ),
 )
 _SECTION = " ".join(f"WHEN '{d}' THEN '{n}'" for d, n in REPORT_NAMES.items())
-BLOCKS["x_report"] = f"""
-SELECT *, CASE dimension {_SECTION} END AS section FROM x_lifts
+BLOCKS["x_sections"] = f"""
+SELECT *, CASE dimension {_SECTION} END AS section FROM x_lifts"""
+BLOCKS["x_report"] = """
+SELECT * FROM x_sections
 QUALIFY dimension <> 'country_name'
      OR row_number() OVER (PARTITION BY experiment_name, dimension
                            ORDER BY total_users_control DESC, segment) <= 10"""
@@ -718,8 +720,34 @@ def _counted(names) -> str:
     )
 
 
-for _key in ("scan_tables", "sink_raw", "bulk_load", "assert_guards"):
+for _key in ("sink_raw", "assert_guards"):
     expect(_key, _counted(S.CORE_TABLES))
+
+
+def _contents(ids_as_text: bool) -> str:
+    """Non-NULL values and a checksum per column; CSV files have ids as text."""
+
+    def number(column: str, kind: str) -> str:
+        if kind == "string" and column.endswith("_id") and not ids_as_text:
+            return column
+        return {
+            "string": f"CAST('0x' || substr(md5(CAST({column} AS VARCHAR)), 1, 8) AS BIGINT)",
+            "date": f"({column} - date '1970-01-01')",
+            "timestamp": f"epoch_us({column})",
+            "boolean": f"CAST({column} AS INTEGER)",
+        }.get(kind, column)
+
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count({c}) AS non_null, "
+        f"CAST(sum(CAST({number(c, kind)} AS DECIMAL(30,4))) AS DECIMAL(38,4)) AS checksum "
+        f"FROM {CANONICAL[table]}"
+        for table in S.CORE_TABLES
+        for c, kind in S.declared_columns(table).items()
+    )
+
+
+expect("scan_tables", _contents(ids_as_text=True))
+expect("bulk_load", _contents(ids_as_text=False))
 expect(
     "row_count_reconcile",
     f"""SELECT table_name, row_count AS expected, row_count AS actual, true AS ok
@@ -759,7 +787,8 @@ expect(
 expect(
     "user_level_sample",
     _round_all(
-        "(SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue) FROM v_user_level)",
+        "(SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue) FROM v_user_level "
+        "WHERE CAST('0x' || substr(md5('sample 42:' || user_id), 1, 8) AS BIGINT) % 1000000 < 250000)",
         _USER_DOUBLES + " total_revenue",
     ),
 )
@@ -850,14 +879,21 @@ expect(
        count(DISTINCT user_id) AS n_users
 FROM c_named_events JOIN c_event_types USING (event_name) GROUP BY ALL""",
 )
+
+
+def _draw(salt: str, modulus: int, key: str = "c_custkey") -> str:
+    """A number below ``modulus`` from the first 32 bits of md5 of salt:key."""
+    return f"(CAST('0x' || substr(md5({salt} || ':' || {key}), 1, 8) AS BIGINT) % {modulus})"
+
+
 expect(
     "assign_variants",
-    """SELECT c_custkey AS user_id, name AS experiment_name,
-       CASE WHEN (c_custkey * 31 + 7) % 1000 >= 20 AND (c_custkey * 7919 + salt * 104729) % 1000 < share
+    f"""SELECT c_custkey AS user_id, name AS experiment_name,
+       CASE WHEN {_draw("'holdout'", 1000)} >= 20 AND {_draw("name", 1000)} < share
             THEN 'variant' ELSE 'control' END AS variant,
-       date '2024-01-01' + CAST(c_custkey % 14 AS INTEGER) AS assignment_date,
-       (c_custkey * 31 + 7) % 1000 < 20 AS is_holdout
-FROM customer, (VALUES ('checkout_redesign', 0, 500), ('pricing_test', 1, 420)) p(name, salt, share)""",
+       date '2024-01-01' + CAST({_draw("name || ' ramp'", 14)} AS INTEGER) AS assignment_date,
+       {_draw("'holdout'", 1000)} < 20 AS is_holdout
+FROM customer, (VALUES ('checkout_redesign', 500), ('pricing_test', 420)) p(name, share)""",
 )
 expect(
     "sessionize",
@@ -868,7 +904,7 @@ expect(
     "derive_orders",
     """SELECT event_id AS order_id, user_id, session_id, event_id, event_timestamp AS order_timestamp,
        CAST(round(greatest(coalesce(revenue, 50), 1), 2) AS DECIMAL(12,2)) AS order_value,
-       false AS is_refund, 'completed' AS payment_status
+       'credit_card' AS payment_method, false AS is_refund, 'completed' AS payment_status
 FROM c_events JOIN c_event_types USING (event_type_id) WHERE event_name = 'purchase'""",
 )
 
@@ -1057,7 +1093,7 @@ def _contract(table: str) -> list[str]:
         )
 
     rows = [row(None, "not_empty", "ERROR", f"SELECT CAST(count(*) = 0 AS INTEGER) FROM {source}")]
-    for column, (kind, nullable) in S.LOAD_CONTRACT[table].items():
+    for column, (kind, nullable) in S.load_contract(table).items():
         rows.append(row(column, "column_present", "ERROR", "0"))
         if not nullable:
             rows.append(row(column, "not_null", "ERROR", _count_where(table, f"{column} IS NULL")))
@@ -1074,7 +1110,7 @@ def _contract(table: str) -> list[str]:
     return rows
 
 
-expect("schema_check", "\nUNION ALL ".join(r for t in S.LOAD_CONTRACT for r in _contract(t)))
+expect("schema_check", "\nUNION ALL ".join(r for t in S.CORE_TABLES for r in _contract(t)))
 _CHECK_SQL = (
     ("event_types", "event_category_allowed", f"event_category NOT IN ({_quoted(S.EVENT_CATEGORIES)})"),
     ("event_types", "funnel_step_range", "funnel_step < 1 OR funnel_step > 10"),
@@ -1161,7 +1197,7 @@ BLOCKS["x_pairs"] = """
 SELECT experiment_name, 'conversion' AS metric_name, control_users, variant_users,
        control_conversions, variant_conversions FROM x_arms
 UNION ALL SELECT experiment_name, section || ':' || segment, total_users_control,
-       total_users_variant, purchasers_control, purchasers_variant FROM x_report"""
+       total_users_variant, purchasers_control, purchasers_variant FROM x_sections"""
 BLOCKS["x_rated"] = f"""
 SELECT *, {div("control_conversions", "control_users")} AS control_rate,
        {div("variant_conversions", "variant_users")} AS variant_rate,
@@ -1324,7 +1360,7 @@ FROM x_tested a JOIN (SELECT experiment_name, p_value,
   ON a.experiment_name = b.experiment_name AND b.p_value >= a.p_value
 GROUP BY a.experiment_name, a.metric_name"""
 expect("benjamini_hochberg", _correction("benjamini_hochberg", "FROM x_bh"))
-expect("correct_p_values", _correction("none", "SELECT *, p_value AS q FROM x_tested"))
+expect("correct_p_values", _correction("benjamini_hochberg", "FROM x_bh"))
 
 BLOCKS["x_fences"] = """
 SELECT experiment_name, variant, count(*) AS n,
@@ -1526,21 +1562,11 @@ expect(
     "export_recommendation", "SELECT *, '2024-02-01T00:00:00' AS generated_at FROM x_advice"
 )
 
-# --- streams: what the watermark (newest event minus one day) has closed ------------------
+# --- streams: the same as their batch operators --------------------------------------------
 
 expect(
     "stream_sessionize",
     """SELECT session_id, user_id, session_start, session_end, duration_seconds, page_count, is_bounce
-FROM c_sessions
-WHERE session_end + INTERVAL 240 MINUTE
-      <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM events)""",
-)
-expect(
-    "stream_daily_srm",
-    f"""SELECT *, {r9(div0("daily_users_variant", "daily_users_control + daily_users_variant"), "actual_daily_variant_fraction")}
-FROM (SELECT CAST(assignment_timestamp AS DATE) AS metric_date, experiment_name,
-             count(*) FILTER (variant = 'control') AS daily_users_control,
-             count(*) FILTER (variant = 'variant') AS daily_users_variant
-      FROM x_active GROUP BY ALL)
-WHERE metric_date + INTERVAL 1 DAY <= (SELECT max(assignment_timestamp) - INTERVAL 1 DAY FROM x_active)""",
+FROM c_sessions""",
 )
+expect("stream_daily_srm", _DAILY_SRM)

@@ -1,7 +1,8 @@
-"""The whole run: gate, load, refresh, datasets, report, recommendation, export."""
+"""The whole run: stage, gate, publish, refresh, datasets, report, recommendation, export."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from trialscope.operators import constraints, decisions, quality, reporting
 from trialscope.plans.refresh import read_materialized, refresh_materialized
-from trialscope.sources import storage
+from trialscope.sources import storage, versions
 from trialscope.sources.tables import Tables
 
 
@@ -17,20 +18,30 @@ class GateFailed(RuntimeError):
     """The input does not pass the data-quality gate; nothing was loaded."""
 
 
-def gate(t: Mapping[str, DataFrame], start: str | None = None, end: str | None = None) -> None:
+def gate(
+    t: Mapping[str, DataFrame],
+    start: str | None = None,
+    end: str | None = None,
+    failures: str | None = None,
+) -> None:
     """Raise ``GateFailed`` when a check or the load contract fails.
 
-    Check rows are few (one per check and experiment); at most 20 failures are fetched.
+    The error names every failed check with its violations; their number is that of the checks.
+    All failed rows, which can be one per experiment, go to the path ``failures`` if one is given.
     """
-    failed = (
-        quality.dq_all(t, start, end)
-        .where(F.col("status") == "FAIL")
-        .select("table_name", "check_name", "violations")
-        .limit(20)
+    failed = quality.dq_all(t, start, end).where(F.col("status") == "FAIL")
+    by_check = (
+        failed.groupBy("table_name", "check_name")
+        .agg(F.sum("violations").alias("violations"))
+        .orderBy("table_name", "check_name")
         .collect()
     )
-    if failed:
-        raise GateFailed("; ".join(f"{r.table_name}.{r.check_name}: {r.violations}" for r in failed))
+    if by_check:
+        message = "; ".join(f"{r.table_name}.{r.check_name}: {r.violations}" for r in by_check)
+        if failures is not None:
+            failed.write.parquet(failures)
+            message += f" (all rows in {failures})"
+        raise GateFailed(message)
     try:
         constraints.assert_schema(t)
     except constraints.SchemaViolation as violation:
@@ -63,22 +74,26 @@ def run(
     limits: decisions.Thresholds = decisions.DEFAULTS,
     generated_at: str | None = None,
 ) -> dict[str, int]:
-    """Gate, load, refresh and export under ``root``; returns the rows written per export.
+    """Stage, gate, publish, refresh and export under ``root``; returns the rows per export.
 
-    Everything after the load reads the loaded tables, so the input's own lineage is cut there,
-    and the two materialized datasets are exported from their published versions.
+    The input is computed once, for the staged files; the gate and all that follows read those.
+    They are published when they have passed, and the two materialized datasets are exported from
+    their published versions.
     """
+    staged = storage.stage(t, f"{root}/tables", truncate_first=True)
+    loaded = t.replacing(**storage.read_staged(spark, staged))
     if check:
-        gate(t)
-    storage.bulk_load(t, f"{root}/tables", truncate_first=True)
-    loaded = t.replacing(**storage.read_loaded(spark, f"{root}/tables"))
+        gate(loaded, failures=f"{root}/failures/{uuid.uuid4().hex}")
+    versions.publish(spark, f"{root}/tables", staged)
     refresh_materialized(spark, loaded, f"{root}/views")
     datasets = reporting.dataset_bundle(loaded)
     for name, view in (
         ("daily_metrics", "mv_daily_conversion"),
         ("user_level_data", "mv_user_experiment_summary"),
     ):
-        datasets[name] = reporting.typed_read(read_materialized(spark, f"{root}/views", view))
+        datasets[name] = reporting.typed_read(
+            read_materialized(spark, f"{root}/views", view), reporting.DATASET_TYPES[name]
+        )
     return export_all(
         datasets,
         reporting.stat_report(loaded, alpha=limits.alpha, power=limits.power),

@@ -1,51 +1,40 @@
 """Materialized views as versioned Parquet tables.
 
-A refresh writes a new version next to the old one and then appends one row to a pointer table.
-The append commits atomically, so a reader sees either the old or the new version, never a
-half-written one, and a refresh that fails leaves the old version in place.
+A refresh writes new files for every view and publishes them together (see ``sources.versions``), so
+a reader never sees half-written files or one view newer than another.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trialscope.operators.views import MATERIALIZED_VIEWS
-
-POINTER = "_versions"
+from trialscope.sources import versions
 
 
 def refresh_materialized(
     spark: SparkSession, t: Mapping[str, DataFrame], root: str
 ) -> dict[str, str]:
-    """Recompute and publish every materialized view; returns the path of each new version."""
-    published = {}
+    """Recompute and publish all materialized views; returns the path of each new version."""
+    entries = {}
     for name, build in MATERIALIZED_VIEWS.items():
         path = f"{root}/{name}/{uuid.uuid4().hex}"
-        build(t).hint("rebalance", "experiment_name").write.partitionBy(
-            "experiment_name"
-        ).parquet(path)
-        pointer = spark.range(1).select(
-            F.lit(name).alias("view_name"),
-            F.lit(path).alias("path"),
-            F.current_timestamp().alias("published_at"),
-        )
-        pointer.coalesce(1).write.mode("append").parquet(f"{root}/{POINTER}")
-        published[name] = path
-    return published
+        view, start = build(t), time.monotonic()
+        writer = view.hint("rebalance", "experiment_name").write
+        writer.partitionBy("experiment_name").parquet(path)
+        seconds = time.monotonic() - start
+        entries[name] = versions.Entry((path,), view.schema.json(), -1, seconds)
+    versions.publish(spark, root, entries)
+    return {name: entry.paths[0] for name, entry in entries.items()}
 
 
 def read_materialized(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The last published version of a view.  Fetches one path to the driver."""
-    newest = (
-        spark.read.parquet(f"{root}/{POINTER}")
-        .where(F.col("view_name") == name)
-        .agg(F.max_by("path", "published_at").alias("path"))
-        .first()
-    )
-    if newest.path is None:
+    """The last published version of a view."""
+    tables = versions.current(spark, root)[1]
+    if name not in tables:
         raise LookupError(f"{name} has not been published under {root}")
-    return spark.read.parquet(newest.path)
+    return versions.read(spark, tables[name])

@@ -6,10 +6,12 @@ Doubles are published with nine decimals; the operators themselves do not round.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trialscope import schemas as S
 from trialscope.functions.guards import assert_columns_exist, assert_not_empty
@@ -61,10 +63,44 @@ def _counts(spark: SparkSession, rows: dict[str, int], name: str) -> DataFrame:
 # --- sources and sinks -------------------------------------------------------------------
 
 
+def _checksum(df: DataFrame, column: str) -> Column:
+    """The sum of a number for each value that another engine computes alike."""
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.StringType):
+        number = F.conv(F.substring(F.md5(c.cast("binary")), 1, 8), 16, 10)
+    elif isinstance(kind, T.DateType):
+        number = F.unix_date(c)
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        number = F.unix_micros(c.cast("timestamp"))
+    elif isinstance(kind, T.BooleanType):
+        number = c.cast("int")
+    else:
+        number = c
+    return F.sum(number.cast("decimal(30,4)")).cast("decimal(38,4)")
+
+
+def _contents(t) -> DataFrame:
+    """(table_name, column_name, non_null, checksum) of the core tables' declared columns."""
+    parts = []
+    for table in S.CORE_TABLES:
+        df = t[table]
+        cells = [
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count(c).alias("non_null"),
+                _checksum(df, c).alias("checksum"),
+            ).alias(c)
+            for c in S.declared_columns(table)
+        ]
+        row = df.agg(*cells).select(F.inline(F.array(*S.declared_columns(table))))
+        parts.append(row.select(F.lit(table).alias("table_name"), "*"))
+    return _united(parts)
+
+
 def _scan_tables(spark, t):
     root = storage.scratch_path(spark, "raw")
     storage.sink_raw(t, root)
-    return storage.row_counts(storage.scan_tables(spark, root))
+    return _contents(storage.scan_tables(spark, root))
 
 
 def _sink_raw(spark, t):
@@ -74,7 +110,7 @@ def _sink_raw(spark, t):
 def _bulk_load(spark, t):
     root = storage.scratch_path(spark, "load")
     storage.bulk_load(t, root, truncate_first=True)
-    return storage.row_counts(storage.read_loaded(spark, root))
+    return _contents(storage.read_loaded(spark, root))
 
 
 def _row_count_reconcile(spark, t):
@@ -259,13 +295,13 @@ def _conversion_rate_col(spark, t):
 
 def _comparisons(t: Tables) -> DataFrame:
     return statistics.comparisons(
-        views.experiment_summary(t), segments.segment_report(views.segment_conversion(t))
+        views.experiment_summary(t), segments.all_lifts(views.segment_conversion(t))
     )
 
 
 def _p_values(t: Tables) -> DataFrame:
     return statistics.p_value_family(
-        views.experiment_summary(t), segments.segment_report(views.segment_conversion(t))
+        views.experiment_summary(t), segments.all_lifts(views.segment_conversion(t))
     )
 
 
@@ -311,23 +347,36 @@ def _recommendation(spark, t):
 # --- streaming ---------------------------------------------------------------------------
 
 
+# Later than all rows of a stream: when it has been read, everything before it is closed.
+FAR_FUTURE = datetime(9999, 1, 1)
+
+
 def _stream_sessionize(spark: SparkSession, path: str) -> DataFrame:
     events = replay.read_files_as_stream(spark, f"{path}/events.parquet").select(
         "event_id", "user_id", F.col("ts").alias("event_timestamp")
     )
-    closed = replay.run_available(stream_sessions.stream_sessionize(events), "stream-sessions")
-    return closed.withColumns(
+    closing = {"event_id": -1, "user_id": -1, "event_timestamp": FAR_FUTURE}
+    found = replay.run_available(
+        events, stream_sessions.stream_sessionize, closing, "stream-sessions"
+    )
+    return found.withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")}
     )
 
 
 def _stream_daily_srm(spark: SparkSession, path: str) -> DataFrame:
     customers = replay.read_files_as_stream(spark, f"{path}/customer.parquet")
-    closed = replay.run_available(
-        allocation.stream_daily_allocation(warehouse.experiments_of(customers)),
+    closing = {
+        "experiment_id": -1, "experiment_name": "", "variant": S.CONTROL, "user_id": -1,
+        "assignment_timestamp": FAR_FUTURE, "is_holdout": False,
+    }
+    days = replay.run_available(
+        warehouse.experiments_of(customers),
+        allocation.stream_daily_allocation,
+        closing,
         "stream-allocation",
     )
-    return allocation.with_daily_share(closed)
+    return allocation.monitored(days)
 
 
 # name -> function of (spark, canonical tables)
@@ -339,8 +388,8 @@ _OVER_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "refresh_materialized": _refresh_materialized,
     "export_datasets": _export_datasets,
     "dim_lookup_seed": _dim_lookup_seed,
-    "typed_view_read": lambda s, t: reporting.typed_read(views.experiment_summary(t)),
-    "user_level_sample": lambda s, t: reporting.user_level_data(t),
+    "typed_view_read": lambda s, t: reporting.DATASETS["experiment_summary"](t),
+    "user_level_sample": lambda s, t: reporting.user_level_data(t, 0.25),
     "dataset_bundle": _dataset_bundle,
     "export_stat_results": lambda s, t: reporting.statistical_export(
         reporting.inference_results(views.experiment_summary(t)), STAMP
@@ -411,7 +460,7 @@ _OVER_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "lift_cols": _lift_cols,
     "event_funnel_map": _event_funnel_map,
     "assign_variants": lambda s, t: sessions.assign_variants(
-        t["users"], (("checkout_redesign", 0, 500), ("pricing_test", 1, 420))
+        t["users"], (("checkout_redesign", 500), ("pricing_test", 420))
     ),
     "sessionize": lambda s, t: sessions.sessionize(t["raw_events"]),
     "derive_orders": lambda s, t: sessions.derive_orders(t["events"]),
@@ -439,7 +488,9 @@ _OVER_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "srm_test": lambda s, t: statistics.srm_from_assignments(t["experiments"]),
     "bonferroni": lambda s, t: statistics.bonferroni(_p_values(t)),
     "benjamini_hochberg": lambda s, t: statistics.benjamini_hochberg(_p_values(t)),
-    "correct_p_values": lambda s, t: statistics.correct_p_values(_p_values(t), "none"),
+    "correct_p_values": lambda s, t: statistics.correct_p_values(
+        _p_values(t), "benjamini_hochberg"
+    ),
     "iqr_outliers": lambda s, t: outliers.iqr_outliers(reports.user_revenue(t)),
     "outlier_impact": lambda s, t: outliers.outlier_impact(reports.revenue_histogram(t)),
     "winsorized_mean": lambda s, t: outliers.winsorized_mean(reports.revenue_histogram(t)),
@@ -458,23 +509,8 @@ _OVER_FILES: dict[str, Query] = {
 }
 
 
-# Queries that read the session of an order.
-_READ_ORDER_SESSIONS = {
-    "scan_tables",
-    "sink_raw",
-    "bulk_load",
-    "row_count_reconcile",
-    "null_profile",
-    "dq_orders",
-    "dq_overall",
-    "schema_check",
-    "fk_check",
-}
-
-
-def _over_tables(name: str, build) -> Query:
-    linked = name in _READ_ORDER_SESSIONS
-    return lambda spark, path: published(build(spark, warehouse.load(spark, path, linked)))
+def _over_tables(build) -> Query:
+    return lambda spark, path: published(build(spark, warehouse.load(spark, path)))
 
 
 def _over_files(build: Query) -> Query:
@@ -482,6 +518,6 @@ def _over_files(build: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    **{name: _over_tables(name, build) for name, build in _OVER_TABLES.items()},
+    **{name: _over_tables(build) for name, build in _OVER_TABLES.items()},
     **{name: _over_files(build) for name, build in _OVER_FILES.items()},
 }

@@ -8,13 +8,16 @@ write itself, so no table is scanned a second time to be counted.
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trialscope import schemas as S
+from trialscope.sources import versions
 from trialscope.sources.tables import Tables
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -61,25 +64,74 @@ def _declared(table: str) -> list[tuple[str, str]]:
     return [tuple(column.split()) for column in S.TABLE_DDL[table].split(", ")]
 
 
+# How CSV files are written and read: quotes are doubled, NULL has a mark of its own (an empty field
+# counts as NULL too), an empty text is quoted, white space and microseconds are kept.  A text that is the mark itself
+# is read as NULL.
+_CSV = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def _raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text.  Line ends inside quotes belong to the text, so files are not split."""
+    return spark.read.options(**_CSV).option("multiLine", True).csv(path)
+
+
 def _read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Declared columns by header name, so the order in the file does not matter.
 
-    A value that can not be read becomes NULL and is then reported by the quality gate.
+    A value that can not be read becomes NULL; ``unreadable_values`` counts them, and the quality
+    gate reports those that must not be NULL.
     """
-    raw = spark.read.option("header", True).csv(path)
+    raw = _raw_csv(spark, path)
     return raw.select(
         *[F.col(c).try_cast(kind).alias(c) for c, kind in _declared(table) if c in raw.columns]
     )
 
 
+def _source_path(spark: SparkSession, root: str, table: str, source: str) -> str | None:
+    paths = [table_path(root, table), f"{table_path(root, table)}.{source}"]
+    return next((p for p in paths if _status(spark, p) is not None), None)
+
+
+def unreadable_values(
+    spark: SparkSession, root: str, tables: Sequence[str] = S.CORE_TABLES
+) -> DataFrame:
+    """(table_name, column_name, lost): values of CSV files that become NULL when they are read."""
+    parts = []
+    for table in tables:
+        path = _source_path(spark, root, table, "csv")
+        if path is None:
+            continue
+        raw = _raw_csv(spark, path)
+        columns = [(c, kind) for c, kind in _declared(table) if c in raw.columns]
+        lost = [
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()).alias("lost"),
+            ).alias(c)
+            for c, kind in columns
+        ]
+        row = raw.agg(*lost).select(F.inline(F.array(*[c for c, _ in columns])))
+        parts.append(row.select(F.lit(table).alias("table_name"), "*"))
+    empty = spark.createDataFrame([], "table_name string, column_name string, lost bigint")
+    return reduce(DataFrame.unionByName, parts, empty)
+
+
 def scan_tables(
     spark: SparkSession, root: str, source: str = "csv", tables: Sequence[str] = S.CORE_TABLES
 ) -> Tables:
     """Tables under ``root`` as ``<table>`` or ``<table>.<source>``; absent ones are left out."""
     found: dict[str, DataFrame] = {}
     for table in tables:
-        paths = [table_path(root, table), f"{table_path(root, table)}.{source}"]
-        path = next((p for p in paths if _status(spark, p) is not None), None)
+        path = _source_path(spark, root, table, source)
         if path is None:
             continue
         if source == "csv":
@@ -93,7 +145,7 @@ def _observed_write(df: DataFrame, path: str, source: str, mode: str, partition_
     counted = Observation()
     writer = df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode(mode).format(source)
     if source == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**_CSV)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -117,32 +169,78 @@ LAYOUT = {
 }
 
 
-def bulk_load(
+def stage(
     t: Mapping[str, DataFrame], root: str, truncate_first: bool = False
-) -> dict[str, int]:
-    """Load the core tables as Parquet, parents before children.
+) -> dict[str, versions.Entry]:
+    """Write the core tables as Parquet, parents before children, without publishing them.
 
     Facts are partitioned by day.  The rebalance hint gathers the rows of a day for few large
-    files and lets adaptive execution split days that are too large for one task.
+    files and lets adaptive execution split days that are too large for one task.  Unless
+    ``truncate_first``, rows are added to those of the published version, except rows whose
+    primary key it holds already, so a load can be repeated.
     """
-    mode = "overwrite" if truncate_first else "append"
-    loaded = {}
+    spark = next(iter(t.values())).sparkSession if t else None
+    before = {} if truncate_first or spark is None else versions.current(spark, root)[1]
+    staged = {}
     for table in S.CORE_TABLES:
         if table not in t:
+            if table in before:
+                staged[table] = before[table]
             continue
-        df, days = t[table], ()
+        df, days, earlier = t[table], (), before.get(table)
+        if earlier is not None:
+            key = S.PRIMARY_KEYS[table]
+            df = df.join(versions.read(spark, earlier).select(key), key, "left_anti")
         if table in LAYOUT:
             day, ts = LAYOUT[table]
             df = df.withColumn(day, F.to_date(ts)).hint("rebalance", day)
             days = (day,)
-        loaded[table] = _observed_write(df, table_path(root, table), "parquet", mode, days)
-    return loaded
+        path = f"{table_path(root, table)}/{uuid.uuid4().hex}"
+        start = time.monotonic()
+        rows = _observed_write(df, path, "parquet", "errorifexists", days)
+        seconds = time.monotonic() - start
+        paths = (*(earlier.paths if earlier else ()), path)
+        staged[table] = versions.Entry(paths, df.schema.json(), rows, seconds)
+    return staged
+
+
+def bulk_load(
+    t: Mapping[str, DataFrame], root: str, truncate_first: bool = False
+) -> dict[str, int]:
+    """``stage`` and publish at once; returns the rows written per table of ``t``.
+
+    Until everything is written readers see the version before, also after a failure.
+    """
+    staged = stage(t, root, truncate_first)
+    if staged:
+        versions.publish(next(iter(t.values())).sparkSession, root, staged)
+    return {table: entry.rows for table, entry in staged.items() if table in t}
+
+
+def read_staged(spark: SparkSession, staged: Mapping[str, versions.Entry]) -> Tables:
+    return Tables({table: versions.read(spark, entry) for table, entry in staged.items()})
 
 
 def read_loaded(spark: SparkSession, root: str) -> Tables:
-    """The tables written by ``bulk_load``."""
-    return Tables(
-        {table: spark.read.parquet(table_path(root, table)) for table in S.CORE_TABLES}
+    """The tables that were loaded under ``root``, with the types they were loaded with."""
+    return read_staged(spark, versions.current(spark, root)[1])
+
+
+def load_log(spark: SparkSession, root: str) -> DataFrame:
+    """(version, published_at, table_name, rows, seconds, rows_per_second) of every load."""
+    return (
+        versions.log(spark, root)
+        .select("version", "published_at", F.explode("tables").alias("table_name", "e"))
+        .select(
+            "version",
+            "published_at",
+            "table_name",
+            "e.rows",
+            "e.seconds",
+            F.when(F.col("e.seconds") > 0, F.col("e.rows") / F.col("e.seconds")).alias(
+                "rows_per_second"
+            ),
+        )
     )
 
 

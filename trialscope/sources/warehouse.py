@@ -146,21 +146,21 @@ def _sessions(t: Tables) -> DataFrame:
     )
 
 
-def _orders(spark: SparkSession, path: str, t: Tables, link_sessions: bool) -> DataFrame:
-    orders = source(spark, path, "orders")
-    if link_sessions:
-        first_session = (
-            t["sessions"]
-            .groupBy(F.col("user_id").alias("_user"))
-            .agg(F.min_by("session_id", "session_start").alias("session_id"))
-        )
-        orders = orders.join(first_session, F.expr("o_custkey = _user"), "left")
-    session = "session_id" if link_sessions else "CAST(NULL AS BIGINT) AS session_id"
+def _orders(spark: SparkSession, path: str, t: Tables) -> DataFrame:
+    """Orders with the first session of their user; a query that does not read it does not join."""
+    first_session = (
+        t["sessions"]
+        .groupBy(F.col("user_id").alias("_user"))
+        .agg(F.min_by("session_id", "session_start").alias("session_id"))
+    )
+    orders = source(spark, path, "orders").join(
+        first_session, F.expr("o_custkey = _user"), "left"
+    )
     method = _case("o_orderpriority", [(p, f"'{m}'") for p, m in PAYMENT_BY_PRIORITY])
     return orders.selectExpr(
         "o_orderkey AS order_id",
         "o_custkey AS user_id",
-        session,
+        "session_id",
         "CAST(NULL AS BIGINT) AS event_id",
         "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval("
         "CAST(datediff(o_orderdate, date'1995-01-01') % 30 AS INT), "
@@ -174,12 +174,8 @@ def _orders(spark: SparkSession, path: str, t: Tables, link_sessions: bool) -> D
     )
 
 
-def load(spark: SparkSession, path: str, link_sessions: bool = True) -> Tables:
-    """The eleven canonical tables over a folder of warehouse Parquet files.
-
-    ``orders.session_id`` costs a join with the sessions; without ``link_sessions`` it is NULL,
-    for queries that do not read it.
-    """
+def load(spark: SparkSession, path: str) -> Tables:
+    """The eleven canonical tables over a folder of warehouse Parquet files."""
     return Tables(
         {
             "regions": lambda t: source(spark, path, "region").selectExpr(
@@ -213,6 +209,6 @@ def load(spark: SparkSession, path: str, link_sessions: bool = True) -> Tables:
                 "event_id", "session_id", "user_id", "experiment_id", "event_type_id",
                 "event_timestamp", "page_url", "revenue", "is_mobile",
             ),
-            "orders": lambda t: _orders(spark, path, t, link_sessions),
+            "orders": lambda t: _orders(spark, path, t),
         }
     )

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trialscope import schemas as S
-from trialscope.functions.ratios import ratio_or_zero
+from trialscope.operators.reports import allocation_shares
 
 
 def stream_daily_allocation(assignments: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -20,24 +19,27 @@ def stream_daily_allocation(assignments: DataFrame, delay: str = "1 day") -> Dat
         .withColumn("assignment_timestamp", F.col("assignment_timestamp").cast("timestamp"))
         .withWatermark("assignment_timestamp", delay)
         .dropDuplicatesWithinWatermark(["experiment_id"])
-        .groupBy(day.alias("w"), "experiment_name")
-        .agg(
-            F.count_if(F.col("variant") == S.CONTROL).alias("daily_users_control"),
-            F.count_if(F.col("variant") == S.VARIANT).alias("daily_users_variant"),
-        )
+        .groupBy(day.alias("w"), "experiment_name", "variant")
+        .agg(F.count("user_id").alias("users_assigned"))
         .select(
             F.to_date("w.start").alias("metric_date"),
             "experiment_name",
-            "daily_users_control",
-            "daily_users_variant",
+            "variant",
+            "users_assigned",
         )
     )
 
 
-def with_daily_share(days: DataFrame) -> DataFrame:
-    """Variant share of the closed days."""
-    total = F.col("daily_users_control") + F.col("daily_users_variant")
-    return days.select(
-        "*",
-        ratio_or_zero(F.col("daily_users_variant"), total).alias("actual_daily_variant_fraction"),
+def monitored(days: DataFrame, minimum_users: int = 1000, tolerance: float = 0.05) -> DataFrame:
+    """Daily and cumulative shares and the warning flag of the closed days.
+
+    Each day is emitted once, so the emitted rows are the table of days; what accumulates is
+    computed when it is read.
+    """
+    so_far = Window.partitionBy("experiment_name", "variant").orderBy("metric_date")
+    cumulative = F.sum("users_assigned").over(
+        so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return allocation_shares(
+        days.withColumn("cumulative_users", cumulative), minimum_users, tolerance
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from trialscope.sources.storage import is_folder, scratch_path
 
@@ -40,15 +42,41 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def run_available(stream: DataFrame, name: str) -> DataFrame:
+class LateRows(RuntimeError):
+    """Rows came later than the watermark allows, so the result would lack them."""
+
+
+def _dropped(query: StreamingQuery) -> int:
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+
+
+def run_available(
+    rows: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
+    closing: Mapping[str, object],
+    name: str,
+) -> DataFrame:
     """Process everything available in append mode into Parquet files and return them.
 
+    ``closing`` is a row far in the future.  It comes from a second source of the same stream after
+    all others, so the watermark passes what is open and every result is emitted; results of its
+    own stay open.  Rows that came too late raise ``LateRows``.
+
     The file sink commits each micro-batch once, so a restart after a lost executor neither
     repeats nor loses rows.
     """
-    spark = stream.sparkSession
+    spark = rows.sparkSession
     root = scratch_path(spark, name)
-    with settings(spark, STREAM_SETTINGS):
+    ends = f"{root}/closing"
+    spark.createDataFrame([], rows.schema).write.parquet(ends)
+    united = rows.unionByName(spark.readStream.schema(rows.schema).parquet(ends))
+    stream = build(united)
+
+    def run() -> None:
         query = (
             stream.writeStream.outputMode("append")
             .format("parquet")
@@ -58,4 +86,14 @@ def run_available(stream: DataFrame, name: str) -> DataFrame:
             .start()
         )
         query.awaitTermination()
+        if late := _dropped(query):
+            raise LateRows(f"{late} rows of {name} came after the watermark had passed them")
+
+    with settings(spark, STREAM_SETTINGS):
+        run()
+        last = spark.range(1).select(
+            *[F.lit(closing[f.name]).cast(f.dataType).alias(f.name) for f in rows.schema]
+        )
+        last.write.mode("append").parquet(ends)
+        run()
     return spark.read.schema(stream.schema).parquet(f"{root}/data")
