@@ -44,7 +44,7 @@ def test_exact_with_one_part(spark):
     rows = [(i, rng.integers(-3, 4, 6).astype("f4").tolist()) for i in range(300)]
     same = rng.normal(size=6).astype("f4").tolist()
     rows += [(i, same) for i in range(300, 420)]
-    rows += [(500, None), (520, [0.0] * 6), (540, [1.0, None, 0, 0, 0, 0]), (560, [float("nan")] * 6)]
+    rows += [(500, None), (520, [0.0] * 6), (540, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (560, [float("nan")] * 6)]
     rows += [(580, [float("inf")] + [0.0] * 5), (600, []), (None, [1.0] * 6), (20, rows[20][1])]
     assert_same(found(ann.search(frame(spark, rows), F.col("vec_id") % 20 == 0)), brute(rows))
 

@@ -148,7 +148,7 @@ def test_windows_cover_every_word():
 
 def test_toxicity_of_odd_rows(spark):
     rng = random.Random(12)
-    rows = [(i, prose(rng, 40) + (" vile brute" if i % 2 else "")) for i in range(200)]
+    rows = [(i, prose(rng, 20 * (1 + i % 16)) + (" vile brute" if i % 2 else "")) for i in range(200)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(3, None), (None, 1), (900, 7)], "doc_id long, toxic int")
     model = toxicity.fit(documents(spark, rows), labels)
     docs = documents(spark, [*odd_rows(), (50, prose(rng, 300) + " VILE, brute " + prose(rng, 300)), (51, prose(rng, 600))])

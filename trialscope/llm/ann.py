@@ -160,18 +160,18 @@ def _best(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
         names, ids = left.column("query").to_numpy(), right.column("id").to_numpy()
         q, x = (matrix(t.column("v").combine_chunks()) for t in (left, right))
         out, n = [], min(k, len(x))
-        # A few more than needed are looked at: sums in another order may differ in the last place.
-        more = min(k + 4, len(x))
-        for i in range(0, len(q), 512):
-            scores = q[i : i + 512] @ x.T
-            near = np.sort(np.argpartition(-scores, more - 1, axis=1)[:, :more], axis=1)
-            exact = (q[i : i + 512, None, :] * x[near]).sum(axis=2)
-            order = np.argsort(-exact, axis=1, kind="stable")[:, :n]
-            out.append((
-                np.repeat(names[i : i + 512], n),
-                ids[np.take_along_axis(near, order, axis=1)].ravel(),
-                np.take_along_axis(exact, order, axis=1).ravel(),
-            ))
+        for i in range(0, len(q), 32):
+            part = q[i : i + 32]
+            scores = part @ x.T
+            # All that may tie with the last one: sums in another order differ in the last places.
+            last = np.partition(scores, -n, axis=1)[:, -n, None]
+            row, near = np.nonzero(scores >= last - 1e-9 * np.maximum(1, np.abs(last)))
+            exact = (part[row] * x[near]).sum(axis=1)
+            order = np.lexsort((near, -exact, row))
+            sizes = np.bincount(row, minlength=len(part))
+            place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            order = order[place < n]
+            out.append((names[i : i + 32][row[order]], ids[near[order]], exact[order]))
         return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=arrow)
 
     tile = ["part", "block", "chunk"]

@@ -129,7 +129,7 @@ class Field:
         spans: list[tuple[np.ndarray, int]] = []
         for text, label in zip(texts, labels, strict=True):
             words = [vocabulary.setdefault(w, len(vocabulary)) for w in _WORDS.findall(text.lower())]
-            spans += [(np.array(words[i : i + 20]), label) for i in range(0, len(words), 20)]
+            spans += [(np.array(words[i : i + 20]), int(label)) for i in range(0, len(words), 20)]
         if not spans:
             return
         flat, count = features(list(vocabulary))

@@ -327,7 +327,8 @@ def score(
     whole = math.log10(total + 0.5 * (kinds + 1))
     top = counts.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
     logs = np.log10(top.column("n").to_numpy() + 0.5)
-    least = int(top.column("n").to_numpy().min()) if len(top) else 0
+    # All other words are at most as frequent as these.
+    least = int(top.column("n").to_numpy().min()) if len(top) else total
     table = Model(spark, (top.column("word").to_pylist(), logs), lambda x: dict(zip(x[0], x[1].tolist(), strict=True)))
     parts = models(train, rows)
     base = cut(_tokens(docs, table, parts[0]))

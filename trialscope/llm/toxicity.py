@@ -198,7 +198,7 @@ def fit_net(
     for k in (0, 1):
         for w in read_sets[k]:
             seen[k, np.unique(np.fromiter(chain.from_iterable(pieces[x] for x in w), "i4"))] += 1
-    rates = (seen + 0.5) / (np.array([[len(read_sets[0])], [len(read_sets[1])]]) + 1)
+    rates = (seen + 2) / (np.array([[len(read_sets[0])], [len(read_sets[1])]]) + 4)
     net.w["chars"][:, 0] = np.clip(np.log(rates[1] / rates[0]), -3, 5) / 2
     kinds: dict[str, int] = {}
     words = np.array([kinds.setdefault(w, len(kinds)) for w in chain.from_iterable(read)], "i8")
