@@ -118,22 +118,25 @@ class Ppm:
         return np.where(left > 0, left / whole, np.where(counts > 0, 0.0, escape * below))
 
     def _build(self, grams: np.ndarray, counts: np.ndarray) -> None:
-        # Per length of context: its byte runs, and context and byte as one number with its count.
+        # Per length of context: context and byte as one number, and its count.
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        for k in range(1, ORDER + 1):
+            keys, at = np.unique(grams & ((1 << 8 * k + 8) - 1), return_inverse=True)
+            self.levels.append((keys, np.bincount(at, counts, len(keys))))
+        contexts = [np.unique(keys >> 8) for keys, _ in self.levels]
         # A context that was never met is treated like the longest part of it that was; row 0 of the
         # table stands for no context at all.
         self.row_of = np.zeros(1 << 24, "i4")
-        rows = [self._row(self.zero, np.zeros(256, bool), self.even)[None, :]]
+        log = np.empty((1 + sum(map(len, contexts)), 256), "f4")
+        log[0] = np.log10(self._row(self.zero, np.zeros(256, bool), self.even))
         offset = 1
-        for k in range(1, ORDER + 1):
-            keys, at = np.unique(grams & ((1 << 8 * k + 8) - 1), return_inverse=True)
-            self.levels.append((keys, np.bincount(at, counts, len(keys))))
-            names = np.unique(keys >> 8)
-            for i in range(0, len(names), 2048):
-                rows.append(self._level(k, names[i : i + 2048]).astype("f4"))
+        for k, names in enumerate(contexts, 1):
+            for i in range(0, len(names), 1024):
+                block = names[i : i + 1024]
+                log[offset + i : offset + i + len(block)] = np.log10(self._level(k, block))
             self.row_of.reshape(-1, 1 << 8 * k)[:, names] = offset + np.arange(len(names), dtype="i4")
             offset += len(names)
-        self.log = np.log10(np.concatenate(rows, dtype="f4")).ravel()
+        self.log = log.ravel()
         del self.levels
 
     def _counts(self, k: int, names: np.ndarray) -> np.ndarray:
