@@ -42,6 +42,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def compact(df: DataFrame, per_part: int = 50_000) -> DataFrame:
+    """``cut``, then read in no more partitions than its rows need.
+
+    Tables that loops go over are often much smaller than what they were made from; with few
+    partitions, what reads them writes few shuffle files.
+    """
+    df = cut(df)
+    return df.coalesce(max(1, -(-df.count() // per_part)))
+
+
 def held_out(key: Column | str, modulus: int, remainder: int) -> Column:
     """True where crc32 of the key, written as text, leaves ``remainder``."""
     key = F.col(key) if isinstance(key, str) else key

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import compact
 
 
 def _starred(edges: DataFrame, large: bool) -> DataFrame:
@@ -22,7 +22,7 @@ def _starred(edges: DataFrame, large: bool) -> DataFrame:
         out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             least.select("a", F.col("m").alias("b"))
         )
-    return out.where("a <> b").distinct()
+    return out.where("a <> b")
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
@@ -31,10 +31,13 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     Large-star and small-star steps alternate until the edges form stars around the roots, which
     takes about log(n) rounds.  Edges with a null end and loops are left out.
     """
-    edges = cut(edges.where("a <> b").select("a", "b").distinct())
+    edges = compact(edges.where("a <> b").select("a", "b").distinct())
     mark = None
     for _ in range(rounds):
-        edges = cut(_starred(_starred(edges, True), False))
+        # As many partitions as the edges had before: no step makes more of them than it got.
+        parts = edges.rdd.getNumPartitions()
+        edges = _starred(edges, True).coalesce(parts).distinct()
+        edges = compact(_starred(edges, False).coalesce(parts).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
             break

@@ -11,8 +11,9 @@ Pairs are not enumerated within a band's bucket.  All its members are first comp
 them, the one that meets the most others in all bands; the links found give components, and buckets
 whose members are already connected are done.  In the others a member outside the first leader's
 component is compared with all members of other components; what still lies in several components
-then is compared across components only.  Every candidate pair is thus compared, or its ends are
-already connected, so the components are those of all candidate pairs.
+then is compared across components only: as pairs in buckets of at most ``crowd`` members, and in
+larger ones block by block in memory, where nothing but links is emitted.  Every candidate pair is
+thus compared, or its ends are already connected, so the components are those of all candidate pairs.
 
 Pairs of the threshold's similarity share no band with probability (1 - t^rows)^bands: 2e-5 by
 default, and less the more similar they are.  Sets hold 64-bit hashes of runs.
@@ -35,10 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut, slices, texts_of
+from .common import compact, slices, texts_of
 from .components import components
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Members of a large bucket, and bytes of their texts, that are compared with as many others in one task.
+BLOCK, BLOCK_BYTES = 1024, 4 << 20
 
 
 def shingles(text: str | None, size: int = 5) -> np.ndarray:
@@ -114,8 +117,30 @@ def _signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def signatures(column: pa.Array) -> np.ndarray:
+    """A binary column of signatures as rows of numbers."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), -1)
+
+
+def likely(
+    x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray, steps: list[tuple[int, int]]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Those pairs of rows x[i], y[j] that no batch of their signatures rules out."""
+    matches, done = np.zeros(len(i), "i8"), 0
+    for n, least in steps:
+        matches += (x[i, done:n] == y[j, done:n]).sum(axis=1)
+        alive = matches >= least
+        i, j, matches, done = i[alive], j[alive], matches[alive], n
+    return i, j
+
+
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _verified(
-    pairs: DataFrame, classes: DataFrame, size: int, threshold: float, batch: int, miss: float
+    pairs: DataFrame, classes: DataFrame, size: int, threshold: float, steps: list[tuple[int, int]]
 ) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets reach the threshold."""
     rows = pairs.join(classes.select(F.col("id").alias("b"), F.struct("signature", "text").alias("y")), "b").join(
@@ -135,24 +160,16 @@ def _verified(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, set_x = None, np.zeros(0, "u8")
-        steps = None
         for whole in batches:
             for part in slices(whole, "text_y"):
-                x, y = (np.frombuffer(b"".join(texts_of(part, c)), "<u2").reshape(part.num_rows, -1) for c in "xy")
-                if steps is None:
-                    steps = least_matches(x.shape[1], batch, threshold, miss)
-                alive, matches, done = np.arange(part.num_rows), np.zeros(part.num_rows, "i8"), 0
-                for n, least in steps:
-                    matches[alive] += (x[alive, done:n] == y[alive, done:n]).sum(axis=1)
-                    alive, done = alive[matches[alive] >= least], n
-                part = part.take(pa.array(alive))
+                x, y = (signatures(part.column(c)) for c in "xy")
+                each = np.arange(part.num_rows)
+                part = part.take(pa.array(likely(x, y, each, each, steps)[0]))
                 left, keep = part.column("a").to_pylist(), []
                 for i, a in enumerate(left):
                     if a != last:
                         last, set_x = a, shingles(part.column("text_x")[i].as_py(), size)
-                    set_y = shingles(part.column("text_y")[i].as_py(), size)
-                    both = len(np.intersect1d(set_x, set_y, assume_unique=True))
-                    if 100 * both >= percent * (len(set_x) + len(set_y) - both):
+                    if alike(set_x, shingles(part.column("text_y")[i].as_py(), size), percent):
                         keep.append(i)
                 part = part.take(pa.array(keep, pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], schema=arrow)
@@ -177,6 +194,74 @@ def _led(open_rows: DataFrame) -> DataFrame:
     )
 
 
+def _crowded(
+    rows: DataFrame, classes: DataFrame, size: int, threshold: float, steps: list[tuple[int, int]], band_rows: int
+) -> DataFrame:
+    """Links (a, b) across components within large buckets: rows of (band, bucket, n, id, root).
+
+    A bucket is cut into blocks of about ``BLOCK`` members and ``BLOCK_BYTES`` of texts, and each pair of blocks is compared in a
+    task's memory, so pairs are not emitted but links are.  A pair that shares several bands is
+    compared in the first of them.
+    """
+    sized = rows.join(classes.select("id", F.octet_length("text").alias("bytes")), "id")
+    total = F.sum("bytes").over(Window.partitionBy("bucket"))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, total / BLOCK_BYTES)).cast("int")
+    dealt = sized.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    tiles = dealt.select(
+        "band", "bucket", "block", "id", "root", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select("*", F.least("block", "other").alias("tile_a"), F.greatest("block", "other").alias("tile_b"))
+    tiles = tiles.join(classes, "id")
+    kind = rows.schema["id"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    arrow = to_arrow_schema(schema)
+    percent = round(100 * threshold)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, roots = table.column("id").to_pylist(), table.column("root").to_pylist()
+        if len(set(roots)) < 2:
+            return arrow.empty_table()
+        band, block = table.column("band")[0].as_py(), table.column("block").to_numpy()
+        sign = signatures(table.column("signature"))
+        group = {r: r for r in roots}
+
+        def top(r):
+            while group[r] != r:
+                group[r] = r = group[group[r]]
+            return r
+
+        number = {r: k for k, r in enumerate(group)}
+        root = np.array([number[r] for r in roots])
+        # Which earlier bands hash alike: those pairs are compared there.
+        earlier = sign[:, : band * band_rows].reshape(len(ids), band, band_rows)
+        sets: dict[int, np.ndarray] = {}
+
+        def of(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = shingles(table.column("text")[k].as_py(), size)
+            return sets[k]
+
+        one = table.column("tile_a")[0].as_py()
+        within = one == table.column("tile_b")[0].as_py()
+        links: list[tuple[int, int]] = []
+        rest = np.arange(len(ids)) if within else np.flatnonzero(block != one)
+        for k in range(len(ids)) if within else np.flatnonzero(block == one).tolist():
+            j = rest[rest > k] if within else rest
+            j = j[root[j] != root[k]]
+            j = likely(sign, sign, np.full(len(j), k), j, steps)[1]
+            if band:
+                j = j[~(earlier[j] == earlier[k]).all(axis=2).any(axis=1)]
+            for other in j.tolist():
+                x, y = top(roots[k]), top(roots[other])
+                if x != y and alike(of(k), of(other), percent):
+                    group[y] = x
+                    links.append((k, other))
+        a, b = (table.column("id").take(pa.array([x[i] for x in links], pa.int64())) for i in (0, 1))
+        return pa.Table.from_arrays([a, b], schema=arrow)
+
+    return tiles.groupBy("bucket", "tile_a", "tile_b").applyInArrow(run, schema)
+
+
 def near_duplicates(
     documents: DataFrame,
     *,
@@ -188,10 +273,11 @@ def near_duplicates(
     rows: int = 5,
     batch: int = 40,
     miss: float = 1e-6,
+    crowd: int = 64,
 ) -> DataFrame:
     """(key, n_shingles, component_id, kept) for each row; ``kept`` marks the smallest id of each."""
     docs = documents.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("digest"))
-    signed = cut(_signed(docs, size, bands, rows))
+    signed = compact(_signed(docs, size, bands, rows), 20_000)
     some = signed.where("class is not null and id is not null")
     stands = some.groupBy("id").agg(F.min(F.struct("class", "digest")).alias("s")).select("id", "s.*")
     firsts = stands.groupBy("class").agg(F.min(F.struct("id", "digest")).alias("s")).select("class", "s.*")
@@ -199,36 +285,40 @@ def near_duplicates(
     classes = some.join(firsts.select(one), one).dropDuplicates(one).select(*one, "signature")
     banded = classes.select(
         "id",
-        F.explode(
+        F.posexplode(
             F.array(*[
                 F.xxhash64(F.lit(i), F.substring("signature", 2 * rows * i + 1, 2 * rows)) for i in range(bands)
             ])
-        ).alias("bucket"),
+        ).alias("band", "bucket"),
     )
-    shared = cut(
+    shared = compact(
         banded.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).where("n > 1")
     )
     mass = shared.groupBy("id").agg(F.sum("n").alias("mass"))
-    members = cut(shared.select("bucket", "id").join(mass, "id"))
+    members = compact(shared.select("band", "bucket", "id").join(mass, "id"))
     wanted = members.select("id").distinct().join(firsts.select(one), "id")
     texts = docs.join(wanted, one, "left_semi").dropDuplicates(one)
-    full = cut(some.join(wanted, one, "left_semi").dropDuplicates(one).join(texts, one).select("id", "signature", "text"))
+    full = compact(some.join(wanted, one, "left_semi").dropDuplicates(one).join(texts, one).select("id", "signature", "text"), 10_000)
+
+    steps = least_matches(bands * rows, batch, threshold, miss)
 
-    links = None
-    open_rows = members.withColumn("root", F.col("id"))
-    for step in ("led", "led", "all"):
-        if step == "led":
-            pairs = _led(open_rows)
+    links, open_rows = None, members.withColumn("root", F.col("id"))
+    for step in range(3):
+        if step < 2:
+            found = _verified(_led(open_rows), full, size, threshold, steps)
         else:
-            x, y = (open_rows.select("bucket", F.col("id").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
+            sized = open_rows.withColumn("n", F.count("*").over(Window.partitionBy("bucket")))
+            small, large = sized.where(F.col("n") <= crowd), sized.where(F.col("n") > crowd)
+            x, y = (small.select("bucket", F.col("id").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
             pairs = x.join(y, "bucket").where("a < b and root_a <> root_b").select("a", "b").distinct()
-        found = _verified(pairs, full, size, threshold, batch, miss)
-        links = cut(found if links is None else links.union(found))
+            found = _verified(pairs, full, size, threshold, steps)
+            found = found.union(_crowded(large, full, size, threshold, steps, rows))
+        links = compact(found if links is None else links.union(found))
         roots = components(links)
-        if step != "all":
+        if step < 2:
             labelled = _labelled(members, roots)
             several = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-            open_rows = cut(labelled.join(several.where("x <> y").select("bucket"), "bucket"))
+            open_rows = compact(labelled.join(several.where("x <> y").select("bucket"), "bucket"))
             if open_rows.isEmpty():
                 break
 
