@@ -4,8 +4,8 @@ Each white-space word is read as its lower-cased letters and digits, the marks a
 words in capitals, a token for that; tokens are hashed into ``BUCKETS`` buckets, which bounds all
 tables.  Every bucket has a sparse random index vector.  Its word vector is the sum of the index
 vectors of its neighbours (two on each side) over all documents, centred and scaled, joined with its
-own index vector.  A document is the mean and spread of its tokens' vectors, the mean product of
-neighbouring ones (which shows repetition) and its length.  The network is fitted on a bounded
+own index vector.  A document is the mean and spread of its tokens' vectors, the share of tokens that
+repeat the one before, and its length.  The network is fitted on a bounded
 sample of labelled rows and its probabilities are calibrated with a temperature on rows left out of
 the fit; word vectors use all documents and no labels.
 
@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +37,9 @@ _MARKS = re.compile(r"[^\w\s]+|_+")
 def index_vectors() -> np.ndarray:
     """A sparse vector of +1 and -1 for each bucket; bucket 0 stands between texts and has none."""
     rng = np.random.default_rng(11)
-    out = np.zeros((BUCKETS, SIZE), "f4")
+    out = np.zeros((BUCKETS, SIZE), "i1")
     places = rng.random((BUCKETS, SIZE)).argpartition(ONES, axis=1)[:, :ONES]
-    np.put_along_axis(out, places, rng.choice([-1.0, 1.0], (BUCKETS, ONES)).astype("f4"), axis=1)
+    np.put_along_axis(out, places, rng.choice([-1, 1], (BUCKETS, ONES)).astype("i1"), axis=1)
     out[0] = 0
     return out
 
@@ -51,14 +50,23 @@ def bucket(token: str) -> int:
 
 def tokens(word: str) -> list[str]:
     """What a white-space word is read as."""
-    marks = _MARKS.findall(word)
-    core = _MARKS.sub("", word)
+    if word.isalnum():
+        marks, core = [], word
+    else:
+        marks, core = _MARKS.findall(word), _MARKS.sub("", word)
     out = [core.lower()] if core else []
     if len(core) > 1 and core.isupper():
         out.append("\0capitals")
     return out + ["\0" + m[:3] for m in marks]
 
 
+def coded(word: str) -> bytes:
+    """The buckets of a word's tokens, two bytes each."""
+    if word.isalnum() and not word.isupper():
+        return bucket(word.lower()).to_bytes(2, "little")
+    return b"".join(bucket(t).to_bytes(2, "little") for t in tokens(word))
+
+
 class Reader:
     """Buckets of texts, words remembered."""
 
@@ -67,12 +75,16 @@ class Reader:
 
     def read(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Buckets of all texts, each followed by two zeros, and where each text starts."""
-        words = [t.split() if t else [] for t in texts]
         self.memo.make_room()
-        memo = self.memo
-        for w in set(chain.from_iterable(words)) - memo.keys():
-            memo[w] = np.array([bucket(t) for t in tokens(w)], "<u2").tobytes()
-        parts = [b"".join(map(memo.__getitem__, w)) + b"\0\0\0\0" for w in words]
+        memo, parts = self.memo, []
+        for text in texts:
+            words = text.split() if text else []
+            found = list(map(memo.get, words))
+            if None in found:
+                for i, x in enumerate(found):
+                    if x is None:
+                        found[i] = memo[words[i]] = coded(words[i])
+            parts.append(b"".join(found) + b"\0\0\0\0")
         return np.frombuffer(b"".join(parts), "<u2"), runs(len(p) // 2 for p in parts)
 
 
@@ -83,11 +95,12 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, sums, reader = index_vectors(), np.zeros((BUCKETS, SIZE)), Reader()
+        index, sums, reader = index_vectors(), np.zeros((BUCKETS, SIZE), "i8"), Reader()
         for batch in batches:
             for part in slices(batch, "text", 1 << 19):
                 ids, _ = reader.read(texts_of(part, "text"))
                 own = index[ids]
+                # Four neighbours' components fit in a byte.
                 near = np.zeros_like(own)
                 for k in (1, 2):
                     near[k:] += own[:-k]
@@ -95,9 +108,9 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
                 order = np.argsort(ids, kind="stable")
                 sorted_ids = ids[order]
                 starts = np.flatnonzero(np.r_[True, sorted_ids[1:] != sorted_ids[:-1]])
-                sums[sorted_ids[starts]] += np.add.reduceat(near[order], starts, axis=0)
+                sums[sorted_ids[starts]] += np.add.reduceat(near[order], starts, axis=0, dtype="i4")
         rows = np.flatnonzero(np.abs(sums).sum(axis=1))
-        columns = [pa.array(rows, pa.int32())] + [pa.array(sums[rows, i]) for i in range(SIZE)]
+        columns = [pa.array(rows, pa.int32())] + [pa.array(sums[rows, i].astype("f8")) for i in range(SIZE)]
         yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     total = docs.select("text").mapInArrow(run, schema).groupBy("bucket").agg(*(F.sum(n).alias(n) for n in names))
@@ -112,21 +125,30 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
 
 class Pooler:
+    """Features of texts: the mean and spread of their tokens' vectors, repetition, length."""
+
     def __init__(self, vectors: np.ndarray) -> None:
-        self.vectors, self.reader = vectors, Reader()
+        self.vectors, self.squares, self.reader = vectors, vectors * vectors, Reader()
 
     def features(self, texts: Sequence[str | None]) -> np.ndarray:
         ids, starts = self.reader.read(texts)
-        v = self.vectors[ids]
-        counts = np.maximum(np.diff(starts) - 2, 1)[:, None]
-        def mean(x):
-            return np.add.reduceat(x, starts[:-1], axis=0) / counts
-
-        middle = mean(v)
-        spread = np.sqrt(np.maximum(mean(v * v) - middle**2, 0))
-        v[:-1] *= v[1:]
-        v[-1] = 0
-        return np.hstack([middle, spread, mean(v), np.log1p(np.diff(starts) - 2)[:, None] / 10]).astype("f4")
+        counts = np.diff(starts) - 2
+        text = np.repeat(np.arange(len(texts)), np.diff(starts))
+        repeats = np.add.reduceat((ids == np.roll(ids, 1)) & (ids > 0), starts[:-1], dtype="i8")
+        whole = np.maximum(counts, 1)[:, None]
+        parts = []
+        # How often each text holds each bucket, for some texts at a time.
+        for i in range(0, len(texts), 64):
+            a, b = starts[i], starts[min(i + 64, len(texts))]
+            n = min(64, len(texts) - i)
+            held = np.bincount((text[a:b] - i) * BUCKETS + ids[a:b], minlength=n * BUCKETS)
+            held = held.reshape(n, BUCKETS).astype("f4")
+            held[:, 0] = 0
+            parts.append((held @ self.vectors, held @ self.squares))
+        middle, square = (np.concatenate(p) / whole for p in zip(*parts, strict=True))
+        spread = np.sqrt(np.maximum(square - middle**2, 0))
+        more = np.stack([repeats / whole[:, 0], np.log1p(counts) / 10], axis=1)
+        return np.hstack([middle, spread, more]).astype("f4")
 
 
 def fit_network(features: np.ndarray, labels: np.ndarray, seed: int = 3):
