@@ -44,13 +44,15 @@ GAP, WORD, DIGIT, MARKS, QUOTE, SHORT, QUOTE_R, QUOTE_V, QUOTE_L = range(9)
 
 def classes() -> np.ndarray:
     """The class of every code point."""
-    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
     out = np.full(0x110000, MARK, "u1")
-    for pattern, kind in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
-        for found in regex.finditer(pattern, every):
-            # Runs do not go across the gap of the surrogates.
-            for part in re.findall("[\0-\ud7ff]+|[\ue000-\U0010ffff]+", found.group()):
-                out[ord(part[0]) : ord(part[-1]) + 1] = kind
+    step = 0x800
+    for start in range(0, 0x110000, step):
+        if 0xD800 <= start < 0xE000:
+            continue
+        some = "".join(map(chr, range(start, start + step)))
+        for pattern, kind in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
+            for found in regex.finditer(pattern, some):
+                out[start + found.start() : start + found.end()] = kind
     for letters, kind in (("'", APOSTROPHE), ("stmd", STMD), ("r", R), ("v", V), ("l", L), ("e", E)):
         for x in letters:
             out[ord(x)] = kind
@@ -135,7 +137,10 @@ Token = tuple[bytes, bool]
 class WordCounter:
     """The second transducer.  Tokens are (bytes, whether they end a word)."""
 
-    def __init__(self, data: bytes, most: int = 60_000) -> None:
+    #: Mark of a last byte whose transition is not known yet.
+    UNKNOWN = np.iinfo("i1").min
+
+    def __init__(self, data: bytes, most: int = 50_000) -> None:
         model = json.loads(data)["model"]
         suffix, byte_of = model["end_of_word_suffix"], _byte_of()
 
@@ -158,8 +163,8 @@ class WordCounter:
         self.number: dict[tuple, int] = {}
         self.keys: list[tuple] = []
         self.next = np.full((256, 256), -1, "i4")
-        self.gain = np.zeros((256, 256), "i2")
-        self.last = np.full((256, 256), np.iinfo("i2").min, "i2")
+        self.gain = np.zeros((256, 256), "i1")
+        self.last = np.full((256, 256), self.UNKNOWN, "i1")
         self._state((b"", ((None, 0),)))
 
     def _state(self, key: tuple) -> int:
@@ -167,9 +172,11 @@ class WordCounter:
             self.number[key] = len(self.keys)
             self.keys.append(key)
             if len(self.keys) > len(self.next):
-                self.next = np.concatenate([self.next, np.full_like(self.next, -1)])
-                self.gain = np.concatenate([self.gain, np.zeros_like(self.gain)])
-                self.last = np.concatenate([self.last, np.full_like(self.last, np.iinfo("i2").min)])
+                size = len(self.next)
+                more = min(size, self.most - size) if size < self.most else 4096
+                self.next = np.concatenate([self.next, np.full((more, 256), -1, "i4")])
+                self.gain = np.concatenate([self.gain, np.zeros((more, 256), "i1")])
+                self.last = np.concatenate([self.last, np.full((more, 256), self.UNKNOWN, "i1")])
         return self.number[key]
 
     def merged(self, parts: list[Token]) -> list[Token]:
@@ -186,7 +193,7 @@ class WordCounter:
     def _follows(self, x: Token, y: Token) -> bool:
         """Whether the encoding of both texts together is just the two tokens."""
         if (x, y) not in self.valid:
-            if len(self.valid) > 500_000:
+            if len(self.valid) > 150_000:
                 self.valid.clear()
             atoms = [(bytes([b]), False) for b in x[0]] + [(bytes([b]), False) for b in y[0]]
             atoms[-1] = (atoms[-1][0], y[1])
@@ -237,7 +244,7 @@ class WordCounter:
             pairs = state[:end] * 256 + data[first[:end] + k]
             if on < end:
                 gain = self.last.ravel()[pairs[on:]]
-                new = gain == np.iinfo("i2").min
+                new = gain == self.UNKNOWN
                 if new.any():
                     self._fill(pairs[on:][new], True)
                     gain = self.last.ravel()[pairs[on:]]
