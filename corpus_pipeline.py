@@ -56,11 +56,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a word of a benchmark window."""
+    """Documents without a word of a benchmark window; rows of one id go together."""
     found = decontamination.overlaps(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
-    hit = found.where("n_hit > 0").select(F.col("key").alias("__hit"), F.col("digest").alias("__digest")).distinct()
-    key = F.col("doc_id").eqNullSafe(F.col("__hit"))
-    return docs.join(hit.select("__hit").distinct(), key, "left_anti")
+    hit = found.where("n_hit > 0").select(F.col("key").alias("__hit")).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("__hit")), "left_anti")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
