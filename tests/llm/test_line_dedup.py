@@ -78,3 +78,24 @@ def test_repeated_rows_lose_the_same_lines(spark):
     assert sorted((r.doc_id or 0, r.text) for r in got) == sorted(
         [(0, passage), (1, f"a\n{passage}"), (2, "b\nc"), (2, "b\nc"), (3, "")]
     )
+
+
+def test_short_lines_with_other_first_holders(spark):
+    # No line of the passage has min_words words, and another document holds each of them first.
+    lines = [" ".join(f"p{i}w{k}" for k in range(15)) for i in range(4)]
+    for n in (40, 200):
+        rows = [(i, f"own {i}\n{line}\nend {i}") for i, line in enumerate(lines, 1)]
+        rows += [(i, "\n".join([f"own {i}", *lines, f"end {i}"])) for i in range(5, n)]
+        # Up to 64 holders the nearest earlier one counts too: here it holds each line alone.
+        rows += [(n + i, f"own {n + i}\n{line}\nend {n + i}") for i, line in enumerate(lines)]
+        rows.append((n + 4, "\n".join(["own", *lines, "end"])))
+        got = {r.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+        assert got == brute(rows)
+        assert sum("\n".join(lines) in x for x in got.values()) == 1
+
+
+def test_all_texts_of_an_earlier_id_count(spark):
+    passages = [" ".join(f"p{i}w{k}" for k in range(30)) for i in range(2)]
+    rows = [(1, f"a\n{passages[0]}"), (1, f"b\n{passages[1]}"), (2, "c\n" + "\n".join(passages))]
+    got = line_dedup.dedup_lines(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [*rows[:2], (2, "c")]

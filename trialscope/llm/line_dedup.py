@@ -3,8 +3,11 @@
 A text's lines are compared without surrounding white space; blank lines match nothing and do not
 interrupt a block.  Overlapping documents are found through the hashes of lines they share: each
 document is paired with the first document that holds the line and, for rare lines (in at most
-``rare`` documents), with the nearest earlier one too, so there are at most two pairs per line and
-document however common a line is.  Each pair's lines are aligned with patience diff: common ends
+``rare`` documents), with the nearest earlier one too.  It is also paired with the first holder of
+each of its shortest runs of two or more lines that have ``min_words`` words, from each line forwards
+and backwards.  Every two neighbouring lines of a common block lie in such a run of the block, so no
+block is missed however many documents hold its lines, and there are at most two pairs per line or
+run and document.  Each pair's lines are aligned with patience diff: common ends
 are matched, lines that are unique in both sides and in the same order anchor the rest, and the gaps
 between anchors are aligned likewise.  A run of aligned lines that is unbroken in both documents is a
 common block.  Blocks of at least ``min_words`` words are deleted from the document with the larger
@@ -14,7 +17,7 @@ The first holder of a line has no earlier partner for it, so one copy of everyth
 
 Null and empty texts stay as they are and share nothing.  Rows with a null id stay as they are, and
 repeats of a row lose the same lines.  Where an id comes with different texts, its rows share
-partners and each row is aligned by itself.  Lines of an own document that repeat are left alone.
+partners and each row is aligned by itself, with all texts of the earlier id.  Lines of an own document that repeat are left alone.
 Other columns pass through.
 """
 
@@ -112,31 +115,57 @@ def _lined(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _line_rows(lined: DataFrame) -> DataFrame:
-    """(id, hash) of each distinct line that is not blank."""
+def runs(size: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the shortest runs of two or more lines with ``min_words`` words.
+
+    They are taken from each line forwards and from each line backwards; ``size`` has the words
+    before each line, and all words at the end.
+    """
+    n = len(size) - 1
+    k = np.arange(max(n - 1, 0))
+    end = np.maximum(k + 2, np.searchsorted(size, size[k] + min_words, "left"))
+    start = np.minimum(k, np.searchsorted(size, size[k + 2] - min_words, "right") - 1)
+    both = np.unique(np.r_[(k * (n + 1) + end)[end <= n], (start * (n + 1) + k + 2)[start >= 0]])
+    return both // (n + 1), both % (n + 1)
+
+
+def sizes(words: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(words, dtype="i8")])
+
+
+def _key_rows(lined: DataFrame, min_words: int) -> DataFrame:
+    """(id, hash) of each distinct line that is not blank (odd) and of each of the ``runs`` (even)."""
     schema = T.StructType([lined.schema["id"], T.StructField("hash", T.LongType())])
     arrow = to_arrow_schema(schema)
 
+    def keys(hashes: bytes, words: bytes) -> np.ndarray:
+        lines, count = np.frombuffer(hashes, "i8"), np.frombuffer(words, "u4")
+        count, lines = count[lines != 0], lines[lines != 0]
+        raw, (start, end) = lines.tobytes(), runs(sizes(count), min_words)
+        spans = zip((8 * start).tolist(), (8 * end).tolist(), strict=True)
+        of_runs = np.array([xxhash.xxh3_64_intdigest(raw[i:j]) & ~1 for i, j in spans], "u8")
+        return np.unique(np.concatenate([lines, of_runs.view("i8")]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(np.frombuffer(x, "i8")) for x in texts_of(batch, "hashes")]
-            sets = [x[x != 0] for x in sets]
+            columns = (texts_of(batch, c) for c in ("hashes", "words"))
+            sets = [keys(*row) for row in zip(*columns, strict=True)]
             rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
             flat = np.concatenate(sets) if sets else np.zeros(0, "i8")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(pa.array(rows)), pa.array(flat, pa.int64())], schema=arrow
             )
 
-    return lined.select("id", "hashes").mapInArrow(run, schema)
+    return lined.select("id", "hashes", "words").mapInArrow(run, schema)
 
 
-def _pairs(lined: DataFrame, rare: int) -> DataFrame:
-    """(earlier, later) ids of documents that share a line, at most two per line and document."""
-    lines = _line_rows(lined.where("id is not null"))
-    stats = lines.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
-    shared = cut(lines.join(stats.where("first <> last").drop("last"), "hash"))
+def _pairs(lined: DataFrame, min_words: int, rare: int) -> DataFrame:
+    """(earlier, later) ids of documents that share a line or run, at most two per key and document."""
+    keys = _key_rows(lined.where("id is not null"), min_words)
+    stats = keys.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
+    shared = cut(keys.join(stats.where("first <> last").drop("last"), "hash"))
     star = shared.where("id <> first").select(F.col("first").alias("earlier"), F.col("id").alias("later"))
-    near = shared.where(F.col("n") <= rare).select(
+    near = shared.where((F.col("n") <= rare) & (F.col("hash").bitwiseAND(1) == 1)).select(
         F.lag("id").over(Window.partitionBy("hash").orderBy("id")).alias("earlier"), F.col("id").alias("later")
     )
     return star.union(near.where("earlier < later")).distinct()
@@ -144,7 +173,10 @@ def _pairs(lined: DataFrame, rare: int) -> DataFrame:
 
 def _deletions(lined: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
     """(id, digest, start, count) of deleted runs of lines, blank lines inside them included."""
-    earlier = lined.groupBy("id").agg(F.first("hashes").alias("x")).select(F.col("id").alias("earlier"), "x")
+    # All texts of an id one after the other; no line has the hash 2, which stands between them.
+    earlier = lined.groupBy("id").agg(F.collect_set("hashes").alias("x")).select(F.col("id").alias("earlier"), "x")
+    between = "aggregate(x, X'', (all, one) -> concat(all, X'0200000000000000', one))"
+    earlier = earlier.withColumn("x", F.expr(between))
     later = lined.select(F.col("id").alias("later"), "digest", F.col("hashes").alias("y"), "words").distinct()
     rows = pairs.join(later, "later").join(earlier, "earlier").select("later", "digest", "x", "y", "words")
     schema = T.StructType.fromDDL("digest long, start int, count int")
@@ -217,7 +249,7 @@ def dedup_lines(
     """The rows with the passages deleted, and the numbers of ``lines`` before and ``removed``."""
     docs = documents.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("digest"))
     lined = cut(_lined(docs))
-    gaps = _gaps(_deletions(lined.where("id is not null"), _pairs(lined, rare), min_words))
+    gaps = _gaps(_deletions(lined.where("id is not null"), _pairs(lined, min_words, rare), min_words))
     same = (F.col(f"d.{key}") == F.col("g.id")) & (F.xxhash64(f"d.{text}") == F.col("g.digest"))
     rows = documents.alias("d").join(gaps.alias("g"), same, "left")
     parts = F.split(F.col(f"d.{text}"), "\n", -1)
