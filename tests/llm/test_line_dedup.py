@@ -99,3 +99,43 @@ def test_all_texts_of_an_earlier_id_count(spark):
     rows = [(1, f"a\n{passages[0]}"), (1, f"b\n{passages[1]}"), (2, "c\n" + "\n".join(passages))]
     got = line_dedup.dedup_lines(documents(spark, rows)).collect()
     assert sorted((r.doc_id, r.text) for r in got) == [*rows[:2], (2, "c")]
+
+
+def common_runs(rows, min_words):
+    """Lines left without any run of ``min_words`` words that an earlier document has, by trying all."""
+    out = {}
+    for k, text in rows:
+        b = [(i, x.strip()) for i, x in enumerate(text.split("\n")) if x.strip()]
+        gone = set()
+        for e, other in rows:
+            a = [x.strip() for x in other.split("\n") if x.strip()] if e < k else []
+            for i in range(len(a)):
+                for j in range(len(b)):
+                    n = 0
+                    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n][1]:
+                        n += 1
+                    if sum(len(x.split()) for x in a[i : i + n]) >= min_words:
+                        gone |= set(range(b[j][0], b[j + n - 1][0] + 1))
+        out[k] = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+    return out
+
+
+def test_repeated_and_swapped_passages(spark):
+    p, q = ("\n".join(" ".join(f"{c}{i}w{k}" for k in range(9)) for i in range(3)) for c in "pq")
+    rows = [(1, f"x\n{p}\ny"), (2, f"z\n{p}\nw\n{p}\nv"), (3, f"s\n{q}\nt\n{p}\nu\n{q}")]
+    rows += [(i, f"own {i}\n{p}\nend {i}\n{q}\nlast {i}\n\n{q}") for i in range(4, 80)]
+    rows.append((90, f"a\n{q}\nb\n\n{p}\n\n{p}\nc"))
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+    assert got == common_runs(rows, 20)
+    assert got[2] == "z\nw\nv"
+    assert got[3] == f"s\n{q}\nt\nu\n{q}"
+    assert all(p not in x and q not in x for k, x in got.items() if k > 3)
+
+
+def test_any_lines_against_all_runs(spark):
+    rng = random.Random(10)
+    kinds = [" ".join(f"l{i}w{k}" for k in range(1 + i % 7)) for i in range(9)] + ["", " "]
+    rows = [(i, "\n".join(rng.choices(kinds, k=rng.randint(0, 25)))) for i in range(80)]
+    for min_words in (1, 6, 14):
+        got = line_dedup.dedup_lines(documents(spark, rows), min_words=min_words, rare=3).collect()
+        assert {r.doc_id: r.text for r in got} == common_runs(rows, min_words)

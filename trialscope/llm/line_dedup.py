@@ -10,7 +10,10 @@ block is missed however many documents hold its lines, and there are at most two
 run and document.  Each pair's lines are aligned with patience diff: common ends
 are matched, lines that are unique in both sides and in the same order anchor the rest, and the gaps
 between anchors are aligned likewise.  A run of aligned lines that is unbroken in both documents is a
-common block.  Blocks of at least ``min_words`` words are deleted from the document with the larger
+common block.  An alignment has each line once and in one order, so what it leaves of repeated or
+swapped passages is looked up by the same shortest runs, wherever they are in the earlier document;
+those that overlap are one block.  So a line goes if it lies in any run of ``min_words`` words that
+both documents have.  Blocks of at least ``min_words`` words are deleted from the document with the larger
 id, lines and line ends; shorter ones stay.
 
 The first holder of a line has no earlier partner for it, so one copy of everything stays.
@@ -23,9 +26,10 @@ Other columns pass through.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +96,47 @@ def blocks(matched: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
             start = k
 
 
+def left_over(
+    a: np.ndarray, b: np.ndarray, words: np.ndarray, found: list[tuple[int, int]], min_words: int
+) -> Iterator[tuple[int, int]]:
+    """(first place in b, number of places) of blocks that ``a`` has anywhere, if not inside ``found``.
+
+    ``words`` are the words of the lines of ``b``.
+    """
+    inside = np.isin(b, a)
+    bounds = np.flatnonzero(np.diff(np.r_[False, inside, False]))
+    size = sizes(words)
+    at = sorted(found)
+    wanted = [
+        (i, j)
+        for i, j in zip(bounds[::2].tolist(), bounds[1::2].tolist(), strict=True)
+        if size[j] - size[i] >= min_words and (i, j - i) not in found
+    ]
+    if not wanted:
+        return
+    lines, first = np.unique(b, return_index=True)
+    place = np.minimum(np.searchsorted(lines, a), len(lines) - 1)
+    # Lines that b does not have may count as empty: no run over them is in b.
+    words_a = np.where(lines[place] == a, words[first][place], 0)
+    raw_a, raw_b = a.tobytes(), b.tobytes()
+    held = {raw_a[8 * i : 8 * j] for i, j in zip(*(x.tolist() for x in runs(sizes(words_a), min_words)), strict=True)}
+    spans = []
+    for i, j in wanted:
+        spans += [(k, k + 1) for k in range(i, j) if words[k] >= min_words]
+        starts, ends = runs(sizes(words[i:j]), min_words)
+        spans += [(x, y) for x, y in zip((starts + i).tolist(), (ends + i).tolist(), strict=True) if raw_b[8 * x : 8 * y] in held]
+    merged: list[list[int]] = []
+    for i, j in sorted(spans):
+        if merged and i < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], j)
+        else:
+            merged.append([i, j])
+    for i, j in merged:
+        k = bisect_right(at, (i, len(b))) - 1
+        if k < 0 or sum(at[k]) < j:
+            yield i, j - i
+
+
 def _lined(docs: DataFrame) -> DataFrame:
     """(id, digest, hashes, words) per row; a blank line's hash is 0."""
     schema = T.StructType.fromDDL("digest long, hashes binary, words binary")
@@ -186,10 +231,11 @@ def _deletions(lined: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
     def cuts(x: bytes, y: bytes, words: bytes) -> Iterator[tuple[int, int]]:
         a, b, count = np.frombuffer(x, "u8"), np.frombuffer(y, "u8"), np.frombuffer(words, "u4")
         places = np.flatnonzero(b)
-        size = np.concatenate([[0], np.cumsum(count[places])])
-        for j, n in blocks(patience(a[a != 0].tolist(), b[places].tolist())):
-            if size[j + n] - size[j] >= min_words:
-                yield int(places[j]), int(places[j + n - 1] - places[j]) + 1
+        a, b, count = a[a != 0], b[places], count[places]
+        size = sizes(count)
+        found = [(j, n) for j, n in blocks(patience(a.tolist(), b.tolist())) if size[j + n] - size[j] >= min_words]
+        for j, n in chain(found, left_over(a, b, count, found, min_words)):
+            yield int(places[j]), int(places[j + n - 1] - places[j]) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
