@@ -199,3 +199,33 @@ def test_two_layers_learn_what_one_can_not():
     net = TwoLayers(x, 16, 1)
     net.fit(x, y, epochs=30)
     assert ((net.logits(x) > 0) == y).mean() > 0.93
+
+
+def test_words_without_spaces_are_read_to_their_end():
+    rng = random.Random(15)
+    for n in (1, 39, 40, 41, 42, 47, 48, 49, 500):
+        word = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+        pieces = toxicity.words_of(word)
+        assert max(map(len, pieces)) <= 40 and (n > 40 or pieces == [word])
+        # Whatever is no longer than half a piece is inside one.
+        assert all(any(word[i : i + 6] in p for p in pieces) for i in range(max(1, n - 5)))
+    assert toxicity.words_of(f"One {'a' * 41} two") == ["one", *["a" * 12] * 6, "two"]
+
+
+def test_toxic_end_of_a_text_without_spaces():
+    rng = random.Random(16)
+    words = ["".join(chr(0x4E00 + rng.randrange(400)) for _ in range(rng.randint(1, 3))) for _ in range(30)]
+
+    def unspaced(n):
+        return "".join(rng.choices(words, k=n))
+
+    insult = "\u6eda\u5f00\u91ce\u517d\u53bb\u6b7b"
+    texts = [unspaced(rng.randint(30, 150)) + insult * (i % 2) for i in range(1200)]
+    judge = toxicity.Judge(toxicity.fit_net(texts, np.arange(1200, dtype="f4") % 2))
+    plain = [unspaced(n) for n in (30, 60, 300, 2000) for _ in range(5)]
+    scores = []
+    for text in [*plain, *(t + insult for t in plain)]:
+        scores.append(judge.window_scores([text])[0].max())
+    right = [(s >= 0.7) == (i >= len(plain)) for i, s in enumerate(scores)]
+    assert np.mean(right) > 0.9
+    assert all(b > a for a, b in zip(scores[: len(plain)], scores[len(plain) :], strict=True))

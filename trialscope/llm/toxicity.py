@@ -1,6 +1,8 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, written in numpy.
 
-A text is read as lower-cased words.  A word's input is its own vector, if it is one of the words
+A text is read as lower-cased words.  A run of more than ``LONG`` letters and digits, as in scripts
+without spaces, is read as pieces of ``PIECE`` characters, each half as many after the one before and
+the last one at the end; each piece counts as a word.  A word's input is its own vector, if it is one of the words
 known from the fit, and the mean vector of its hashed character trigrams.  Windows of ``WINDOW``
 words, each ``STRIDE`` after the one before and the last one at the end, cover the whole text; every
 window is scored, and the text's score is that of its worst window.
@@ -20,6 +22,7 @@ replaced.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import chain
@@ -35,14 +38,26 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import Memo, Model, bounded_sample, slices, texts_of
 from .nets import Adam, sigmoid
 
-WINDOW, STRIDE = 24, 16
+WINDOW, STRIDE, LONG, PIECE = 24, 16, 40, 12
 TRIGRAMS, OWN, CHARS, HIDDEN, ATTEND = 8192, 12, 12, 12, 12
 _WORDS = re.compile(r"[^\W_]+")
 
 
-def trigrams(word: str) -> list[int]:
-    ends = f"^{word[:40]}$"
-    return [xxhash.xxh3_64_intdigest(ends[i : i + 3]) % TRIGRAMS for i in range(len(ends) - 2)]
+def words_of(text: str) -> list[str]:
+    """The words of a text, with overlapping pieces in place of long ones."""
+    found = _WORDS.findall(text.lower())
+    if max(map(len, found), default=0) <= LONG:
+        return found
+    out = []
+    for word in found:
+        last = len(word) - PIECE
+        out += [word[i : i + PIECE] for i in (*range(0, last, PIECE // 2), last)] if len(word) > LONG else [word]
+    return out
+
+
+def trigrams(word: str) -> array:
+    ends = f"^{word}$"
+    return array("H", [xxhash.xxh3_64_intdigest(ends[i : i + 3]) % TRIGRAMS for i in range(len(ends) - 2)])
 
 
 def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,12 +130,15 @@ class Net:
             self.w |= {f"x{d}": some(size, 3 * HIDDEN), f"y{d}": np.zeros(3 * HIDDEN, "f4")}
             self.w |= {f"u{d}": some(HIDDEN, 3 * HIDDEN), f"c{d}": np.zeros(HIDDEN, "f4")}
 
-    def inputs(self, own: np.ndarray, grams: list[list[int]]) -> np.ndarray:
+    def inputs(self, own: np.ndarray, grams: list[Sequence[int]]) -> np.ndarray:
         """Input vectors of words: rows of known words and means over trigrams."""
-        sizes = np.array([len(g) for g in grams])
-        flat = self.w["chars"][np.fromiter(chain.from_iterable(grams), "i4", sizes.sum())]
-        means = np.add.reduceat(flat, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
-        return np.hstack([self.w["words"][own], means]).astype("f4")
+        means = []
+        for i in range(0, len(grams), 20_000):
+            part = grams[i : i + 20_000]
+            sizes = np.array([len(g) for g in part])
+            flat = self.w["chars"][np.fromiter(chain.from_iterable(part), "i4", sizes.sum())]
+            means.append(np.add.reduceat(flat, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None])
+        return np.hstack([self.w["words"][own], np.concatenate(means)]).astype("f4")
 
     def logits(self, x: np.ndarray, at: np.ndarray, sizes: np.ndarray, saved: dict | None = None) -> np.ndarray:
         """Scores of windows, given as places ``at`` (time, window) in input vectors ``x``."""
@@ -182,11 +200,11 @@ def fit_net(
         texts, labels = [t for t, h in zip(texts, held, strict=True) if not h], labels[~held]
     else:
         kept_texts, kept_labels = list(texts), labels
-    read = [_WORDS.findall(t.lower()) for t in texts]
+    read = [words_of(t) for t in texts]
     read_sets = [[set(w) for w, y in zip(read, labels, strict=True) if y == k] for k in (0, 1)]
     counts = [Counter(chain.from_iterable(sets)) for sets in read_sets]
     both = counts[0] + counts[1]
-    pieces: dict[str, list[int]] = {}
+    pieces: dict[str, array] = {}
     for w in both:
         pieces[w] = trigrams(w)
     names = sorted((w for w, n in both.items() if n >= 3), key=lambda w: (-both[w], w))[:known]
@@ -293,7 +311,7 @@ class Judge:
 
         ``raw`` gives logits that are not calibrated.
         """
-        read = [_WORDS.findall(t.lower()) if t else [] for t in texts]
+        read = [words_of(t) if t else [] for t in texts]
         lengths = np.array([len(r) for r in read], "i8")
         first, sizes, text = windows(lengths)
         starts = np.searchsorted(text, np.arange(len(texts) + 1))
