@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -11,11 +12,14 @@ from pyspark.sql import functions as F
 from . import (
     ann,
     byte_bpe,
+    collocations,
     decontamination,
     language_id,
     line_dedup,
     lm_scoring,
     near_duplicates,
+    packing,
+    periodic_runs,
     quality,
     token_counts,
     toxicity,
@@ -117,6 +121,47 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    cut_up = packing.pieces(docs, *model, end=2, size=1024).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
+    )
+    return packing.pack(cut_up, ["doc_id", "piece", "ids_crc32"], "length", 1024)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents", "lang", "text"))
+
+
+def _planted(row: dict, words: list[bytes]) -> list[bytes]:
+    """Words of a tenth of the documents, from some place on repeated with some period."""
+    h = zlib.crc32(str(row["doc_id"]).encode())
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    found = periodic_runs.find_runs(docs, keep=["doc_id"], rewrite=_planted)
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length AS n, -r.start AS s, -r.period AS p, r)))")
+    lines = F.expr("array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\n'), '')")
+    return found.withColumn("best", longest["r"]).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_ann": op2_ann,
@@ -128,9 +173,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality": op10_quality,
+    "op11_packing": op11_packing,
+    "op12_collocations": op12_collocations,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 EXPECTED_SQL: dict[str, str] = {
     "op4_near_duplicates": near_duplicates.EXPECTED,
     "op8_decontamination": decontamination.EXPECTED,
+    "op12_collocations": collocations.EXPECTED,
 }
