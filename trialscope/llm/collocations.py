@@ -10,7 +10,7 @@ by prefix, each small enough for memory:
    All prefixes are hashed to slots, and neighbouring slots are put together to groups as long as
    the sum of their frequencies stays within the budget.
 3. *Subtrees.* A second pass sends each suffix, cut after the longest phrase's number of words, to
-   its prefix's group, equal ones of a batch as one row with their number.  Each group is one task's
+   its prefix's group, equal ones of a batch once with their number.  Each group is one task's
    work on its own: suffixes are sorted, which puts every node of the truncated subtree in one
    stretch, and a node's frequency is the total of the leaves below it.
 
@@ -31,48 +31,69 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Model, cut
+from .common import Model, cut, slices
 
 _END = 0xFF  # never part of UTF-8
 _TABLE = bytes(
     _END if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256)
 )
-#: Words gathered in a task before equal suffixes are put together.
-_GATHER = 1_500_000
+#: Words gathered in a task before equal suffixes are put together, and bytes of text split at once.
+_GATHER, _PIECE = 500_000, 1 << 20
 _SLOT_BITS = 20
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
-    """(language, distinct words, numbers of the words of all texts in order), -1 where a piece ends."""
-    texts: dict[str, list[bytes]] = {}
-    size = 0
-    for batch in batches:
-        langs = batch.column(0).to_pylist()
-        for lang, text in zip(langs, batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-            if text:
-                texts.setdefault("und" if lang is None else lang, []).append(text)
-                size += len(text)
-                if size > 6 * _GATHER:
-                    yield from _numbered(texts)
-                    texts, size = {}, 0
-    yield from _numbered(texts)
-
-
 class _Numbers(dict):
+    """Words by first appearance; -1 is the end of a piece."""
+
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self) - 1
         return number
 
 
-def _numbered(texts: dict[str, list[bytes]]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
-    for lang in list(texts):
-        data = b"\xff".join(texts.pop(lang)).translate(_TABLE).replace(b"\xff", b" \xff ").split()
-        numbers = _Numbers({b"\xff": -1})
-        ids = np.fromiter(map(numbers.__getitem__, data), "i8", len(data))
-        del data
-        numbers.pop(b"\xff")
-        if len(ids):
-            yield lang, list(numbers), ids
+class _Gathered:
+    """The texts of one language as numbers of words."""
+
+    def __init__(self) -> None:
+        self.numbers, self.parts, self.texts, self.size = _Numbers({b"\xff": -1}), [], [], 0
+
+    def add(self, text: bytes) -> int:
+        """Take a text; returns how many words have been numbered for it."""
+        self.texts.append(text)
+        self.size += len(text)
+        return self.split() if self.size > _PIECE else 0
+
+    def split(self) -> int:
+        data = b"\xff".join([*self.texts, b""]).translate(_TABLE).replace(b"\xff", b" \xff ").split()
+        self.parts.append(np.fromiter(map(self.numbers.__getitem__, data), "i4", len(data)))
+        self.texts, self.size = [], 0
+        return len(data)
+
+    def whole(self) -> tuple[list[bytes], np.ndarray]:
+        self.split()
+        self.numbers.pop(b"\xff")
+        return list(self.numbers), np.concatenate(self.parts)
+
+
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    """(language, distinct words, numbers of the words of all texts in order), -1 where a piece ends."""
+    langs: dict[str, _Gathered] = {}
+    words = 0
+    for batch in batches:
+        for part in slices(batch, batch.schema.names[1]):
+            names = part.column(0).to_pylist()
+            for lang, text in zip(names, part.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                if text:
+                    words += langs.setdefault("und" if lang is None else lang, _Gathered()).add(text)
+            if words > _GATHER:
+                yield from _flushed(langs)
+                words = 0
+    yield from _flushed(langs)
+
+
+def _flushed(langs: dict[str, _Gathered]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    while langs:
+        lang, gathered = langs.popitem()
+        yield lang, *gathered.whole()
 
 
 def _hashes(lang: str, words: Sequence[bytes]) -> np.ndarray:
@@ -170,7 +191,7 @@ def _may_be_frequent(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def _next(ids: np.ndarray, by: int, last: np.ndarray) -> np.ndarray:
     """For each place, the number of the word ``by`` places on, -1 where ``last`` holds -1."""
-    out = np.full(len(ids), -1, "i8")
+    out = np.full(len(ids), -1, ids.dtype)
     out[: len(ids) - by] = ids[by:]
     out[last < 0] = -1
     return out
@@ -197,13 +218,11 @@ def _pairs_of_heavy(df: DataFrame, bitmap: Model, heavy: Model) -> DataFrame:
 
 
 def _suffixes(df: DataFrame, depth: int, plan: Model, bitmap: Model) -> DataFrame:
-    """group, lang, suffix (words joined by spaces, at most ``depth``), depth from which its nodes are
-    counted there, a: equal suffixes of a batch once."""
-    names = [("group", pa.int32()), ("lang", pa.string()), ("suffix", pa.string()), ("depth", pa.int8())]
-    schema = pa.schema([*names, ("a", pa.int64())])
-
-    def code_of_pairs(parts: list[np.ndarray], at: np.ndarray, words: int) -> np.ndarray:
-        return parts[0][at] * words + parts[1][at]
+    """Suffixes of at most ``depth`` words, equal ones of a batch once: one row per batch, group and first
+    word, with what follows the word (lines of words joined by spaces), the packed counts of these lines,
+    and the depth from which nodes are counted in that group."""
+    texts = [("lang", pa.string()), ("word", pa.string()), ("rest", pa.string())]
+    schema = pa.schema([("group", pa.int32()), *texts, ("counts", pa.binary()), ("depth", pa.int8())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group_of, heavy, heavy_pairs = plan.get()
@@ -218,15 +237,18 @@ def _suffixes(df: DataFrame, depth: int, plan: Model, bitmap: Model) -> DataFram
             # A suffix of one word tells nothing that the counts of words do not.
             at = np.flatnonzero((parts[0] >= 0) & (parts[1] >= 0))
             parts = [p[at] for p in parts]
-            code, bound = parts[0], len(words)
+            code, bound = parts[0].astype("i8"), len(words)
             for p in parts[1:]:
                 if bound > (1 << 62) // (len(words) + 1):
                     code = np.unique(code, return_inverse=True)[1]
                     bound = len(code)
                 code = code * (len(words) + 1) + p + 1
                 bound *= len(words) + 1
-            _, first, counts = np.unique(code, return_index=True, return_counts=True)
-            del code, at
+            order = np.argsort(code)
+            code = code[order]
+            starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, "i8")
+            first, counts = order[starts], np.diff(np.r_[starts, len(code)])
+            del code, at, order
             parts = [p[first] for p in parts]
             prefix = h[parts[0]]
             extend = _in(prefix, heavy)
@@ -241,39 +263,65 @@ def _suffixes(df: DataFrame, depth: int, plan: Model, bitmap: Model) -> DataFram
             spread = np.flatnonzero(extend)
             group, least_depth = group_of[_slot(prefix)], np.where(extend, 3, 2).astype("i1")
             if len(spread):
-                pairs, place = np.unique(code_of_pairs(parts, spread, len(words)), return_inverse=True)
+                pairs, place = np.unique(
+                    parts[0][spread].astype("i8") * len(words) + parts[1][spread], return_inverse=True
+                )
                 sums = np.bincount(place, counts[spread], len(pairs)).astype("i8")
                 head = [pairs // len(words), pairs % len(words)]
                 own = group_of[_slot(_mixed(h[head[0]], h[head[1]]))]
-                none = np.full(len(pairs), -1, "i8")
+                none = np.full(len(pairs), -1)
                 parts = [np.r_[p, x] for p, x in zip(parts, [*head, *[none] * (depth - 2)], strict=True)]
                 group, counts = np.r_[group, own], np.r_[counts, sums]
                 least_depth = np.r_[least_depth, np.full(len(pairs), 2, "i1")]
+            # Suffixes of one first word go together to its group, as one row.
+            order = np.lexsort((parts[0], least_depth, group))
+            key = np.stack([group[order], least_depth[order], parts[0][order]])
+            new = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(0)]) if len(order) else order
+            key, ends = key[:, new], np.r_[new[1:], len(order)]
             strings = pa.array(words, pa.binary()).cast(pa.string())
-            for i in range(0, len(counts), 100_000):
-                here = slice(i, i + 100_000)
-                columns = [strings.take(pa.array(p[here], mask=p[here] < 0)) for p in parts]
+            for i in range(0, len(new), 4_000):
+                some = order[new[i] : ends[min(i + 4_000, len(new)) - 1]]
+                columns = [strings.take(pa.array(p[some], mask=p[some] < 0)) for p in parts[1:]]
                 joined = pc.binary_join_element_wise(*columns, " ", null_handling="skip")
-                numbers = [pa.array(least_depth[here]), pa.array(counts[here].astype("i8"))]
+                edges = np.r_[new[i : i + 4_000], ends[min(i + 4_000, len(new)) - 1]] - new[i]
+                rest = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), joined), "\n")
+                numbers = counts[some].astype("<i4").tobytes()
+                first = [int(e) for e in 4 * edges]
+                packed = [numbers[x:y] for x, y in zip(first, first[1:], strict=False)]
+                kinds = key[:, i : i + 4_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(group[here]), pa.repeat(lang, len(joined)), joined, *numbers], schema=schema
+                    [
+                        pa.array(kinds[0], pa.int32()),
+                        pa.repeat(lang, len(rest)),
+                        strings.take(pa.array(kinds[2])),
+                        rest,
+                        pa.array(packed, pa.binary()),
+                        pa.array(kinds[1], pa.int8()),
+                    ],
+                    schema=schema,
                 )
 
-    return df.mapInArrow(run, "group int, lang string, suffix string, depth tinyint, a bigint")
+    return df.mapInArrow(run, "group int, lang string, word string, rest string, counts binary, depth tinyint")
 
 
 def _subtree(leaves: pa.Table, depth: int, least: int) -> Iterator[pa.Table]:
     """Nodes of two words and more of a truncated suffix subtree that at least ``least`` suffixes go through."""
-    lists = pc.split_pattern(leaves["suffix"].combine_chunks(), " ")
+    lines = pc.split_pattern(leaves["rest"].combine_chunks(), "\n")
+    row = np.repeat(np.arange(len(lines)), pc.list_value_length(lines).to_numpy())
+    lists = pc.split_pattern(pc.list_flatten(lines), " ")
     lengths = pc.list_value_length(lists).to_numpy()
     coded = pc.list_flatten(lists).dictionary_encode()
+    first = leaves["word"].combine_chunks().dictionary_encode()
     langs = leaves["lang"].combine_chunks().dictionary_encode()
-    words = np.full((len(lengths), depth), -1, "i8")
-    words[np.arange(depth) < lengths[:, None]] = coded.indices.to_numpy()
+    words = np.full((len(row), depth), -1, "i4")
+    words[:, 0] = first.indices.to_numpy()[row]
+    words[:, 1:][np.arange(depth - 1) < lengths[:, None]] = coded.indices.to_numpy()
+    lang = langs.indices.to_numpy()[row]
+    counted = np.frombuffer(b"".join(leaves["counts"].to_pylist()), "<i4").astype("i8")
+    from_ = leaves["depth"].to_numpy()[row]
     # Sorted suffixes: each node is a stretch of leaves that agree in their first words.
-    order = np.lexsort((*words.T[::-1], langs.indices.to_numpy()))
-    words, lang = words[order], langs.indices.to_numpy()[order]
-    counted, from_ = leaves["a"].to_numpy()[order], leaves["depth"].to_numpy()[order]
+    order = np.lexsort((*words.T[::-1], lang))
+    words, lang, counted, from_ = words[order], lang[order], counted[order], from_[order]
     new = np.r_[True, lang[1:] != lang[:-1]]
     for k in range(depth):
         new = new | np.r_[True, words[1:, k] != words[:-1, k]]
@@ -285,7 +333,8 @@ def _subtree(leaves: pa.Table, depth: int, least: int) -> Iterator[pa.Table]:
         starts, counts = starts[counts >= least], counts[counts >= least]
         real = words[starts, k] >= 0
         starts, counts = starts[real], counts[real]
-        columns = [coded.dictionary.take(pa.array(words[starts, j])) for j in range(k + 1)]
+        columns = [first.dictionary.take(pa.array(words[starts, 0]))]
+        columns += [coded.dictionary.take(pa.array(words[starts, j])) for j in range(1, k + 1)]
         yield pa.table(
             {
                 "lang": langs.dictionary.take(pa.array(lang[starts])),
@@ -297,7 +346,7 @@ def _subtree(leaves: pa.Table, depth: int, least: int) -> Iterator[pa.Table]:
 
 
 def count_phrases(
-    df: DataFrame, words: DataFrame, longest: int = 3, least: int = 10, budget: int = 1_000_000
+    df: DataFrame, words: DataFrame, longest: int = 3, least: int = 10, budget: int = 500_000
 ) -> DataFrame:
     """lang, phrase, words (their number), a: of phrases of 2 to ``longest`` words that occur ``least`` times.
 
@@ -354,7 +403,7 @@ def collocations(
     least: int = 10,
     cover: int = 50,
     top: int | None = 2000,
-    budget: int = 1_000_000,
+    budget: int = 500_000,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the phrases whose words hold together best in each language.
 
