@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trialscope import schemas as S
 from trialscope.functions.quantiles import percentiles
 from trialscope.functions.ratios import MONEY, ratio, ratio_or_zero
+from trialscope.operators import sketches
 from trialscope.operators.views import (
     ARM,
     TableMap,
@@ -171,21 +174,21 @@ def revenue_histogram(t: TableMap) -> DataFrame:
     return user_revenue(t).groupBy(*ARM, "revenue").agg(F.count(F.lit(1)).alias("w"))
 
 
-def revenue_per_visitor(t: TableMap) -> DataFrame:
-    """Arm revenue with the percentiles of revenue over purchasing users."""
-    marks = percentiles(
-        revenue_histogram(t),
-        ARM,
-        "revenue",
-        "w",
-        {
-            "p25_order_value": 0.25,
-            "median_order_value": 0.50,
-            "p75_order_value": 0.75,
-            "p95_order_value": 0.95,
-        },
-        resolution=0.01,
-    ).drop("n")
+def revenue_per_visitor(t: TableMap, approx: bool = False) -> DataFrame:
+    """Arm revenue with the percentiles of revenue over purchasing users, exact unless ``approx``.
+
+    Approximate ones come from mergeable states (see ``operators.sketches``).
+    """
+    wanted = {
+        "p25_order_value": 0.25,
+        "median_order_value": 0.50,
+        "p75_order_value": 0.75,
+        "p95_order_value": 0.95,
+    }
+    if approx:
+        marks = sketches.united_percentiles(sketches.revenue_states(t), ARM, wanted, "double")
+    else:
+        marks = percentiles(revenue_histogram(t), ARM, "revenue", "w", wanted, resolution=0.01).drop("n")
     return (
         revenue_summary(t)
         .join(marks, list(ARM), "left")
@@ -339,8 +342,45 @@ def daily_srm_check(
     return allocation_shares(mv_daily_conversion(t), minimum_users, tolerance)
 
 
+def dense_daily_srm(
+    t: TableMap, by: Sequence[str] = (), minimum_users: int = 1000, tolerance: float = 0.05
+) -> DataFrame:
+    """``daily_srm_check`` over all days from an experiment's first assignment to its last.
+
+    Every arm that the group has at any time has a row on each day, with its count so far, so a day on which
+    an arm gets nobody does not distort the cumulative share.  ``by`` names attributes of users
+    (as in ``user_profiles``) to watch each of their values on its own.
+    """
+    group = ["experiment_name", *by]
+    assigned = active(t)
+    if by:
+        assigned = assigned.join(user_profiles(t).select("user_id", *by), "user_id")
+    counts = assigned.groupBy(*group, "variant", F.to_date("assignment_timestamp").alias("metric_date")).agg(
+        F.count_distinct("user_id").alias("users")
+    )
+    span = counts.groupBy("experiment_name").agg(
+        F.min("metric_date").alias("first"), F.max("metric_date").alias("last")
+    )
+    spine = (
+        counts.select(*group, "variant")
+        .distinct()
+        .join(span, "experiment_name")
+        .select(*group, "variant", F.explode(F.sequence("first", "last")).alias("metric_date"))
+    )
+    so_far = Window.partitionBy(*group, "variant").orderBy("metric_date")
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    daily = spine.join(counts, [*group, "variant", "metric_date"], "left").select(
+        "metric_date",
+        *group,
+        "variant",
+        F.coalesce("users", F.lit(0)).alias("users_assigned"),
+        F.coalesce(F.sum("users").over(so_far), F.lit(0)).alias("cumulative_users"),
+    )
+    return allocation_shares(daily, minimum_users, tolerance, by)
+
+
 def allocation_shares(
-    daily: DataFrame, minimum_users: int = 1000, tolerance: float = 0.05
+    daily: DataFrame, minimum_users: int = 1000, tolerance: float = 0.05, by: Sequence[str] = ()
 ) -> DataFrame:
     """``daily_srm_check`` over rows of (metric_date, experiment_name, variant, users_assigned,
     cumulative_users)."""
@@ -349,7 +389,7 @@ def allocation_shares(
         return F.sum(F.when(F.col("variant") == arm, F.col(column)).otherwise(0)).alias(name)
 
     days = (
-        daily.groupBy("metric_date", "experiment_name")
+        daily.groupBy("metric_date", "experiment_name", *by)
         .agg(
             of(S.CONTROL, "users_assigned", "daily_users_control"),
             of(S.VARIANT, "users_assigned", "daily_users_variant"),
@@ -366,6 +406,7 @@ def allocation_shares(
     return days.select(
         "metric_date",
         "experiment_name",
+        *by,
         F.lit(0.5).alias("expected_variant_fraction"),
         ratio_or_zero(F.col("daily_users_variant"), F.col("daily_total")).alias(
             "actual_daily_variant_fraction"

@@ -7,6 +7,8 @@ segment) and appends or selects columns; all rows are evaluated at once, on the
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -208,8 +210,23 @@ def cohens_h(
     )
 
 
-def _power_z(alpha: float, power: float) -> float:
-    return normal_quantile(1 - alpha / 2) + normal_quantile(power)
+@lru_cache(maxsize=None)
+def detectable_shift(alpha: float, power: float) -> float:
+    """The shift of a standard normal statistic that a two-sided test finds with the given power.
+
+    With equal arms the power depends on effect and size only through this shift, h * sqrt(n / 2), so
+    it is solved once, with both tails, by bisection on the driver.  It is 0 for a power that a
+    test of no effect has already.
+    """
+    normal, z = NormalDist(), normal_quantile(1 - alpha / 2)
+    low, high = 0.0, z + abs(normal_quantile(power)) + 1.0
+    for _ in range(200):
+        middle = (low + high) / 2
+        if normal.cdf(middle - z) + normal.cdf(-middle - z) < power:
+            low = middle
+        else:
+            high = middle
+    return high
 
 
 def required_sample_size(
@@ -220,13 +237,9 @@ def required_sample_size(
     power: float = 0.80,
     output: str = "required_sample_size",
 ) -> DataFrame:
-    """Users per arm to detect ``baseline + mde``; truncated; 0 for no effect.
-
-    Closed form that leaves out the far tail of the two-sided test (about 1e-6 at 80 % power),
-    so the truncated result can differ by one from a root finder.
-    """
+    """Users per arm to detect ``baseline + mde`` in a two-sided test; truncated; 0 for no effect."""
     assert_columns_exist(df, [baseline, mde], "required_sample_size")
-    z = _power_z(alpha, power)
+    z = detectable_shift(alpha, power)
     base, effect = F.col(baseline), F.col(mde)
     staged = df.withColumn("_h", _angle(base + effect) - _angle(base))
     needed = F.lit(2.0 * z * z) / null_if_zero(F.col("_h") * F.col("_h"))
@@ -245,7 +258,7 @@ def mde_for_n(
     """Smallest absolute effect that n users per arm detect; 0 for n <= 0."""
     assert_columns_exist(df, [baseline, n], "mde_for_n")
     size = F.when(F.col(n) > 0, F.col(n).cast("double"))
-    h = F.lit(_power_z(alpha, power)) * F.sqrt(F.lit(2.0) / size)
+    h = F.lit(detectable_shift(alpha, power)) * F.sqrt(F.lit(2.0) / size)
     staged = df.withColumn("_root", F.sin((h + _angle(F.col(baseline))) / 2))
     found = F.col("_root") * F.col("_root") - F.col(baseline)
     return staged.withColumn(output, F.coalesce(found, F.lit(0.0))).drop("_root")

@@ -12,71 +12,41 @@ them needs no distinct.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trialscope import schemas as S
 from trialscope.functions.quantiles import percentiles
-from trialscope.functions.ratios import MONEY, ratio, ratio_or_zero, rounded_quotient
-
-ARM = ("experiment_name", "variant")
-
-TableMap = Mapping[str, DataFrame]
-
-
-def is_sale() -> Column:
-    return (F.col("payment_status") == "completed") & ~F.col("is_refund")
-
-
-def active(t: TableMap) -> DataFrame:
-    """Assignments outside the holdout."""
-    return t["experiments"].where(~F.col("is_holdout"))
-
-
-def arm_users(t: TableMap) -> DataFrame:
-    """One row per (experiment, arm, user)."""
-    return (
-        active(t)
-        .groupBy(*ARM, "user_id")
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.min("assignment_timestamp").alias("first_assigned"),
-            F.max("assignment_timestamp").alias("last_assigned"),
-        )
-    )
-
-
-def money(c: Column) -> Column:
-    return c.cast(MONEY)
-
+from trialscope.functions.ratios import ratio, ratio_or_zero, rounded_quotient
+from trialscope.operators.arms import ARM, TableMap, active, arm_users, is_sale, money, sales_by_user
+from trialscope.operators.attribution import orders_after_assignment, orders_of_arm_users
+from trialscope.operators.sketches import session_states, united_percentiles
 
 def _zero_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(0))
 
 
-def sales_by_user(t: TableMap) -> DataFrame:
-    return (
-        t["orders"]
-        .where(is_sale())
-        .groupBy("user_id")
-        .agg(
-            F.count("order_id").alias("user_orders"),
-            money(F.sum("order_value")).alias("user_revenue"),
-        )
-    )
+def sales_of_arm_users(t: TableMap, after_assignment: bool = False) -> DataFrame:
+    """``arm_users`` with their sales: all of the user, or those from its assignment to the arm on."""
+    users = arm_users(t)
+    if not after_assignment:
+        return users.join(sales_by_user(t), "user_id", "left")
+    sales = orders_of_arm_users(t).where(F.col("sales") > 0)
+    sales = sales.select(*ARM, "user_id", F.col("sales").alias("user_orders"), F.col("gross").alias("user_revenue"))
+    return users.join(sales, [*ARM, "user_id"], "left")
 
 
-def experiment_summary(t: TableMap) -> DataFrame:
-    """Users, purchasers, revenue and rates per arm; purchases attach by user only."""
+def experiment_summary(t: TableMap, after_assignment: bool = False) -> DataFrame:
+    """Users, purchasers, revenue and rates per arm.
+
+    Purchases attach by user only, unless ``after_assignment``: then those from the assignment on.
+    """
     users = F.count("user_id")
     buyers = F.count("user_orders")
     revenue = money(_zero_if_null(F.sum(F.col("user_revenue") * F.col("n_rows"))))
     orders = _zero_if_null(F.sum(F.col("user_orders") * F.col("n_rows")))
     totals = (
-        arm_users(t)
-        .join(sales_by_user(t), "user_id", "left")
+        sales_of_arm_users(t, after_assignment)
         .groupBy(*ARM)
         .agg(
             users.alias("total_users"),
@@ -101,18 +71,17 @@ def experiment_summary(t: TableMap) -> DataFrame:
     )
 
 
-def daily_metrics_view(t: TableMap) -> DataFrame:
-    """Daily, cumulative and rolling metrics, one row per assignment day of an arm.
-
-    Days are anchored on assignments: sales on a day without assignments do not appear.  The
-    rolling rate spans seven rows, which are seven days only when no day is missing.
-    """
-    joined_per_day = (
+def assigned_per_day(t: TableMap) -> DataFrame:
+    """Users that an arm got per day."""
+    return (
         active(t)
         .groupBy(F.to_date("assignment_timestamp").alias("metric_date"), *ARM)
         .agg(F.count_distinct("user_id").alias("users_assigned"))
     )
-    user_days = (
+
+
+def sales_by_user_day(t: TableMap) -> DataFrame:
+    return (
         t["orders"]
         .where(is_sale())
         .groupBy("user_id", F.to_date("order_timestamp").alias("metric_date"))
@@ -121,8 +90,16 @@ def daily_metrics_view(t: TableMap) -> DataFrame:
             money(F.sum("order_value")).alias("user_revenue"),
         )
     )
-    sales_per_day = (
-        user_days.join(arm_users(t).select(*ARM, "user_id", "n_rows"), "user_id")
+
+
+def sales_per_day(user_days: DataFrame, t: TableMap) -> DataFrame:
+    """Purchases per day and arm from ``sales_by_user_day``."""
+    return _summed_per_day(user_days.join(arm_users(t).select(*ARM, "user_id", "n_rows"), "user_id"))
+
+
+def _summed_per_day(arm_user_days: DataFrame) -> DataFrame:
+    return (
+        arm_user_days
         .groupBy("metric_date", *ARM)
         .agg(
             F.count(F.lit(1)).alias("purchasing_users"),
@@ -130,7 +107,11 @@ def daily_metrics_view(t: TableMap) -> DataFrame:
             money(F.sum(F.col("user_revenue") * F.col("n_rows"))).alias("daily_revenue"),
         )
     )
-    day = joined_per_day.join(sales_per_day, ["metric_date", *ARM], "left").select(
+
+
+def daily_counts(assigned: DataFrame, sales: DataFrame) -> DataFrame:
+    """Assignment days of an arm with their purchases, which are additive over users."""
+    return assigned.join(sales, ["metric_date", *ARM], "left").select(
         "metric_date",
         *ARM,
         "users_assigned",
@@ -138,10 +119,14 @@ def daily_metrics_view(t: TableMap) -> DataFrame:
         _zero_if_null(F.col("order_count")).alias("order_count"),
         money(_zero_if_null(F.col("daily_revenue"))).alias("daily_revenue"),
     )
+
+
+def daily_rates(counts: DataFrame) -> DataFrame:
+    """Daily, cumulative and rolling metrics over ``daily_counts``."""
     by_day = Window.partitionBy(*ARM).orderBy("metric_date")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     week = by_day.rowsBetween(-6, Window.currentRow)
-    return day.select(
+    return counts.select(
         "*",
         ratio_or_zero(F.col("purchasing_users"), F.col("users_assigned")).alias(
             "daily_conversion_rate"
@@ -157,13 +142,31 @@ def daily_metrics_view(t: TableMap) -> DataFrame:
     )
 
 
-def mv_daily_conversion(t: TableMap) -> DataFrame:
-    return daily_metrics_view(t).withColumn(
+def daily_metrics_view(t: TableMap, after_assignment: bool = False) -> DataFrame:
+    """Daily, cumulative and rolling metrics, one row per assignment day of an arm.
+
+    Days are anchored on assignments: sales on a day without assignments do not appear.  The
+    rolling rate spans seven rows, which are seven days only when no day is missing.  With
+    ``after_assignment`` purchases before a user's assignment to the arm do not count.
+    """
+    if after_assignment:
+        days = orders_after_assignment(t).where(F.col("sales") > 0)
+        days = days.withColumnsRenamed({"sales": "user_orders", "gross": "user_revenue"})
+        return daily_rates(daily_counts(assigned_per_day(t), _summed_per_day(days)))
+    return daily_rates(daily_counts(assigned_per_day(t), sales_per_day(sales_by_user_day(t), t)))
+
+
+def with_cumulative_rate(daily: DataFrame) -> DataFrame:
+    return daily.withColumn(
         "cumulative_conversion_rate",
         ratio_or_zero(F.col("cumulative_purchasers"), F.col("cumulative_users")),
     )
 
 
+def mv_daily_conversion(t: TableMap) -> DataFrame:
+    return with_cumulative_rate(daily_metrics_view(t))
+
+
 def funnel_steps_view(t: TableMap) -> DataFrame:
     """Users of each arm who ever reached each of the five steps, in any order.
 
@@ -212,12 +215,17 @@ def funnel_steps_view(t: TableMap) -> DataFrame:
     )
 
 
-def session_metrics_view(t: TableMap) -> DataFrame:
-    """Session counts, averages and exact duration percentiles per arm.
+def session_metrics_view(t: TableMap, approx: bool = False) -> DataFrame:
+    """Session counts, averages and duration percentiles per arm, exact unless ``approx``.
+
+    Approximate percentiles come from mergeable states (see ``operators.sketches``) and need no
+    histogram of durations; all else stays exact.
 
     ``sessions_per_user`` keeps the published definition, users divided by sessions;
     ``avg_sessions_per_user`` is the other way round.
     """
+    if approx:
+        return _approximate_session_metrics(t)
     durations = (
         t["sessions"]
         .groupBy("user_id", "duration_seconds")
@@ -273,6 +281,25 @@ def session_metrics_view(t: TableMap) -> DataFrame:
     )
 
 
+def _approximate_session_metrics(t: TableMap) -> DataFrame:
+    marks = {f"p{p}": p / 100 for p in (25, 50, 75, 95)}
+    sessions, users = F.col("total_sessions"), F.col("unique_users")
+    percentiles_ = united_percentiles(session_states(t), ARM, marks)
+    return session_averages(t).join(percentiles_, list(ARM), "left").select(
+        *ARM,
+        "total_sessions",
+        "unique_users",
+        "avg_session_duration_seconds",
+        F.col("p50").alias("median_session_duration_seconds"),
+        "avg_pages_per_session",
+        "bounce_rate",
+        "bounced_sessions",
+        rounded_quotient(users, sessions, 3).alias("sessions_per_user"),
+        rounded_quotient(sessions, users, 3).alias("avg_sessions_per_user"),
+        *[F.col(f"p{p}").alias(f"p{p}_duration_seconds") for p in (25, 75, 95)],
+    )
+
+
 def session_averages(t: TableMap) -> DataFrame:
     """The columns of ``session_metrics_view`` that need no percentiles.
 
@@ -358,10 +385,9 @@ def segment_conversion(t: TableMap) -> DataFrame:
     )
 
 
-def revenue_summary(t: TableMap) -> DataFrame:
-    """Gross, refunded and net revenue per arm; arms without any order do not appear."""
+def orders_by_user_and_kind(t: TableMap) -> DataFrame:
     sale, refund = is_sale(), F.col("is_refund")
-    per_user = (
+    return (
         t["orders"]
         .groupBy("user_id")
         .agg(
@@ -372,10 +398,19 @@ def revenue_summary(t: TableMap) -> DataFrame:
             F.count_if(F.col("payment_status") == "failed").alias("failures"),
         )
     )
+
+
+def revenue_summary(t: TableMap, after_assignment: bool = False) -> DataFrame:
+    """Gross, refunded and net revenue per arm; arms without any order do not appear.
+
+    With ``after_assignment`` orders before a user's assignment to the arm do not count.
+    """
+    per_user = orders_of_arm_users(t) if after_assignment else orders_by_user_and_kind(t)
+    key = [*ARM, "user_id"] if after_assignment else ["user_id"]
     totals = (
         arm_users(t)
         .select(*ARM, "user_id", "n_rows")
-        .join(per_user, "user_id", "left")
+        .join(per_user, key, "left")
         .groupBy(*ARM)
         .agg(
             F.count("user_id").alias("total_users"),
@@ -404,10 +439,9 @@ def revenue_summary(t: TableMap) -> DataFrame:
     )
 
 
-def mv_user_experiment_summary(t: TableMap) -> DataFrame:
-    """One row per active assignment with dimensions, purchases and session behaviour."""
+def orders_by_user(t: TableMap) -> DataFrame:
     sale = is_sale()
-    per_user_orders = (
+    return (
         t["orders"]
         .groupBy("user_id")
         .agg(
@@ -417,7 +451,10 @@ def mv_user_experiment_summary(t: TableMap) -> DataFrame:
             F.bool_or(sale).alias("bought"),
         )
     )
-    per_user_sessions = (
+
+
+def sessions_by_user(t: TableMap) -> DataFrame:
+    return (
         t["sessions"]
         .groupBy("user_id")
         .agg(
@@ -429,39 +466,62 @@ def mv_user_experiment_summary(t: TableMap) -> DataFrame:
             F.count_if("is_bounce").alias("bounces"),
         )
     )
-    zero = F.lit(0.0)
-    sessions = _zero_if_null(F.col("sessions"))
+
+
+def profiled_assignments(t: TableMap) -> DataFrame:
+    """Active assignments with their users' dimensions: the part of the user view without facts."""
     return (
         active(t)
         .select(*ARM, "user_id", "assignment_timestamp")
         .join(user_profiles(t), "user_id")
-        .join(per_user_orders, "user_id", "left")
-        .join(per_user_sessions, "user_id", "left")
         .select(
             "user_id",
             *ARM,
             "assignment_timestamp",
             F.to_date("assignment_timestamp").alias("assignment_date"),
-            "customer_type",
-            "device_type",
-            "country_name",
-            "country_code",
-            "region_name",
-            "channel_name",
-            F.coalesce("bought", F.lit(False)).alias("made_purchase"),
-            _zero_if_null(F.col("orders")).alias("order_count"),
-            money(_zero_if_null(F.col("revenue"))).alias("total_revenue"),
-            "last_purchase_date",
-            sessions.alias("session_count"),
-            F.coalesce(ratio(F.col("seconds"), F.col("seconds_n")), zero).alias(
-                "avg_session_duration_seconds"
-            ),
-            F.coalesce(ratio(F.col("pages"), F.col("pages_n")), zero).alias("avg_page_count"),
-            F.coalesce(ratio(F.col("bounces"), F.col("sessions")), zero).alias("bounce_rate"),
+            *USER_DIMENSIONS,
         )
     )
 
 
+USER_DIMENSIONS = (
+    "customer_type",
+    "device_type",
+    "country_name",
+    "country_code",
+    "region_name",
+    "channel_name",
+)
+ASSIGNMENT = ("user_id", *ARM, "assignment_timestamp", "assignment_date", *USER_DIMENSIONS)
+
+
+def user_behaviour(joined: DataFrame) -> DataFrame:
+    """The user view from assignments joined to ``orders_by_user`` and ``sessions_by_user``."""
+    zero = F.lit(0.0)
+    return joined.select(
+        *ASSIGNMENT,
+        F.coalesce("bought", F.lit(False)).alias("made_purchase"),
+        _zero_if_null(F.col("orders")).alias("order_count"),
+        money(_zero_if_null(F.col("revenue"))).alias("total_revenue"),
+        "last_purchase_date",
+        _zero_if_null(F.col("sessions")).alias("session_count"),
+        F.coalesce(ratio(F.col("seconds"), F.col("seconds_n")), zero).alias(
+            "avg_session_duration_seconds"
+        ),
+        F.coalesce(ratio(F.col("pages"), F.col("pages_n")), zero).alias("avg_page_count"),
+        F.coalesce(ratio(F.col("bounces"), F.col("sessions")), zero).alias("bounce_rate"),
+    )
+
+
+def mv_user_experiment_summary(t: TableMap) -> DataFrame:
+    """One row per active assignment with dimensions, purchases and session behaviour."""
+    return user_behaviour(
+        profiled_assignments(t)
+        .join(orders_by_user(t), "user_id", "left")
+        .join(sessions_by_user(t), "user_id", "left")
+    )
+
+
 VIEWS = {
     "experiment_summary": experiment_summary,
     "daily_metrics_view": daily_metrics_view,

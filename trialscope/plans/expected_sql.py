@@ -41,13 +41,14 @@ def _with_blocks(statement: str) -> str:
     def visit(text: str) -> None:
         for name in BLOCKS:
             if name not in order and re.search(rf"\b{name}\b", text):
-                visit(BLOCKS[name])
+                # A recursive block names itself.
+                visit(re.sub(rf"\b{name}\b", "", BLOCKS[name]))
                 order.append(name)
 
     visit(statement)
     if not order:
         return statement
-    return "WITH " + ",\n".join(f"{n} AS ({BLOCKS[n]})" for n in order) + "\n" + statement
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({BLOCKS[n]})" for n in order) + "\n" + statement
 
 
 def expect(name: str, statement: str) -> None:
@@ -1185,8 +1186,17 @@ def _z(p: float) -> str:
     return f"{NormalDist().inv_cdf(p)!r}::DOUBLE"
 
 
-Z95, Z80 = _z(0.975), _z(0.80)
-Z_SUM = f"({Z95} + {Z80})"
+Z95 = _z(0.975)
+# The shift that a two-sided test at 5 % finds with 80 % power, by halving an interval 60 times.
+_MIDDLE = "((low + high) / 2)"
+BLOCKS["x_halved"] = f"""
+SELECT 0 AS step, 0.0::DOUBLE AS low, 10.0::DOUBLE AS high
+UNION ALL SELECT step + 1, CASE WHEN found < 0.8::DOUBLE THEN middle ELSE low END,
+       CASE WHEN found < 0.8::DOUBLE THEN high ELSE middle END
+FROM (SELECT *, {tail("less")} + {tail("more")} AS found
+      FROM (SELECT step, low, high, {_MIDDLE} AS middle, {Z95} - {_MIDDLE} AS less, {Z95} + {_MIDDLE} AS more
+            FROM x_halved WHERE step < 60))"""
+Z_SUM = "(SELECT high FROM x_halved WHERE step = 60)"
 
 
 def angle(p: str) -> str:
@@ -1570,3 +1580,150 @@ expect(
 FROM c_sessions""",
 )
 expect("stream_daily_srm", _DAILY_SRM)
+
+# --- continuing streams: their batch operators over what has arrived ------------------------
+
+BLOCKS["x_readings"] = "SELECT unnest(range(3)) AS reading"
+
+
+def _arriving(rows: str, ts: str, row_id: str) -> str:
+    due = f"(epoch_us({ts}) + {row_id} % 13 * 3600000000)"
+    return (
+        f"SELECT *, ({due} - min({due}) OVER ()) * 3 // (max({due}) OVER () - min({due}) OVER () + 1) "
+        f"AS arrival FROM {rows}"
+    )
+
+
+BLOCKS["x_arriving"] = _arriving("events", "ts", "event_id")
+BLOCKS["x_read_events"] = "SELECT * FROM x_arriving JOIN x_readings ON arrival <= reading"
+BLOCKS["x_read_numbered"] = """
+SELECT *, sum(opens) OVER (PARTITION BY reading, user_id ORDER BY ts, event_id) AS session_no
+FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY reading, user_id ORDER BY ts, event_id)
+                          <= INTERVAL 240 MINUTE THEN 0 ELSE 1 END AS opens FROM x_read_events)"""
+expect(
+    "stream_continuing_sessions",
+    """SELECT CAST(reading AS INTEGER) AS arrival, min(event_id) AS session_id, user_id, min(ts) AS session_start,
+       max(ts) AS session_end,
+       CAST((epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS INTEGER) AS duration_seconds,
+       CAST(count(*) AS INTEGER) AS page_count, count(*) = 1 AS is_bounce,
+       max(ts) + INTERVAL 240 MINUTE > any_value(newest) - INTERVAL 1 DAY AS is_open
+FROM x_read_numbered JOIN (SELECT reading, max(ts) AS newest FROM x_read_events GROUP BY ALL) USING (reading)
+GROUP BY reading, user_id, session_no""",
+)
+BLOCKS["x_arriving_users"] = _arriving("c_experiments", "assignment_timestamp", "experiment_id")
+BLOCKS["x_read_days"] = """
+SELECT reading, CAST(assignment_timestamp AS DATE) AS metric_date, experiment_name, variant,
+       count(DISTINCT user_id) AS users_assigned
+FROM x_arriving_users JOIN x_readings ON arrival <= reading WHERE NOT is_holdout GROUP BY ALL"""
+BLOCKS["x_read_daily"] = f"""
+SELECT *, {big("sum(users_assigned) OVER (PARTITION BY reading, experiment_name, variant ORDER BY metric_date)")}
+         AS cumulative_users FROM x_read_days"""
+expect(
+    "stream_continuing_srm",
+    _DAILY_SRM.replace("FROM v_daily", "FROM x_read_daily")
+    .replace("SELECT metric_date, experiment_name,", "SELECT reading, metric_date, experiment_name,", 2)
+    .replace("SELECT reading, metric_date,", "SELECT CAST(reading AS INTEGER) AS arrival, metric_date,", 1),
+)
+expect(
+    "stream_late_rows",
+    """SELECT event_id, user_id, ts AS event_timestamp FROM x_arriving
+WHERE (event_id % 50 = 0 OR arrival = 2)
+  AND ts <= (SELECT max(ts) FROM x_arriving WHERE arrival < 2 AND event_id % 50 <> 0) - INTERVAL 1 DAY""",
+)
+expect(
+    "stream_daily_active",
+    """SELECT CAST(reading AS INTEGER) AS arrival, CAST(ts AS DATE) AS metric_date, experiment_name, variant,
+       count(DISTINCT user_id) AS active_users
+FROM x_read_events JOIN x_active USING (user_id)
+WHERE reading > 0 OR user_id % 3 <> 0 GROUP BY ALL""",
+)
+
+# --- views brought up to date from changes: the same as when they are computed at once --------
+
+EXPECTED_SQL["refresh_users_from_changes"] = EXPECTED_SQL["mv_user_experiment_summary"]
+EXPECTED_SQL["refresh_daily_from_changes"] = EXPECTED_SQL["mv_daily_conversion"]
+
+# --- purchases from the assignment on --------------------------------------------------------
+
+BLOCKS["x_first"] = """
+SELECT experiment_name, variant, user_id, min(assignment_timestamp) AS first_assigned
+FROM x_active GROUP BY ALL"""
+BLOCKS["x_orders_after"] = """
+SELECT a.*, o.* EXCLUDE (user_id) FROM x_active a JOIN x_first f USING (experiment_name, variant, user_id)
+JOIN c_orders o ON o.user_id = a.user_id AND o.order_timestamp >= f.first_assigned"""
+BLOCKS["x_sales_after"] = f"SELECT * FROM x_orders_after WHERE {_SALE}"
+
+
+def _after(block: str) -> str:
+    """A view whose purchases are those from the assignment on."""
+    return (
+        BLOCKS[block]
+        .replace("FROM x_arm_sales", "FROM x_sales_after")
+        .replace("FROM x_active JOIN c_orders USING (user_id)", "FROM x_orders_after")
+    )
+
+
+expect(
+    "experiment_summary_after",
+    _round_all(f"({_after('v_summary')})", "conversion_rate revenue_per_visitor average_order_value"),
+)
+expect(
+    "daily_metrics_after",
+    _round_all(f"(SELECT * EXCLUDE (cumulative_conversion_rate) FROM ({_after('v_daily')}))", _DAILY_DOUBLES),
+)
+expect(
+    "revenue_summary_after",
+    _round_all(f"({_after('v_revenue')})", "revenue_per_visitor average_order_value refund_rate"),
+)
+
+# --- dense days, states and estimates ---------------------------------------------------------
+
+BLOCKS["x_watched"] = """
+SELECT experiment_name, country_name, variant, CAST(assignment_timestamp AS DATE) AS metric_date, user_id
+FROM x_active JOIN x_profiles USING (user_id)"""
+BLOCKS["x_spine"] = """
+SELECT experiment_name, country_name, variant, CAST(unnest(range(first, last + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE)
+         AS metric_date
+FROM (SELECT DISTINCT experiment_name, country_name, variant FROM x_watched)
+JOIN (SELECT experiment_name, min(metric_date) AS first, max(metric_date) AS last FROM x_watched GROUP BY ALL)
+  USING (experiment_name)"""
+BLOCKS["x_dense"] = """
+SELECT s.*, (SELECT count(DISTINCT user_id) FROM x_watched w WHERE w.experiment_name = s.experiment_name
+             AND w.country_name = s.country_name AND w.variant = s.variant AND w.metric_date = s.metric_date)
+         AS users_assigned
+FROM x_spine s"""
+BLOCKS["x_dense_daily"] = """
+SELECT *, sum(users_assigned) OVER (PARTITION BY experiment_name, country_name, variant ORDER BY metric_date)
+         AS cumulative_users FROM x_dense"""
+expect(
+    "dense_daily_srm",
+    _DAILY_SRM.replace("FROM v_daily", "FROM x_dense_daily")
+    .replace("SELECT metric_date, experiment_name,", "SELECT metric_date, experiment_name, country_name,")
+    .replace("cc + cv > 1000", "cc + cv > 20"),
+)
+BLOCKS["x_active_days"] = """
+SELECT DISTINCT CASE WHEN CAST(session_start AS DATE) < date '2024-01-11' THEN 'first' ELSE 'second' END AS period,
+       experiment_name, variant, CAST(u.device_id AS VARCHAR) AS segment, user_id
+FROM c_sessions JOIN x_active USING (user_id) JOIN c_users u USING (user_id)"""
+expect(
+    "distinct_users_sketch",
+    "\nUNION ALL ".join(
+        f"SELECT {period} AS period, experiment_name, variant, {segment} AS segment, "
+        "count(DISTINCT user_id) AS active_users, true AS within_bound FROM x_active_days GROUP BY ALL"
+        for period in ("period", "'all'")
+        for segment in ("segment", "'all'")
+    ),
+)
+_NEAR = ", ".join(f"true AS {p}_near" for p in ("p25", "p50", "p75", "p95"))
+expect(
+    "session_metrics_approx",
+    f"""SELECT experiment_name, variant, total_sessions, unique_users, avg_session_duration_seconds,
+       avg_pages_per_session, bounce_rate, bounced_sessions, sessions_per_user, avg_sessions_per_user, {_NEAR}
+FROM v_sessions""",
+)
+expect(
+    "revenue_per_visitor_approx",
+    f"""SELECT experiment_name, variant, total_users, gross_revenue AS total_revenue,
+       {r9("revenue_per_visitor", "revenue_per_visitor")}, {r9("average_order_value", "avg_order_value")},
+       {r9("refund_rate", "refund_rate")}, {_NEAR} FROM v_revenue""",
+)

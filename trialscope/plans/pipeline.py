@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from trialscope.operators import constraints, decisions, quality, reporting
 from trialscope.plans.refresh import read_materialized, refresh_materialized
-from trialscope.sources import storage, versions
+from trialscope.sources import storage
 from trialscope.sources.tables import Tables
 
 
@@ -84,7 +84,7 @@ def run(
     loaded = t.replacing(**storage.read_staged(spark, staged))
     if check:
         gate(loaded, failures=f"{root}/failures/{uuid.uuid4().hex}")
-    versions.publish(spark, f"{root}/tables", staged)
+    storage.publish(spark, f"{root}/tables", staged)
     refresh_materialized(spark, loaded, f"{root}/views")
     datasets = reporting.dataset_bundle(loaded)
     for name, view in (

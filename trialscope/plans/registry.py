@@ -28,13 +28,14 @@ from trialscope.operators import (
     reports,
     segments,
     sessions,
+    sketches,
     statistics,
     views,
 )
 from trialscope.plans import refresh
 from trialscope.sources import lookups, storage, warehouse
 from trialscope.sources.tables import Tables
-from trialscope.streaming import allocation, replay
+from trialscope.streaming import activity, allocation, continuing, replay
 from trialscope.streaming import sessions as stream_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +133,17 @@ def _refresh_materialized(spark, t):
     )
 
 
+def _loaded_twice(spark, t, name):
+    """A view after two loads, of which the second one adds orders and sessions."""
+    root = storage.scratch_path(spark, "changes")
+    second = {"orders": F.col("order_id") % 4 == 0, "sessions": F.col("session_id") % 3 == 0}
+    storage.bulk_load({n: t[n].where(~second.get(n, F.lit(False))) for n in S.CORE_TABLES if n != "events"}, root)
+    refresh.refresh_from_changes(spark, root, f"{root}/views", t)
+    storage.bulk_load({n: t[n].where(more) for n, more in second.items()}, root)
+    refresh.refresh_from_changes(spark, root, f"{root}/views", t)
+    return refresh.read_materialized(spark, f"{root}/views", name)
+
+
 def _export_datasets(spark, t):
     root = storage.scratch_path(spark, "export")
     return _counts(spark, storage.export_datasets(reporting.dataset_bundle(t), root), "dataset")
@@ -344,6 +356,74 @@ def _recommendation(spark, t):
     )
 
 
+# --- states and estimates ----------------------------------------------------------------
+
+
+def _distinct_users_sketch(spark, t):
+    """Active users per period, arm and device: exact, and whether the estimate from stored states is near."""
+    by = ["period", *views.ARM, "segment"]
+    period = F.when(F.col("metric_date") < "2024-01-11", "first").otherwise("second")
+    active = sketches.active_users(t)
+    path = storage.scratch_path(spark, "distinct-states")
+    day = ["metric_date", *views.ARM, "segment"]
+    sketches.distinct_states(active, day).write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("period", period)
+    rows = active.withColumn("period", period)
+    wholes = [("period", "segment"), ("period",), ("segment",), ()]
+    parts = []
+    for kept in wholes:
+        keys = [*views.ARM, *kept]
+        exact = rows.select(*keys, "user_id").distinct().groupBy(*keys).agg(F.count("user_id").alias("exact"))
+        near = sketches.compared(exact, sketches.united_distinct(stored, keys), keys, sketches.relative_error())
+        missing = [F.lit("all").alias(c) for c in by if c not in keys]
+        parts.append(near.select(*keys, *missing, F.col("exact").alias("active_users"), "within_bound"))
+    return _united(parts)
+
+
+def _with_ranks_checked(histogram: DataFrame, value: str, marks: dict[str, tuple[str, float]]) -> DataFrame:
+    """Per arm and mark, whether the rank of an approximate percentile in the exact histogram is off by at
+    most 2 % of the values and one value; ``histogram`` has the approximate percentiles beside it."""
+    n, error = F.sum("w"), 0.02
+    checks = []
+    for mark, (name, p) in marks.items():
+        below = F.sum(F.when(F.col(value) < F.col(name), F.col("w")).otherwise(0))
+        upto = F.sum(F.when(F.col(value) <= F.col(name), F.col("w")).otherwise(0))
+        near = (below <= n * (p + error) + 1) & (upto >= n * (p - error) - 1)
+        checks.append(near.alias(f"{mark}_near"))
+    return histogram.where(F.col(value).isNotNull()).groupBy(*views.ARM).agg(*checks)
+
+
+def _approximate(view: DataFrame, histogram: DataFrame, value: str, marks: dict[str, tuple[str, float]]) -> DataFrame:
+    """The exact columns of a view, and whether its approximate percentiles are near."""
+    names = [name for name, _ in marks.values()]
+    checked = _with_ranks_checked(histogram.join(view.select(*views.ARM, *names), list(views.ARM)), value, marks)
+    return view.drop(*names).join(checked, list(views.ARM))
+
+
+def _session_metrics_approx(spark, t):
+    arms = views.arm_users(t).select(*views.ARM, "user_id", "n_rows")
+    durations = t["sessions"].select("user_id", F.col("duration_seconds").cast("double").alias("seconds"))
+    histogram = durations.join(arms, "user_id").groupBy(*views.ARM, "seconds").agg(F.sum("n_rows").alias("w"))
+    marks = {
+        "p25": ("p25_duration_seconds", 0.25),
+        "p50": ("median_session_duration_seconds", 0.5),
+        "p75": ("p75_duration_seconds", 0.75),
+        "p95": ("p95_duration_seconds", 0.95),
+    }
+    return _approximate(views.session_metrics_view(t, approx=True), histogram, "seconds", marks)
+
+
+def _revenue_per_visitor_approx(spark, t):
+    histogram = reports.revenue_histogram(t).withColumn("revenue", F.col("revenue").cast("double"))
+    marks = {
+        "p25": ("p25_order_value", 0.25),
+        "p50": ("median_order_value", 0.5),
+        "p75": ("p75_order_value", 0.75),
+        "p95": ("p95_order_value", 0.95),
+    }
+    return _approximate(reports.revenue_per_visitor(t, approx=True), histogram, "revenue", marks)
+
+
 # --- streaming ---------------------------------------------------------------------------
 
 
@@ -379,6 +459,92 @@ def _stream_daily_srm(spark: SparkSession, path: str) -> DataFrame:
     return allocation.monitored(days)
 
 
+#: Arrivals into which the continuing streams' source is cut.
+ARRIVALS = 3
+
+
+def _arrivals(rows: DataFrame, ts: str, row_id: str, lag_hours: int = 13) -> DataFrame:
+    """Rows with the number of the arrival that brings them: by time, some up to half a day late."""
+    due = F.unix_micros(F.col(ts).cast("timestamp")) + F.col(row_id) % lag_hours * 3_600_000_000
+    first, last = rows.agg(F.min(due), F.max(due)).first()
+    share = (due - (first or 0)) * ARRIVALS
+    return rows.withColumn("arrival", F.floor(share / ((last or 0) - (first or 0) + 1)).cast("int"))
+
+
+def _after_each(spark: SparkSession, name: str, rows: DataFrame, take) -> DataFrame:
+    """Write one arrival after the other to a folder, ``take`` it and keep what can be read then."""
+    root = storage.scratch_path(spark, name)
+    for k in range(ARRIVALS):
+        rows.where(F.col("arrival") == k).drop("arrival").write.mode("append").parquet(f"{root}/in")
+        found = take(f"{root}/in", f"{root}/stream", k).withColumn("arrival", F.lit(k))
+        found.write.parquet(f"{root}/readings/{k}")
+    return _united([spark.read.parquet(f"{root}/readings/{k}") for k in range(ARRIVALS)])
+
+
+def _events_in_arrivals(spark: SparkSession, path: str) -> DataFrame:
+    events = warehouse.source(spark, path, "events")
+    return _arrivals(events.select("event_id", "user_id", F.col("ts").alias("event_timestamp")),
+                     "event_timestamp", "event_id")
+
+
+def _stream_continuing_sessions(spark: SparkSession, path: str) -> DataFrame:
+    """Sessions as they can be read after each of three arrivals, open ones included."""
+
+    def take(source: str, root: str, k: int) -> DataFrame:
+        # A new object each time, as after a restart.
+        stream = continuing.Continuing(spark, root, source, continuing.SESSIONS)
+        stream.advance()
+        return stream.now()
+
+    found = _after_each(spark, "continuing-sessions", _events_in_arrivals(spark, path), take)
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+
+
+def _stream_continuing_srm(spark: SparkSession, path: str) -> DataFrame:
+    """The allocation check after each of three arrivals of assignments, days that go on included."""
+
+    def take(source: str, root: str, k: int) -> DataFrame:
+        stream = continuing.Continuing(spark, root, source, continuing.ALLOCATION)
+        stream.advance()
+        return allocation.monitored(stream.now())
+
+    assigned = warehouse.experiments_of(warehouse.source(spark, path, "customer"))
+    arriving = _arrivals(assigned, "assignment_timestamp", "experiment_id")
+    return _after_each(spark, "continuing-allocation", arriving, take)
+
+
+def _stream_late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Events that come after the watermark has passed them: every fiftieth comes with the last arrival."""
+    stray = F.col("event_id") % 50 == 0
+    arriving = _events_in_arrivals(spark, path).withColumn(
+        "arrival", F.when(stray, ARRIVALS - 1).otherwise(F.col("arrival"))
+    )
+    root = storage.scratch_path(spark, "late")
+    stream = continuing.Continuing(spark, f"{root}/stream", f"{root}/in", continuing.SESSIONS)
+    for k in range(ARRIVALS):
+        arriving.where(F.col("arrival") == k).drop("arrival").write.mode("append").parquet(f"{root}/in")
+        stream.advance()
+    return stream.late_rows().select(
+        "event_id", "user_id", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp")
+    )
+
+
+def _stream_daily_active(spark: SparkSession, path: str) -> DataFrame:
+    """Daily active users per arm after each arrival; a third of the users is assigned from the second on."""
+    assigned = warehouse.experiments_of(warehouse.source(spark, path, "customer"))
+    tables = storage.scratch_path(spark, "assignments")
+    later = F.col("user_id") % 3 == 0
+
+    def take(source: str, root: str, k: int) -> DataFrame:
+        if k < 2:
+            storage.bulk_load({"experiments": assigned.where(later if k else ~later)}, tables)
+        stream = activity.Activity(spark, root, source, tables)
+        stream.advance()
+        return stream.daily_active()
+
+    return _after_each(spark, "daily-active", _events_in_arrivals(spark, path), take)
+
+
 # name -> function of (spark, canonical tables)
 _OVER_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "scan_tables": _scan_tables,
@@ -386,6 +552,8 @@ _OVER_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "bulk_load": _bulk_load,
     "row_count_reconcile": _row_count_reconcile,
     "refresh_materialized": _refresh_materialized,
+    "refresh_users_from_changes": lambda s, t: _loaded_twice(s, t, "mv_user_experiment_summary"),
+    "refresh_daily_from_changes": lambda s, t: _loaded_twice(s, t, "mv_daily_conversion"),
     "export_datasets": _export_datasets,
     "dim_lookup_seed": _dim_lookup_seed,
     "typed_view_read": lambda s, t: reporting.DATASETS["experiment_summary"](t),
@@ -423,6 +591,13 @@ _OVER_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
             reports.completeness_check,
         )
     },
+    "experiment_summary_after": lambda s, t: views.experiment_summary(t, after_assignment=True),
+    "daily_metrics_after": lambda s, t: views.daily_metrics_view(t, after_assignment=True),
+    "revenue_summary_after": lambda s, t: views.revenue_summary(t, after_assignment=True),
+    "dense_daily_srm": lambda s, t: reports.dense_daily_srm(t, ("country_name",), minimum_users=20),
+    "distinct_users_sketch": _distinct_users_sketch,
+    "session_metrics_approx": _session_metrics_approx,
+    "revenue_per_visitor_approx": _revenue_per_visitor_approx,
     "primary_metric": lambda s, t: metrics.primary_metric(views.experiment_summary(t)),
     "secondary_metrics": lambda s, t: metrics.secondary_metrics(
         views.revenue_summary(t), views.session_averages(t)
@@ -506,6 +681,10 @@ _OVER_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
 _OVER_FILES: dict[str, Query] = {
     "stream_sessionize": _stream_sessionize,
     "stream_daily_srm": _stream_daily_srm,
+    "stream_continuing_sessions": _stream_continuing_sessions,
+    "stream_continuing_srm": _stream_continuing_srm,
+    "stream_late_rows": _stream_late_rows,
+    "stream_daily_active": _stream_daily_active,
 }
 
 

@@ -169,51 +169,110 @@ LAYOUT = {
 }
 
 
-def stage(
-    t: Mapping[str, DataFrame], root: str, truncate_first: bool = False
-) -> dict[str, versions.Entry]:
-    """Write the core tables as Parquet, parents before children, without publishing them.
+class Staged(dict):
+    """Entries of tables that are written but not published, and the version they are made from."""
+
+    def __init__(self, base: int, before: Mapping[str, versions.Entry], replace: bool) -> None:
+        super().__init__()
+        self.base, self.before, self.replace = base, before, replace
+
+
+def _write_part(df: DataFrame, root: str, table: str) -> tuple[str, int, float]:
+    """Write rows to a new folder of a table; its path, the rows and the seconds it took.
 
     Facts are partitioned by day.  The rebalance hint gathers the rows of a day for few large
-    files and lets adaptive execution split days that are too large for one task.  Unless
-    ``truncate_first``, rows are added to those of the published version, except rows whose
+    files and lets adaptive execution split days that are too large for one task.
+    """
+    days = (LAYOUT[table][0],) if table in LAYOUT else ()
+    if days:
+        df = df.hint("rebalance", *days)
+    path, start = f"{table_path(root, table)}/{uuid.uuid4().hex}", time.monotonic()
+    rows = _observed_write(df, path, "parquet", "errorifexists", days)
+    return path, rows, time.monotonic() - start
+
+
+def stage(t: Mapping[str, DataFrame], root: str, truncate_first: bool = False) -> Staged:
+    """Write the core tables as Parquet, parents before children, without publishing them.
+
+    Unless ``truncate_first``, rows are added to those of the published version, except rows whose
     primary key it holds already, so a load can be repeated.
     """
     spark = next(iter(t.values())).sparkSession if t else None
-    before = {} if truncate_first or spark is None else versions.current(spark, root)[1]
-    staged = {}
+    base, published = versions.current(spark, root) if spark else (0, {})
+    before = {} if truncate_first else published
+    staged = Staged(base, before, truncate_first)
     for table in S.CORE_TABLES:
         if table not in t:
             if table in before:
                 staged[table] = before[table]
             continue
-        df, days, earlier = t[table], (), before.get(table)
+        df, earlier = t[table], before.get(table)
         if earlier is not None:
             key = S.PRIMARY_KEYS[table]
             df = df.join(versions.read(spark, earlier).select(key), key, "left_anti")
         if table in LAYOUT:
             day, ts = LAYOUT[table]
-            df = df.withColumn(day, F.to_date(ts)).hint("rebalance", day)
-            days = (day,)
-        path = f"{table_path(root, table)}/{uuid.uuid4().hex}"
-        start = time.monotonic()
-        rows = _observed_write(df, path, "parquet", "errorifexists", days)
-        seconds = time.monotonic() - start
+            df = df.withColumn(day, F.to_date(ts))
+        path, rows, seconds = _write_part(df, root, table)
         paths = (*(earlier.paths if earlier else ()), path)
         staged[table] = versions.Entry(paths, df.schema.json(), rows, seconds)
     return staged
 
 
+def rebase(spark: SparkSession, root: str, staged: Staged) -> Staged:
+    """The same rows on top of the newest version, which others have published in the meantime.
+
+    Rows that the others added win over rows of the same primary key here; only a table in which
+    both have some is written again.  ``Conflict`` is raised where the newest version does not just go
+    on from the one that ``staged`` is based on, or if ``staged`` replaces tables.
+    """
+    version, newest = versions.current(spark, root)
+    moved = Staged(version, newest, False)
+    moved.update({name: entry for name, entry in newest.items() if name not in staged})
+    for table, entry in staged.items():
+        known = staged.before.get(table)
+        if entry == known:
+            if table in newest:
+                moved[table] = newest[table]
+            continue
+        now = newest.get(table, versions.Entry((), entry.schema, 0, 0.0))
+        others = versions.added(known, now)
+        if staged.replace or others is None:
+            raise versions.Conflict(f"{table} was replaced after version {staged.base}, which the load is based on")
+        path, rows, seconds = entry.paths[-1], entry.rows, entry.seconds
+        if others.paths:
+            key = S.PRIMARY_KEYS[table]
+            own = versions.read(spark, versions.Entry((path,), entry.schema, rows, seconds))
+            taken = versions.read(spark, others).select(key)
+            if not own.join(taken, key, "left_semi").isEmpty():
+                path, rows, seconds = _write_part(own.join(taken, key, "left_anti"), root, table)
+        moved[table] = versions.Entry((*now.paths, path), entry.schema, rows, seconds)
+    return moved
+
+
+def publish(spark: SparkSession, root: str, staged: Staged, attempts: int = 100) -> Staged:
+    """Publish staged tables, on top of what others published since; returns what was published."""
+    for _ in range(attempts):
+        try:
+            versions.publish(spark, root, staged, staged.base)
+            return staged
+        except versions.Conflict:
+            staged = rebase(spark, root, staged)
+    raise versions.Conflict(f"{root} was changed by others {attempts} times in a row")
+
+
 def bulk_load(
     t: Mapping[str, DataFrame], root: str, truncate_first: bool = False
 ) -> dict[str, int]:
     """``stage`` and publish at once; returns the rows written per table of ``t``.
 
-    Until everything is written readers see the version before, also after a failure.
+    Until everything is written readers see the version before, also after a failure.  Of loads at the
+    same time, those that add rows all go in; one that replaces tables which others have changed since
+    it began raises ``versions.Conflict``.
     """
     staged = stage(t, root, truncate_first)
     if staged:
-        versions.publish(next(iter(t.values())).sparkSession, root, staged)
+        staged = publish(next(iter(t.values())).sparkSession, root, staged)
     return {table: entry.rows for table, entry in staged.items() if table in t}
 
 

@@ -46,7 +46,8 @@ class LateRows(RuntimeError):
     """Rows came later than the watermark allows, so the result would lack them."""
 
 
-def _dropped(query: StreamingQuery) -> int:
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that a query dropped as late, as far as its last 100 progress reports tell."""
     return sum(
         state["numRowsDroppedByWatermark"]
         for progress in query.recentProgress
@@ -86,7 +87,7 @@ def run_available(
             .start()
         )
         query.awaitTermination()
-        if late := _dropped(query):
+        if late := dropped_rows(query):
             raise LateRows(f"{late} rows of {name} came after the watermark had passed them")
 
     with settings(spark, STREAM_SETTINGS):

@@ -6,8 +6,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+DEFAULT_GAP = "240 minutes"
+
+
+def _named(rows: DataFrame, gap: str) -> DataFrame:
+    """Sessions from the user, the window, its first event id and the number of events.
+
+    A session window starts with its first event and ends one gap after its last.
+    """
+    start, end = F.col("w.start"), F.col("w.end") - F.expr(f"INTERVAL {gap}")
+    seconds = (F.unix_micros(end) - F.unix_micros(start)) / 1_000_000
+    return rows.select(
+        "session_id",
+        "user_id",
+        start.alias("session_start"),
+        end.alias("session_end"),
+        F.floor(seconds).cast("int").alias("duration_seconds"),
+        F.col("page_count").cast("int").alias("page_count"),
+        (F.col("page_count") == 1).alias("is_bounce"),
+    )
+
+
+def session_windows(events: DataFrame, gap: str = DEFAULT_GAP) -> DataFrame:
+    """Sessions of distinct events with a watermark."""
+    window = F.session_window("event_timestamp", gap)
+    found = events.groupBy("user_id", window.alias("w")).agg(
+        F.min("event_id").alias("session_id"), F.count(F.lit(1)).alias("page_count")
+    )
+    return _named(found, gap)
+
+
+def open_sessions(state: DataFrame, gap: str = DEFAULT_GAP) -> DataFrame:
+    """Sessions that the state of ``session_windows`` still holds, as rows of the state store source."""
+    held = state.select("value.*").toDF("user_id", "w", "session_id", "page_count")
+    return _named(held, gap)
+
+
 def stream_sessionize(
-    events: DataFrame, gap: str = "240 minutes", delay: str = "1 day"
+    events: DataFrame, gap: str = DEFAULT_GAP, delay: str = "1 day"
 ) -> DataFrame:
     """Gap-based sessions of a stream with columns event_id, user_id and event_timestamp.
 
@@ -16,27 +52,9 @@ def stream_sessionize(
     them), and a session is emitted once the watermark has passed its end.  State is bounded by
     the events of the last ``delay`` plus the open sessions.
     """
-    window = F.session_window("event_timestamp", gap)
-    return (
+    return session_windows(
         events.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
         .withWatermark("event_timestamp", delay)
-        .dropDuplicatesWithinWatermark(["event_id"])
-        .groupBy("user_id", window.alias("w"))
-        .agg(
-            F.min("event_id").alias("session_id"),
-            F.min("event_timestamp").alias("session_start"),
-            F.max("event_timestamp").alias("session_end"),
-            F.count(F.lit(1)).alias("page_count"),
-        )
-        .select(
-            "session_id",
-            "user_id",
-            "session_start",
-            "session_end",
-            F.floor(
-                (F.unix_micros("session_end") - F.unix_micros("session_start")) / 1_000_000
-            ).cast("int").alias("duration_seconds"),
-            F.col("page_count").cast("int").alias("page_count"),
-            (F.col("page_count") == 1).alias("is_bounce"),
-        )
+        .dropDuplicatesWithinWatermark(["event_id"]),
+        gap,
     )
