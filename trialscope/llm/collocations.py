@@ -346,15 +346,19 @@ def _subtree(leaves: pa.Table, depth: int, least: int) -> Iterator[pa.Table]:
 
 
 def count_phrases(
-    df: DataFrame, words: DataFrame, longest: int = 3, least: int = 10, budget: int = 500_000
+    df: DataFrame, words: DataFrame, longest: int = 3, least: int = 10, budget: int = 500_000, groups: int = 256
 ) -> DataFrame:
     """lang, phrase, words (their number), a: of phrases of 2 to ``longest`` words that occur ``least`` times.
 
-    ``words`` holds the counts of words.  ``budget`` is the number of suffixes that a subtree may have.
+    ``words`` holds the counts of words.  ``budget`` is the number of suffixes that a group of subtrees may
+    have; it is less where that makes fewer than ``groups`` groups for the cores to work on, but not
+    under 10,000 for their sake.
     """
     if longest < 2:
         raise ValueError("phrases have two words at least")
     spark = df.sparkSession
+    whole = words.agg(F.sum("a")).first()[0] or 0
+    budget = min(budget, max(10_000, whole // groups))
     frequent = words.where(F.col("a") >= least)
     bitmap_bits = _bitmap(frequent)
     bitmap = Model(spark, bitmap_bits, lambda x: x, keep=3)
@@ -445,12 +449,18 @@ def collocations(
     left = scored.join(covered, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (100 * F.col("longer") < cover * F.col("a"))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = left.withColumn("rank", F.row_number().over(order).cast("long"))
+    best_first = F.desc("cut.score"), F.desc("a"), "phrase"
+    if top is not None:
+        # The best of each bucket first, so that a language's last task has a bounded number of rows.
+        bucket = F.pmod(F.xxhash64("phrase"), F.lit(64))
+        within = Window.partitionBy("lang", "bucket").orderBy(*best_first)
+        left = left.withColumn("bucket", bucket).withColumn("place", F.row_number().over(within))
+        left = left.where(F.col("place") <= top).drop("place", "bucket")
+    ranked = left.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best_first)))
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
-        "lang", "rank", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n",
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n",
         F.col("cut.score").alias("score"),
     )
 
