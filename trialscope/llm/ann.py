@@ -7,8 +7,10 @@ the likeliest parts until their probabilities add up to ``mass``, and all vector
 their inner product in double precision.
 
 Equal vectors are filed once, with the smallest ids that any result can need, so groups of copies
-take no more room than their results.  Parts are dealt out in tiles of bounded numbers of vectors
-and queries, so a part that holds most vectors is shared by many tasks.
+take no more room than their results.  The work is dealt out in tiles of bounded numbers of vectors
+and queries: neighbouring small parts share a tile, in which one task keeps a query's best of all its
+parts there, and a part that holds most vectors is shared by many tiles.  A query is sent once to each
+tile that holds any of its parts, and ranked against the vectors of its own parts only.
 
 Vectors that are null, zero, hold null or non-finite components or do not have the commonest number
 of components take no part, nor do rows without id.  Ties go to the smaller id; repeated rows count
@@ -131,25 +133,53 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _filed(rows: DataFrame, router: Model, mass: float | None) -> DataFrame:
-    """The rows once for each of their parts; without ``mass``, for the likeliest only."""
-    schema = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType())])
+def _filed(vectors: DataFrame, router: Model) -> DataFrame:
+    """The vectors with their likeliest part."""
+    schema = T.StructType([*vectors.schema.fields, T.StructField("part", T.IntegerType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            parts = router.get().parts(matrix(batch.column("v")), -1.0 if mass is None else mass)
-            at = pa.array(np.repeat(np.arange(len(parts)), [len(p) for p in parts]))
-            columns = [batch.column(f.name).take(at) for f in list(arrow)[:-1]]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(parts), pa.int32())], schema=arrow)
+            if batch.num_rows:
+                part = router.get().probabilities(matrix(batch.column("v"))).argmax(axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part, pa.int32())], schema=arrow)
 
-    return rows.mapInArrow(run, schema)
+    return vectors.mapInArrow(run, schema)
+
+
+def _routed(queries: DataFrame, router: Model, mass: float) -> DataFrame:
+    """The queries with their likeliest parts, as a list."""
+    schema = T.StructType([*queries.schema.fields, T.StructField("parts", T.ArrayType(T.IntegerType()))])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                parts = [p.tolist() for p in router.get().parts(matrix(batch.column("v")), mass)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, pa.list_(pa.int32()))], schema=arrow)
+
+    return queries.mapInArrow(run, schema)
+
+
+def tiles_of_parts(sizes: dict[int, int], block: int) -> dict[int, tuple[int, int]]:
+    """For each part, its first tile and how many it has: parts in a row share one as long as it holds no
+    more than ``block`` vectors, and a larger part has several of its own."""
+    out, tile, used = {}, 0, 0
+    for part in sorted(sizes):
+        n = sizes[part]
+        if used and used + n > block:
+            tile, used = tile + 1, 0
+        count = ceil(n / block) or 1
+        out[part] = (tile, count)
+        if count > 1:
+            tile, used = tile + count, 0
+        else:
+            used += n
+    return out
 
 
 def _best(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """(query, id, score): each tile's ``k`` best vectors for each of its queries."""
+    """(query, id, score): each tile's ``k`` best vectors for each of its queries, of the query's parts."""
     schema = T.StructType.fromDDL("query long, id long, score double")
     arrow = to_arrow_schema(schema)
 
@@ -159,22 +189,26 @@ def _best(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
         right = right.sort_by("id")
         names, ids = left.column("query").to_numpy(), right.column("id").to_numpy()
         q, x = (matrix(t.column("v").combine_chunks()) for t in (left, right))
+        kinds, part = np.unique(right.column("part").to_numpy(), return_inverse=True)
+        routes = left.column("parts").to_pylist()
         out, n = [], min(k, len(x))
         for i in range(0, len(q), 32):
-            part = q[i : i + 32]
-            scores = part @ x.T
+            some = q[i : i + 32]
+            own = np.array([np.isin(kinds, r) for r in routes[i : i + 32]])
+            scores = np.where(own[:, part], some @ x.T, -np.inf)
             # All that may tie with the last one: sums in another order differ in the last places.
             last = np.partition(scores, -n, axis=1)[:, -n, None]
-            row, near = np.nonzero(scores >= last - 1e-9 * np.maximum(1, np.abs(last)))
-            exact = (part[row] * x[near]).sum(axis=1)
+            last = np.where(np.isfinite(last), last - 1e-9 * np.maximum(1, np.abs(last)), -np.inf)
+            row, near = np.nonzero((scores >= last) & (scores > -np.inf))
+            exact = (some[row] * x[near]).sum(axis=1)
             order = np.lexsort((near, -exact, row))
-            sizes = np.bincount(row, minlength=len(part))
+            sizes = np.bincount(row, minlength=len(some))
             place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             order = order[place < n]
             out.append((names[i : i + 32][row[order]], ids[near[order]], exact[order]))
         return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=arrow)
 
-    tile = ["part", "block", "chunk"]
+    tile = ["tile", "chunk"]
     return queries.groupBy(*tile).cogroup(vectors.groupBy(*tile)).applyInArrow(run, schema)
 
 
@@ -186,11 +220,11 @@ def search(
     vector: str = "embedding",
     k: int = 20,
     mass: float = 0.95,
-    least: int = 4000,
+    least: int = 450,
     per_part: int = 1600,
     sample: int = 8192,
     depth: int = 7,
-    block: int = 4096,
+    block: int = 32_768,
     chunk: int = 8192,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each row for which ``is_query`` holds."""
@@ -217,23 +251,23 @@ def search(
         classes.select("id", "v"), count, least=least, per_part=per_part, sample=sample, depth=depth
     )
     router = Model(spark, router, lambda x: x)
-    filed = cut(_filed(classes.select("id", "v"), router, None))
+    filed = cut(_filed(classes.select("id", "v"), router))
     asked = classes.join(asking.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("query"), "v")
-    asked = cut(_filed(asked, router, mass))
-    # Tiles: blocks of vectors times chunks of queries, by the sizes of the parts.
-    blocks = {p: ceil(n / block) for p, n in filed.groupBy("part").count().collect()}
-    chunks = {p: ceil(n / chunk) for p, n in asked.groupBy("part").count().collect()}
-    n_parts = 1 + max([0, *blocks, *chunks])
-    b, c = (F.array(*[F.lit(d.get(p, 0)) for p in range(n_parts)])[F.col("part")] for d in (blocks, chunks))
-
-    def dealt(name, n):
-        return F.pmod(F.xxhash64(name), n)
-
-    def all_of(n):
-        return F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
-
-    tiled = filed.where((b > 0) & (c > 0)).withColumn("block", dealt("id", b)).select("*", all_of(c).alias("chunk"))
-    asked = asked.where((b > 0) & (c > 0)).withColumn("chunk", dealt("query", c)).select("*", all_of(b).alias("block"))
+    asked = cut(_routed(asked, router, mass))
+    # Which tiles a part has; there are no more parts than two to the power of depth.
+    tiles = tiles_of_parts(dict(filed.groupBy("part").count().collect()), block)
+    n_parts = 1 + max([0, *tiles])
+    first, count = (F.array(*[F.lit(tiles.get(p, (0, 0))[i]) for p in range(n_parts)]) for i in (0, 1))
+    chunks = max(1, ceil(asked.count() / chunk))
+    place = F.pmod(F.xxhash64("id"), F.greatest(F.get(count, F.col("part")), F.lit(1))).cast("int")
+    tiled = filed.withColumn("tile", F.get(first, F.col("part")) + place)
+    tiled = tiled.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    of_part = F.transform(
+        F.filter("parts", lambda p: F.coalesce(F.get(count, p), F.lit(0)) > 0),
+        lambda p: F.sequence(F.get(first, p), F.get(first, p) + F.get(count, p) - 1),
+    )
+    asked = asked.withColumn("tile", F.explode(F.array_distinct(F.flatten(of_part))))
+    asked = asked.withColumn("chunk", F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int"))
     best = _best(asked, tiled, k + 1)
     order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     top = best.withColumn("i", F.row_number().over(order)).where(F.col("i") <= k + 1).drop("i")

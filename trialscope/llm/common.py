@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -129,6 +131,32 @@ class Model:
             _MODELS[self.name] = self.build(self.sent.value)
         return _MODELS[self.name]
 
+    @contextmanager
+    def loaded(self):
+        """The model for the length of one task; the worker, which other stages use again, keeps nothing."""
+        try:
+            yield self.get()
+        finally:
+            _MODELS.pop(self.name, None)
+
+
+@contextmanager
+def without_cycle_search() -> Iterator[None]:
+    """No search for reference cycles in code that makes many small objects and no cycles."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
+def pieces_of(values: pa.Array, size: int = 2 << 20) -> Iterator[pa.Array]:
+    """Texts in pieces that add up to about ``size`` bytes; one text at least each."""
+    for part in slices(pa.record_batch([values], ["x"]), "x", size):
+        yield part.column(0)
+
 
 def runs(lengths: Iterable[int]) -> np.ndarray:
     """Offsets of consecutive runs of the given lengths, the end included."""

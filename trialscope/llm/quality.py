@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Memo, Model, bounded_sample, runs, slices, texts_of
+from .common import Memo, Model, bounded_sample, pieces_of, runs, slices, texts_of
 from .nets import TwoLayers, sigmoid, temperature
 
 BUCKETS, SIZE, ONES = 8192, 32, 4
@@ -202,17 +202,17 @@ def fit(
 
 
 def score(documents: DataFrame, model: Model, *, text: str = "text", output: str = "score") -> DataFrame:
-    """The rows with the probability of label 1; a column of the output's name is replaced."""
-    fields = [f for f in documents.schema.fields if f.name != output]
-    schema = T.StructType([*fields, T.StructField(output, T.DoubleType())])
-    arrow = to_arrow_schema(schema)
+    """The rows with the probability of label 1; a column of the output's name is replaced.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = model.get()
-        for batch in batches:
-            for part in slices(batch, text, 1 << 19):
-                scores = pa.array(scorer.scores(texts_of(part, text)))
-                columns = [scores if f.name == output else part.column(f.name) for f in arrow]
-                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+    Only the text goes to the Python workers, and only the score comes back.
+    """
+
+    @F.arrow_udf(T.DoubleType())
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        with model.loaded() as scorer:
+            for texts in batches:
+                parts = [scorer.scores(part.to_pylist()) for part in pieces_of(texts, 1 << 19)]
+                yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
-    return documents.mapInArrow(run, schema)
+    others = [F.col(f"`{c}`") for c in documents.columns if c != output]
+    return documents.select(*others, scored(F.col(f"`{text}`").cast("string")).alias(output))

@@ -29,7 +29,7 @@ from .common import held_out, read
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = byte_bpe.encode(read(spark, sf_dir, "documents", "doc_id", "text"), *model).drop("text")
+    ids = byte_bpe.encode(read(spark, sf_dir, "documents", "doc_id", "text"), *model, keep=["doc_id"])
     return byte_bpe.decode(ids, *model).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "n_tokens",
