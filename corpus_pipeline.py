@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialscope.llm import byte_bpe, decontamination, line_dedup, near_duplicates, quality
@@ -21,15 +21,27 @@ from trialscope.llm.common import held_out, read, shared_folder
 LEAST_QUALITY = 0.5
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that the table does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject.
 
     It learns from the labels of three quarters of the ids, and word vectors from all documents.
     """
     labels = read(spark, sf_dir, "labels", "doc_id", "quality").where(~held_out("doc_id", 4, 2))
-    model = quality.fit(docs, labels)
-    scored = quality.score(docs, model, output="__quality")
-    return scored.where(F.col("__quality") >= LEAST_QUALITY).select(*[F.col(f"`{c}`") for c in docs.columns])
+    model, score = quality.fit(docs, labels), _unused(docs, "quality_score")
+    scored = quality.score(docs, model, output=score)
+    return scored.where(F.col(score) >= LEAST_QUALITY).select(*_columns(docs))
 
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,40 +49,40 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     A document of which no text is left goes; ``n_chars``, if it is a column, follows the text.
     """
-    left = line_dedup.dedup_lines(docs, removed="__removed", lines="__lines")
-    left = left.where((F.col("__removed") == 0) | (F.trim(F.regexp_replace("text", r"\s", " ")) != ""))
-    return left.select(*[_column(c) for c in docs.columns])
-
-
-def _column(name: str):
-    if name == "n_chars":
-        return F.when(F.col("__removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long").alias(name)
-    return F.col(f"`{name}`")
+    removed, lines = _unused(docs, "lines_removed"), _unused(docs, "lines_in_all")
+    left = line_dedup.dedup_lines(docs, removed=removed, lines=lines)
+    changed = F.col(removed) > 0
+    left = left.where(~changed | (F.trim(F.regexp_replace("text", r"\s", " ")) != ""))
+    n_chars = F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast("long").alias("n_chars")
+    return left.select(*[n_chars if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates; the rows that repeat its id stay with it."""
     found = near_duplicates.near_duplicates(docs)
-    going = found.where(~F.col("kept")).select(F.col("doc_id").alias("__going")).distinct()
-    return docs.join(going, F.col("doc_id") == F.col("__going"), "left_anti")
+    going = _unused(docs, "id_that_goes")
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(going)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(going), "left_anti")
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word of a benchmark window; rows of one id go together."""
     found = decontamination.overlaps(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
-    hit = found.where("n_hit > 0").select(F.col("key").alias("__hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("__hit")), "left_anti")
+    hit = _unused(docs, "id_that_is_hit")
+    hits = found.where("n_hit > 0").select(F.col("key").alias(hit)).distinct()
+    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col(hit)), "left_anti")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids (packed, little-endian, 32 bits) and whether decoding gives the text back."""
+    """doc_id, n_tokens, ids (packed, little-endian, 32 bits) and whether decoding gives the text back.
+
+    Texts are compared by their digests, so that they go to the Python workers once and not back.
+    """
     model = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = byte_bpe.encode(docs.select("doc_id", "text"), *model)
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest")
+    ids = byte_bpe.encode(docs.select("doc_id", "text", digest), *model, keep=["doc_id", "digest"])
     return byte_bpe.decode(ids, *model).select(
-        "doc_id",
-        "n_tokens",
-        "ids",
-        (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("exact"),
+        "doc_id", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("digest")).alias("exact")
     )
 
 
