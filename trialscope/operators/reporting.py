@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,10 +119,11 @@ def stat_report(
     srm_alpha: float = 0.01,
     method: str = "benjamini_hochberg",
 ) -> DataFrame:
-    """Everything the decision rests on, one row per experiment.
+    """The statistics the decision rests on, one row per experiment.
 
     Besides the tests of ``inference_results``: the p-value corrected for all segment tests of the
     experiment, the outlier effect on revenue per arm, and the worst funnel step per arm.
+    ``experiment_report`` adds the metrics, funnel, segments and days behind them.
     """
     summary = experiment_summary(t)
     lifts = segments.all_lifts(segment_conversion(t))
@@ -147,6 +148,55 @@ def stat_report(
     )
 
 
+# What the sections of a report hold of the frames they are made from.
+FUNNEL_FIELDS = ("variant", "step_order", "step_name", "users_reached", "drop_off_count", "cumulative_rate")
+SEGMENT_FIELDS = (
+    "dimension", "segment", "total_users_control", "total_users_variant", "purchasers_control",
+    "purchasers_variant", "absolute_lift", "relative_lift",
+)
+DAILY_FIELDS = (
+    "metric_date", "variant", "users_assigned", "purchasing_users", "order_count", "daily_revenue",
+    "cumulative_users", "cumulative_purchasers", "cumulative_conversion_rate",
+)
+
+
+def _section(df: DataFrame, name: str, fields: Sequence[str]) -> DataFrame:
+    """The rows of each experiment as one sorted array; their number is that of days, steps or segments."""
+    return df.groupBy("experiment_name").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
+
+
+def experiment_report(t: TableMap, alpha: float = 0.05, power: float = 0.80, srm_alpha: float = 0.01) -> DataFrame:
+    """The whole report, one row per experiment: ``stat_report`` and the sections metrics (a struct),
+    funnel, segments and daily (arrays of structs)."""
+    summary, averages = experiment_summary(t), session_averages(t)
+    records = metrics.all_metrics(summary, revenue_summary(t), averages)
+    named = [c for c in records.columns if c != "experiment_name"]
+    parts = (
+        records.select("experiment_name", F.struct(*named).alias("metrics")),
+        _section(funnels.analyzer_steps(funnel_steps(t)), "funnel", FUNNEL_FIELDS),
+        _section(segments.segment_report(segment_conversion(t)), "segments", SEGMENT_FIELDS),
+        _section(mv_daily_conversion(t), "daily", DAILY_FIELDS),
+    )
+    report = stat_report(t, alpha, power, srm_alpha)
+    for part in parts:
+        report = report.join(part, "experiment_name", "left")
+    return report
+
+
+def block_sample(df: DataFrame, block: str, fraction: float, seed: int = 42) -> DataFrame:
+    """Rows of about that fraction of the blocks of a table that is partitioned by ``block``.
+
+    A block is chosen by hash of its name, so the filter is one on partitions: files of other blocks
+    are neither opened nor listed by tasks.  Counts and sums of the sample, divided by ``fraction``, estimate
+    those of the table without bias over seeds, with the spread of whole blocks.  Rows without a block are
+    never chosen.
+    """
+    if not 0 < fraction <= 1:
+        raise ValueError(f"fraction must be in (0, 1], got {fraction!r}")
+    chosen = draw(F.col(block), f"block {seed}", 1_000_000) < round(fraction * 1_000_000)
+    return df.where(chosen)
+
+
 def decision_inputs(tests: DataFrame, sessions: DataFrame) -> DataFrame:
     """Inputs of the launch rules from ``inference_results`` rows and session metrics.
 

@@ -721,7 +721,7 @@ def _counted(names) -> str:
     )
 
 
-for _key in ("sink_raw", "assert_guards"):
+for _key in ("assert_guards",):
     expect(_key, _counted(S.CORE_TABLES))
 
 
@@ -749,18 +749,16 @@ def _contents(ids_as_text: bool) -> str:
 
 expect("scan_tables", _contents(ids_as_text=True))
 expect("bulk_load", _contents(ids_as_text=False))
+expect(
+    "sink_raw",
+    f"SELECT * FROM ({_contents(ids_as_text=False)}) JOIN "
+    f"(SELECT table_name, row_count AS rows_written FROM ({_counted(S.CORE_TABLES)})) USING (table_name)",
+)
 expect(
     "row_count_reconcile",
     f"""SELECT table_name, row_count AS expected, row_count AS actual, true AS ok
 FROM ({_counted(S.CORE_TABLES)})""",
 )
-expect(
-    "refresh_materialized",
-    """SELECT experiment_name, 'mv_user_experiment_summary' AS view_name, count(*) AS row_count
-FROM v_user_level GROUP BY experiment_name
-UNION ALL SELECT experiment_name, 'mv_daily_conversion', count(*) FROM v_daily
-GROUP BY experiment_name""",
-)
 _DATASETS = {
     "experiment_summary": "v_summary",
     "daily_metrics": "v_daily",
@@ -770,14 +768,26 @@ _DATASETS = {
     "revenue_summary": "v_revenue",
     "user_level_data": "v_user_level",
 }
+
+
+def _text_sums(block: str, name: str, label: str) -> str:
+    """Per column: values that are there, and the sum of numbers to six places or of numbers made from texts."""
+    return f"""SELECT '{name}' AS {label}, column_name, count(v) AS non_null,
+       CAST(sum(coalesce(CAST(TRY_CAST(v AS DOUBLE) AS DECIMAL(30,6)),
+                         CAST(CAST('0x' || substr(md5(v), 1, 8) AS BIGINT) AS DECIMAL(30,6)))) AS DECIMAL(38,6))
+         AS checksum
+FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM {block})
+     UNPIVOT INCLUDE NULLS (v FOR column_name IN (COLUMNS(*))) GROUP BY column_name"""
+
+
 for _key in ("dataset_bundle", "export_datasets"):
-    expect(
-        _key,
-        " UNION ALL ".join(
-            f"SELECT '{n}' AS dataset, count(*) AS row_count FROM {v}"
-            for n, v in _DATASETS.items()
-        ),
-    )
+    expect(_key, "\nUNION ALL ".join(_text_sums(block, n, "dataset") for n, block in _DATASETS.items()))
+expect(
+    "refresh_materialized",
+    _text_sums("v_user_level", "mv_user_experiment_summary", "view_name")
+    + "\nUNION ALL "
+    + _text_sums("v_daily", "mv_daily_conversion", "view_name"),
+)
 expect(
     "typed_view_read",
     _round_all(
@@ -1567,7 +1577,14 @@ FROM (SELECT *, CASE WHEN srm THEN 'INVESTIGATE_DATA_QUALITY'
                      WHEN bc = 0 OR {_CHANGE} <= 0.02 THEN 'LAUNCH'
                      ELSE 'INVESTIGATE_DATA_QUALITY' END AS recommendation
       FROM x_inputs) JOIN x_confidence USING (experiment_name)"""
-expect("recommendation", "SELECT * FROM x_advice")
+expect(
+    "recommendation",
+    f"""SELECT a.*, rules, {r9("p_value", "p_value")}, {r9("lift * 100", "relative_lift_pct")},
+       {r9("achieved_power", "achieved_power")}, CAST(n AS DOUBLE) AS control_n, CAST(need AS DOUBLE) AS required_n
+FROM x_advice a JOIN x_inputs USING (experiment_name)
+JOIN (SELECT experiment_name, string_agg(rule_name || '=' || passed, ';' ORDER BY rule_order) AS rules
+      FROM x_rules GROUP BY experiment_name) USING (experiment_name)""",
+)
 expect(
     "export_recommendation", "SELECT *, '2024-02-01T00:00:00' AS generated_at FROM x_advice"
 )
@@ -1727,3 +1744,49 @@ expect(
        {r9("revenue_per_visitor", "revenue_per_visitor")}, {r9("average_order_value", "avg_order_value")},
        {r9("refund_rate", "refund_rate")}, {_NEAR} FROM v_revenue""",
 )
+
+# --- the report laid out, and blocks -----------------------------------------------------------
+
+
+def _long(section: str, item: str, metrics: str, source: str) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT experiment_name, '{section}' AS section, {item} AS item, '{m}' AS metric, "
+        f"{r9(f'CAST({m} AS DOUBLE)', 'value')} FROM {source}"
+        for m in metrics.split()
+    )
+
+
+expect(
+    "experiment_report",
+    "\nUNION ALL ".join(
+        [
+            _long(
+                "metrics", "'all'",
+                "control_users variant_users control_conversion_rate variant_conversion_rate absolute_lift "
+                "relative_lift control_revenue_per_visitor variant_revenue_per_visitor control_aov variant_aov "
+                "control_bounce_rate variant_bounce_rate",
+                f"({EXPECTED_SQL['all_metrics']})",
+            ),
+            _long("funnel", "variant || ' ' || step_name", "users_reached drop_off_count cumulative_rate", "x_forward"),
+            _long(
+                "segments", "dimension || ' ' || segment",
+                "total_users_control total_users_variant purchasers_control purchasers_variant absolute_lift "
+                "relative_lift",
+                "x_report",
+            ),
+            _long(
+                "daily", "metric_date || ' ' || variant",
+                "users_assigned purchasing_users order_count daily_revenue cumulative_users cumulative_purchasers "
+                "cumulative_conversion_rate",
+                "v_daily",
+            ),
+        ]
+    ),
+)
+expect(
+    "block_sample",
+    f"""SELECT order_date, count(*) AS orders, {money("sum(order_value)")} AS revenue, count(DISTINCT user_id) AS users
+FROM (SELECT *, CAST(order_timestamp AS DATE) AS order_date FROM c_orders)
+WHERE CAST('0x' || substr(md5('block 42:' || order_date), 1, 8) AS BIGINT) % 1000000 < 250000
+GROUP BY order_date""",
+)

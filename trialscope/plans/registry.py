@@ -105,7 +105,27 @@ def _scan_tables(spark, t):
 
 
 def _sink_raw(spark, t):
-    return _counts(spark, storage.sink_raw(t, storage.scratch_path(spark, "raw")), "table_name")
+    """What the files hold that the sink has written, beside the rows it says it wrote."""
+    root = storage.scratch_path(spark, "raw")
+    written = storage.sink_raw(t, root, "parquet")
+    counts = _counts(spark, written, "table_name").withColumnRenamed("row_count", "rows_written")
+    files = {name: spark.read.parquet(storage.table_path(root, name)) for name in written}
+    return _contents(files).join(counts, "table_name")
+
+
+def _text_sums(name: str, df: DataFrame, label: str) -> DataFrame:
+    """(label, column_name, non_null, checksum) of any frame: numbers are summed to six places, other
+    values as numbers made from their text."""
+    cells = []
+    for c in df.columns:
+        text = F.col(c).cast("string")
+        number = text.try_cast("double").try_cast("decimal(30,6)")
+        other = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("decimal(30,6)")
+        total = F.sum(F.coalesce(number, other)).cast("decimal(38,6)")
+        cells.append(F.struct(F.lit(c).alias("column_name"), F.count(c).alias("non_null"), total.alias("checksum")))
+    sums = df.agg(*[cell.alias(f"c{i}") for i, cell in enumerate(cells)])
+    rows = sums.select(F.inline(F.array(*[f"c{i}" for i in range(len(cells))])))
+    return rows.select(F.lit(name).alias(label), "*")
 
 
 def _bulk_load(spark, t):
@@ -125,9 +145,7 @@ def _refresh_materialized(spark, t):
     refresh.refresh_materialized(spark, t, root)
     return _united(
         [
-            refresh.read_materialized(spark, root, name)
-            .groupBy("experiment_name")
-            .agg(F.lit(name).alias("view_name"), F.count(F.lit(1)).alias("row_count"))
+            _text_sums(name, refresh.read_materialized(spark, root, name), "view_name")
             for name in views.MATERIALIZED_VIEWS
         ]
     )
@@ -145,19 +163,57 @@ def _loaded_twice(spark, t, name):
 
 
 def _export_datasets(spark, t):
+    """What the exported files hold, as the types of the datasets."""
     root = storage.scratch_path(spark, "export")
-    return _counts(spark, storage.export_datasets(reporting.dataset_bundle(t), root), "dataset")
+    bundle = reporting.dataset_bundle(t)
+    parts = []
+    for name in sorted(storage.export_datasets(bundle, root)):
+        texts = storage.read_export(spark, f"{root}/{name}")
+        typed = texts.select(*[F.col(c).cast(kind).alias(c) for c, kind in bundle[name].dtypes])
+        parts.append(_text_sums(name, typed, "dataset"))
+    return _united(parts)
 
 
 def _dataset_bundle(spark, t):
+    return _united([_text_sums(name, df, "dataset") for name, df in reporting.dataset_bundle(t).items()])
+
+
+def _experiment_report(spark, t):
+    """The nested report, written, read back and laid out as one row per section, item and metric."""
+    path = storage.scratch_path(spark, "report")
+    reporting.experiment_report(t).write.parquet(path)
+    report = spark.read.parquet(path)
+
+    def long(section: str, item, names) -> DataFrame:
+        one = section == "metrics"
+        rows = report.select("experiment_name", F.col("metrics.*") if one else F.inline(section))
+        values = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])
+        return rows.select("experiment_name", F.lit(section).alias("section"), item.alias("item"), F.inline(values))
+
+    segments_ = [c for c in reporting.SEGMENT_FIELDS if c not in ("dimension", "segment")]
     return _united(
         [
-            df.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("row_count"))
-            for name, df in reporting.dataset_bundle(t).items()
+            long("metrics", F.lit("all"), report.schema["metrics"].dataType.names),
+            long("funnel", F.concat_ws(" ", "variant", "step_name"), reporting.FUNNEL_FIELDS[3:]),
+            long("segments", F.concat_ws(" ", "dimension", "segment"), segments_),
+            long("daily", F.concat_ws(" ", F.col("metric_date").cast("string"), "variant"), reporting.DAILY_FIELDS[2:]),
         ]
     )
 
 
+def _block_sample(spark, t):
+    """Sums of a quarter of the days of the loaded orders, of which only these days' files are read."""
+    root = storage.scratch_path(spark, "blocks")
+    storage.bulk_load({"orders": t["orders"]}, root, truncate_first=True)
+    days = storage.LAYOUT["orders"][0]
+    sample = reporting.block_sample(storage.read_loaded(spark, root)["orders"], days, 0.25)
+    return sample.groupBy(days).agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum("order_value").cast("decimal(38,2)").alias("revenue"),
+        F.count_distinct("user_id").alias("users"),
+    )
+
+
 def _dim_lookup_seed(spark, t):
     """Lookup rows after seeding, with how many rows of the data refer to each."""
     users, events = t["users"], t["raw_events"]
@@ -351,8 +407,13 @@ def _rule(name):
 
 
 def _recommendation(spark, t):
-    return reporting.recommendations(t).select(
-        "experiment_name", "recommendation", "decision", "confidence", "summary"
+    """Recommendations with the rules and numbers behind them in columns of their own."""
+    advice = reporting.recommendations(t)
+    rules = F.array_join(F.transform("rule_results", lambda r: F.concat_ws("=", r["rule_name"], r["passed"])), ";")
+    names = ("p_value", "relative_lift_pct", "achieved_power", "control_n", "required_n")
+    return advice.select(
+        "experiment_name", "recommendation", "decision", "confidence", "summary",
+        rules.alias("rules"), *[F.col("key_metrics")[n].alias(n) for n in names],
     )
 
 
@@ -554,6 +615,8 @@ _OVER_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "refresh_materialized": _refresh_materialized,
     "refresh_users_from_changes": lambda s, t: _loaded_twice(s, t, "mv_user_experiment_summary"),
     "refresh_daily_from_changes": lambda s, t: _loaded_twice(s, t, "mv_daily_conversion"),
+    "experiment_report": _experiment_report,
+    "block_sample": _block_sample,
     "export_datasets": _export_datasets,
     "dim_lookup_seed": _dim_lookup_seed,
     "typed_view_read": lambda s, t: reporting.DATASETS["experiment_summary"](t),

@@ -341,3 +341,8 @@ def export_datasets(datasets: Mapping[str, DataFrame], root: str) -> dict[str, i
         for name, df in datasets.items()
     }
     return {name: n for name, n in rows.items() if n > 0}
+
+
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """An exported dataset with all columns as text."""
+    return _raw_csv(spark, path)
