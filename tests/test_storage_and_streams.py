@@ -314,3 +314,19 @@ def test_derived_orders_pass_the_contract(spark):
     orders = sessions.derive_orders(tables(spark)["events"])
     found = constraints.schema_check({"orders": orders}).collect()
     assert not [r for r in found if r.severity == "ERROR" and r.column_name != "session_id"]
+
+
+def test_files_without_quoted_line_ends_are_split(spark, root):
+    with open(f"{root}/orders.csv", "w") as f:
+        f.write("order_id,payment_method\n" + "".join(f'o{i},"say ""x"" {i}"\n' for i in range(20_000)))
+    from trialscope.streaming.replay import settings
+
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "65536", "spark.sql.files.openCostInBytes": "1"}):
+        assert not storage._has_quoted_line_ends(spark, f"{root}/orders.csv")
+        orders = storage.scan_tables(spark, root)["orders"]
+        assert orders.rdd.getNumPartitions() > 3
+        assert orders.count() == 20_000 and orders.where("payment_method = 'say \"x\" 19999'").count() == 1
+    with open(f"{root}/users.csv", "w") as f:
+        f.write('user_id,operating_system\nu1,"two\nlines"\nu2,x\n')
+    assert storage._has_quoted_line_ends(spark, f"{root}/users.csv")
+    assert storage.scan_tables(spark, root)["users"].count() == 2

@@ -39,8 +39,10 @@ def iqr_bounds(
     )
 
 
-# Into how many parts the rows of a group are dealt where they meet the group's marks.
-PARTS = 64
+def _parts(rows: DataFrame) -> int:
+    """Into how many parts the rows of a group are dealt where they meet the group's marks: enough for
+    all shuffle partitions if one group has most rows."""
+    return max(64, 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _with_marks(rows: DataFrame, marks: DataFrame, groups: Sequence[str], how: str) -> DataFrame:
@@ -49,8 +51,9 @@ def _with_marks(rows: DataFrame, marks: DataFrame, groups: Sequence[str], how: s
     There are few groups, so rows are not dealt by group alone: each row goes to one of the group's
     parts by its hash, and the marks are repeated for every part.
     """
-    part = F.pmod(F.xxhash64(*rows.columns), F.lit(PARTS)).cast("int")
-    repeated = marks.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    parts = _parts(rows)
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(parts)).cast("int")
+    repeated = marks.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return rows.withColumn("_part", part).join(repeated, [*groups, "_part"], how).drop("_part")
 
 

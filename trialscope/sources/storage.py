@@ -31,7 +31,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_KEY, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="trialscope-")
     spark.conf.set(CHECKPOINT_KEY, made)
@@ -79,9 +80,20 @@ _CSV = {
 }
 
 
+def _has_quoted_line_ends(spark: SparkSession, path: str) -> bool:
+    """Whether any line has an odd number of quotes, as one has whose text goes on in the next line."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def _raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text.  Line ends inside quotes belong to the text, so files are not split."""
-    return spark.read.options(**_CSV).option("multiLine", True).csv(path)
+    """All columns as text.  Line ends inside quotes belong to the text.
+
+    Files that hold such line ends can not be split and are read by one task each; others are split like
+    any text file.  Which it is takes one look at the lines, by many tasks, up to the first one found.
+    """
+    whole = _has_quoted_line_ends(spark, path)
+    return spark.read.options(**_CSV).option("multiLine", whole).csv(path)
 
 
 def _read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
