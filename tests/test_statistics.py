@@ -111,9 +111,10 @@ def test_effect_size_power_and_sample_size(spark):
     assert row["achieved_power"] == pytest.approx(power, rel=1e-5)
     z = normal.inv_cdf(0.975) + normal.inv_cdf(0.8)
     assert row["required_sample_size_per_group"] == int(2 * z * z / (h * h))
-    # The detectable effect, put back into the sample size, needs the users that were there.
+    # The detectable effect has the target power with the users that were there, both tails counted.
     back = 2 * math.asin((0.1 + row["mde"]) ** 0.5) - 2 * math.asin(0.1**0.5)
-    assert 2 * z * z / (back * back) == pytest.approx(1000)
+    z, shift = normal.inv_cdf(0.975), back * math.sqrt(1000 / 2)
+    assert normal.cdf(shift - z) + normal.cdf(-shift - z) == pytest.approx(0.8, rel=1e-9)
     assert (same["achieved_power"], same["required_sample_size_per_group"]) == (0.05, 0)
     assert (empty["achieved_power"], empty["mde"], empty["is_adequately_powered"]) == (0.0, 0.0, False)
 
