@@ -109,3 +109,17 @@ def test_every_query_is_registered():
     names = sorted(queries.QUERIES)
     assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
     assert queries.EXPECTED_SQL.keys() <= queries.QUERIES.keys()
+
+
+def test_columns_pass_whatever_their_names(spark, folder):
+    path, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet").where("doc_id < 120")
+    names = ["quality_score", "Quality_Score_", "lines_removed", "lines_in_all", "id_that_goes", "id_that_is_hit",
+             "__quality", "__removed", "__lines", "__going", "__hit", "digest", "key", "kept"]
+    docs = docs.selectExpr("*", *[f"concat('{n} ', doc_id) AS `{n}`" for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, path)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names), name
+    assert all(r.exact for r in corpus_pipeline.token_ids(spark, docs, path).collect())
