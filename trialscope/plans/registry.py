@@ -113,15 +113,28 @@ def _sink_raw(spark, t):
     return _contents(files).join(counts, "table_name")
 
 
+#: What the text of a finite double looks like; a cast that fails costs much more than a look at the text.
+_NUMBER = (
+    r"^[\x00-\x20]*+[+-]?(?:0[xX](?:[0-9a-fA-F]++\.?|[0-9a-fA-F]*\.[0-9a-fA-F]++)[pP][+-]?[0-9]++"
+    r"|(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?)[fFdD]?[\x00-\x20]*+$"
+)
+
+
 def _text_sums(name: str, df: DataFrame, label: str) -> DataFrame:
     """(label, column_name, non_null, checksum) of any frame: numbers are summed to six places, other
     values as numbers made from their text."""
     cells = []
-    for c in df.columns:
+    for c, kind in df.dtypes:
         text = F.col(c).cast("string")
         number = text.try_cast("double").try_cast("decimal(30,6)")
         other = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("decimal(30,6)")
-        total = F.sum(F.coalesce(number, other)).cast("decimal(38,6)")
+        if kind == "string":
+            value = F.coalesce(F.when(text.rlike(_NUMBER), number), other)
+        elif kind == "boolean" or kind.startswith(("date", "timestamp")):
+            value = other
+        else:
+            value = F.coalesce(number, other)
+        total = F.sum(value).cast("decimal(38,6)")
         cells.append(F.struct(F.lit(c).alias("column_name"), F.count(c).alias("non_null"), total.alias("checksum")))
     sums = df.agg(*[cell.alias(f"c{i}") for i, cell in enumerate(cells)])
     rows = sums.select(F.inline(F.array(*[f"c{i}" for i in range(len(cells))])))
