@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialscope.llm import byte_bpe, decontamination, line_dedup, near_duplicates, quality
-from trialscope.llm.common import held_out, read, shared_folder
+from trialscope.llm.common import cut, held_out, read, shared_folder
 
 #: Documents whose probability of good quality is lower than this are rejected.
 LEAST_QUALITY = 0.5
@@ -77,10 +77,12 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (packed, little-endian, 32 bits) and whether decoding gives the text back.
 
     Texts are compared by their digests, so that they go to the Python workers once and not back.
+    The ids are written before they are decoded: a task that does both would hold two workers, which
+    an executor then keeps for all that follows.
     """
     model = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest")
-    ids = byte_bpe.encode(docs.select("doc_id", "text", digest), *model, keep=["doc_id", "digest"])
+    ids = cut(byte_bpe.encode(docs.select("doc_id", "text", digest), *model, keep=["doc_id", "digest"]))
     return byte_bpe.decode(ids, *model).select(
         "doc_id", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("digest")).alias("exact")
     )

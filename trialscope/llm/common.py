@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
@@ -117,6 +118,19 @@ class Memo(dict):
 _MODELS: dict[str, object] = {}
 
 
+def forget() -> None:
+    """Drop the models of other jobs, and give back the memory that they and old batches took.
+
+    Python workers serve one stage after the other, and what a stage has freed stays with them
+    otherwise.  Tasks that need no model start with this.
+    """
+    _MODELS.clear()
+    pa.default_memory_pool().release_unused()
+    # Only glibc has it.
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 class Model:
     """A value sent to the executors, and what ``build`` makes of it once in each Python worker."""
 
@@ -126,6 +140,8 @@ class Model:
 
     def get(self):
         if self.name not in _MODELS:
+            if self.keep == 1:
+                forget()
             while len(_MODELS) >= self.keep:
                 _MODELS.pop(next(iter(_MODELS)))
             _MODELS[self.name] = self.build(self.sent.value)
@@ -137,7 +153,7 @@ class Model:
         try:
             yield self.get()
         finally:
-            _MODELS.pop(self.name, None)
+            forget()
 
 
 @contextmanager

@@ -130,7 +130,7 @@ def _candidates(documents: DataFrame, key: str, text: str, lengths: list[int], b
     schema = T.StructType.fromDDL(f"digest long, n_words long, found {_CANDIDATES}")
     schema = T.StructType([T.StructField("key", kind), *schema.fields])
     arrow = to_arrow_schema(schema)
-    model = Model(documents.sparkSession, (lengths, bitmap), lambda x: x)
+    model = Model(documents.sparkSession, (lengths, bitmap), lambda x: x, keep=1)
 
     def found(value: str | None) -> tuple[int, list[dict]]:
         words = words_of(value)

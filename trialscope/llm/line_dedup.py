@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut, slices, texts_of
+from .common import cut, forget, slices, texts_of
 
 
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -144,6 +144,7 @@ def _lined(docs: DataFrame) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, words = [], []
@@ -192,6 +193,7 @@ def _key_rows(lined: DataFrame, min_words: int) -> DataFrame:
         return np.unique(np.concatenate([lines, of_runs.view("i8")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             columns = (texts_of(batch, c) for c in ("hashes", "words"))
             sets = [keys(*row) for row in zip(*columns, strict=True)]
@@ -238,6 +240,7 @@ def _deletions(lined: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
             yield int(places[j]), int(places[j + n - 1] - places[j]) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             columns = (texts_of(batch, c) for c in ("x", "y", "words"))
             found = [list(cuts(*row)) for row in zip(*columns, strict=True)]

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import compact, slices, texts_of
+from .common import compact, forget, slices, texts_of
 from .components import components
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -102,6 +102,7 @@ def _signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     signer = Signer(bands, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = [shingles(t, size) for t in texts_of(part, "text")]
@@ -159,6 +160,7 @@ def _verified(
     percent = round(100 * threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         last, set_x = None, np.zeros(0, "u8")
         for whole in batches:
             for part in slices(whole, "text_y"):

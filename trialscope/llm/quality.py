@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Memo, Model, bounded_sample, pieces_of, runs, slices, texts_of
+from .common import Memo, Model, bounded_sample, forget, pieces_of, runs, slices, texts_of
 from .nets import TwoLayers, sigmoid, temperature
 
 BUCKETS, SIZE, ONES = 8192, 32, 4
@@ -95,6 +95,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         index, sums, reader = index_vectors(), np.zeros((BUCKETS, SIZE), "i8"), Reader()
         for batch in batches:
             for part in slices(batch, "text", 1 << 19):
@@ -198,7 +199,7 @@ def fit(
     parts = [pooler.features(rows["text"][i : i + 200].tolist()) for i in range(0, len(rows), 200)]
     features = np.concatenate(parts) if parts else np.zeros((0, 1), "f4")
     net = fit_network(features, rows["label"].to_numpy("f8"))
-    return Model(documents.sparkSession, (vectors, net), Scorer)
+    return Model(documents.sparkSession, (vectors, net), Scorer, keep=1)
 
 
 def score(documents: DataFrame, model: Model, *, text: str = "text", output: str = "score") -> DataFrame:
