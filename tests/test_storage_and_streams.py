@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 import tempfile
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tests.tiny import ROWS, at, one, tables
 from trialscope import schemas as S
 from trialscope.operators import constraints, reporting, reports, sessions, views
-from trialscope.plans import refresh
+from trialscope.plans import refresh, registry
 from trialscope.sources import lookups, storage
 from trialscope.streaming import allocation, replay
 from trialscope.streaming.sessions import stream_sessionize
@@ -102,6 +103,42 @@ def test_exports_skip_empty_datasets(spark, root):
     assert back.count() == 5 and "user_id" in back.columns
 
 
+def test_exports_are_written_some_at_a_time(spark, root, monkeypatch):
+    both = threading.Barrier(2, timeout=60)
+    write = storage._observed_write
+
+    def meeting(*args):
+        both.wait()
+        return write(*args)
+
+    monkeypatch.setattr(storage, "_observed_write", meeting)
+    one_row = spark.range(1)
+    assert storage.export_datasets({"a": one_row, "b": one_row.where("id > 0")}, root) == {"a": 1}
+    assert storage.export_datasets({}, root) == {}
+
+
+def test_a_failed_export_raises(spark, root):
+    bad = spark.range(1).select(F.raise_error(F.lit("no such thing")).cast("string").alias("x"))
+    with pytest.raises(Exception, match="no such thing"):
+        storage.export_datasets({"good": spark.range(1), "bad": bad}, root)
+
+
+@pytest.mark.parametrize("name", ["export_datasets", "dataset_bundle"])
+def test_datasets_derive_the_sessions_once(spark, name):
+    t, made = tables(spark), spark.sparkContext.accumulator(0)
+
+    def count(pages):
+        made.add(1)
+        return pages
+
+    counted = F.udf(count, "int").asNondeterministic()
+    counting = t["sessions"].withColumn("page_count", counted("page_count")).withColumn("is_bounce", F.col("page_count") == 1)
+    n = t["sessions"].count()
+    rows_ = registry._OVER_TABLES[name](spark, t.replacing(sessions=counting)).collect()
+    assert {r.dataset for r in rows_} == set(reporting.DATASETS)
+    assert made.value == n
+
+
 def test_lookups_keep_existing_rows(spark):
     t = tables(spark)
     seeded = lookups.seed_lookups(spark, t)

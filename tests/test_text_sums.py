@@ -42,3 +42,25 @@ def test_only_texts_that_look_like_numbers_are_cast(spark):
     df = spark.createDataFrame([("mobile",)], "x string").selectExpr("x", "date'2024-01-01' AS d", "true AS b")
     plan = registry._text_sums("t", df, "name")._jdf.queryExecution().analyzed().toString().lower()
     assert plan.count("as double") == plan.count("rlike") == 1
+
+
+def test_sums_of_numbers_and_texts_in_one_column(spark):
+    texts = [*TEXTS, "7", "mobile", "desktop", None]
+    df = spark.createDataFrame([(text,) for text in texts], "x string")
+    row = registry._text_sums("t", df, "name").first()
+    assert (row.non_null, row.checksum) == tuple(_every_cast(df, "x"))
+    decimals = df.where("x RLIKE '^[0-9]+$'").selectExpr("CAST(left(x, 20) AS DECIMAL(24,4)) / 7 AS x", "array(x) AS a", "float(left(x, 5)) / 3 AS f")
+    rows = {r.column_name: r for r in registry._text_sums("t", decimals, "name").collect()}
+    for c in decimals.columns:
+        assert (rows[c].non_null, rows[c].checksum) == tuple(_every_cast(decimals, c)), c
+
+
+def test_sums_of_no_rows(spark):
+    df = spark.createDataFrame([], "x string, y double, z date")
+    assert [tuple(r) for r in registry._text_sums("t", df, "name").collect()] == [("t", c, 0, None) for c in "xyz"]
+
+
+def test_hashes_of_texts_are_summed_as_integers(spark):
+    df = spark.createDataFrame([("mobile",)], "x string")
+    plan = registry._text_sums("t", df, "name")._jdf.queryExecution().analyzed().toString().lower()
+    assert "conv(" in plan and plan.count("as decimal(30,6)") == 1

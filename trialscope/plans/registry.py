@@ -120,23 +120,34 @@ _NUMBER = (
 )
 
 
+def _sum_of_32_bits(value: Column) -> Column:
+    high, low = F.sum(F.shiftright(value, 16)), F.sum(value.bitwiseAND(0xFFFF))
+    return high.cast("decimal(20,0)") * 65536 + low
+
+
 def _text_sums(name: str, df: DataFrame, label: str) -> DataFrame:
     """(label, column_name, non_null, checksum) of any frame: numbers are summed to six places, other
-    values as numbers made from their text."""
-    cells = []
-    for c, kind in df.dtypes:
-        text = F.col(c).cast("string")
-        number = text.try_cast("double").try_cast("decimal(30,6)")
-        other = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("decimal(30,6)")
+    values as numbers made from their text.
+
+    The two kinds are summed apart.  Those made from texts have 32 bits; their halves are summed as integers,
+    which costs much less than decimals do and does not overflow below 2^47 rows.
+    """
+    numbers, hashes, cells = [], [], []
+    for i, (c, kind) in enumerate(df.dtypes):
+        text, number = F.col(c).cast("string"), F.lit(None).cast("decimal(30,6)")
+        if not (kind == "boolean" or kind.startswith(("date", "timestamp"))):
+            plain = kind in ("tinyint", "smallint", "int", "bigint", "double") or kind.startswith("decimal")
+            number = (F.col(c) if plain else text).try_cast("double").try_cast("decimal(30,6)")
         if kind == "string":
-            value = F.coalesce(F.when(text.rlike(_NUMBER), number), other)
-        elif kind == "boolean" or kind.startswith(("date", "timestamp")):
-            value = other
-        else:
-            value = F.coalesce(number, other)
-        total = F.sum(value).cast("decimal(38,6)")
+            number = F.when(text.rlike(_NUMBER), number)
+        hashed = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+        numbers.append(number.alias(f"_n{i}"))
+        hashes.append(F.when(F.col(f"_n{i}").isNull(), hashed).alias(f"_h{i}"))
+        of_numbers, of_texts = F.sum(f"_n{i}"), _sum_of_32_bits(F.col(f"_h{i}"))
+        total = F.coalesce(of_numbers + of_texts, of_numbers, of_texts).cast("decimal(38,6)")
         cells.append(F.struct(F.lit(c).alias("column_name"), F.count(c).alias("non_null"), total.alias("checksum")))
-    sums = df.agg(*[cell.alias(f"c{i}") for i, cell in enumerate(cells)])
+    values = df.select("*", *numbers).select("*", *hashes)
+    sums = values.agg(*[cell.alias(f"c{i}") for i, cell in enumerate(cells)])
     rows = sums.select(F.inline(F.array(*[f"c{i}" for i in range(len(cells))])))
     return rows.select(F.lit(name).alias(label), "*")
 
@@ -175,10 +186,15 @@ def _loaded_twice(spark, t, name):
     return refresh.read_materialized(spark, f"{root}/views", name)
 
 
+def _with_sessions_once(spark, t):
+    """Three of the datasets use the sessions, one of them twice."""
+    return storage.written_once(spark, t, storage.scratch_path(spark, "sessions"), ["sessions"])
+
+
 def _export_datasets(spark, t):
     """What the exported files hold, as the types of the datasets."""
     root = storage.scratch_path(spark, "export")
-    bundle = reporting.dataset_bundle(t)
+    bundle = reporting.dataset_bundle(_with_sessions_once(spark, t))
     parts = []
     for name in sorted(storage.export_datasets(bundle, root)):
         texts = storage.read_export(spark, f"{root}/{name}")
@@ -188,7 +204,8 @@ def _export_datasets(spark, t):
 
 
 def _dataset_bundle(spark, t):
-    return _united([_text_sums(name, df, "dataset") for name, df in reporting.dataset_bundle(t).items()])
+    bundle = reporting.dataset_bundle(_with_sessions_once(spark, t))
+    return _united([_text_sums(name, df, "dataset") for name, df in bundle.items()])
 
 
 def _experiment_report(spark, t):

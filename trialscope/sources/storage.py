@@ -11,8 +11,10 @@ import tempfile
 import time
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from trialscope.sources import versions
 from trialscope.sources.tables import Tables
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+WRITES_AT_A_TIME = 3
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -173,6 +176,18 @@ def sink_raw(t: Mapping[str, DataFrame], root: str, source: str = "csv") -> dict
     }
 
 
+def written_once(spark: SparkSession, t: Tables, root: str, tables: Sequence[str]) -> Tables:
+    """``t`` with the named tables written under ``root`` and read from there.
+
+    For tables that are expensive to derive and used by several jobs, each of which would derive them anew.
+    """
+    kept = {}
+    for table in tables:
+        t[table].write.parquet(table_path(root, table))
+        kept[table] = spark.read.schema(t[table].schema).parquet(table_path(root, table))
+    return t.replacing(**kept)
+
+
 # Day columns by which the large tables are laid out, for partition pruning on date filters.
 LAYOUT = {
     "sessions": ("session_date", "session_start"),
@@ -346,12 +361,19 @@ def export_datasets(datasets: Mapping[str, DataFrame], root: str) -> dict[str, i
     """Write each dataset as CSV with a header; returns the rows of the non-empty ones.
 
     Whether a dataset is empty is known from its own write, so no query runs twice; a dataset
-    without rows leaves no data file and is not reported.
+    without rows leaves no data file and is not reported.  Some are written at a time, so that the
+    few long tasks at the end of one do not keep the executors waiting.
     """
-    rows = {
-        name: _observed_write(df, f"{root}/{name}", "csv", "overwrite")
-        for name, df in datasets.items()
-    }
+    if not datasets:
+        return {}
+
+    def write(name: str) -> int:
+        return _observed_write(datasets[name], f"{root}/{name}", "csv", "overwrite")
+
+    spark = next(iter(datasets.values())).sparkSession
+    with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(write), name) for name in datasets}
+    rows = {name: job.result() for name, job in running.items()}
     return {name: n for name, n in rows.items() if n > 0}
 
 
